@@ -157,3 +157,159 @@ SELECT e.event_id, i.item_no, i.item
 FROM events e JOIN ({_ITEMS}) i
   ON CAST({_bucket("'7' || CAST(e.event_id AS VARCHAR)", "(SELECT count(*) FROM nation)")} AS INTEGER) = i.item_no
 """
+
+# --------------------------------------------------------------------- clean
+_NAME = "regexp_extract(url, '[^/]*$')"
+_EXT = f"lower(regexp_extract({_NAME}, '[^.]*$'))"
+
+ORACLES["url_filename_ext"] = f"""
+SELECT page_id, {_NAME} AS file_name, {_EXT} AS extension, strpos({_NAME}, '.') > 0 AS has_dot FROM pages
+"""
+
+ORACLES["ext_allow_filter"] = f"""
+SELECT page_id, {_NAME} AS file_name, {_EXT} AS extension FROM pages
+WHERE strpos({_NAME}, '.') > 0 AND {_EXT} IN ('html', 'htm')
+"""
+
+ORACLES["payload_decode"] = """
+WITH p AS (SELECT doc_id, source, text, to_base64(encode(text)) AS b FROM documents),
+q AS (SELECT doc_id, source, text,
+             CASE source WHEN 'src0' THEN b WHEN 'src2' THEN b || '@@' ELSE b END AS payload FROM p),
+r AS (SELECT doc_id, source, text, try(from_base64(payload)) AS raw FROM q)
+SELECT doc_id, source, raw IS NOT NULL AS decoded_ok, CAST(octet_length(raw) AS BIGINT) AS n_bytes,
+       coalesce(decode(raw) = text, false) AS matches_text
+FROM r
+"""
+
+ORACLES["payload_encode"] = """
+WITH r AS (SELECT doc_id, '{"image":"' || to_base64(encode(text)) || '"}' AS req FROM documents)
+SELECT doc_id, CAST(length(req) AS BIGINT) AS request_len, md5(req) AS request_md5 FROM r
+"""
+
+ORACLES["response_body"] = """
+SELECT doc_id, '{"prediction_label":"' || upper(lang) || '","prediction_prob":' || CAST(n_chars AS VARCHAR) || '}'
+         AS body,
+       upper(lang) AS prediction_label, CAST(n_chars AS BIGINT) AS prediction_prob
+FROM documents
+"""
+
+_SAFE = ("regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(" + _NAME +
+         ", '[/\\\\]', ' ', 'g')), '\\s+', '_', 'g'), '[^A-Za-z0-9_.\\-]', '', 'g'), '^[._]+|[._]+$', '', 'g')")
+
+ORACLES["path_rewrite"] = f"""
+SELECT page_id,
+       regexp_replace('/srv/app/static/model_images/' || {_NAME}, '.*?static', './static', 'g') AS image_path_html,
+       {_SAFE} AS safe_name,
+       './static/uploaded_files/' || {_SAFE} AS upload_path
+FROM pages
+"""
+
+ORACLES["html_link_manifest"] = """
+SELECT page_id, CAST(len(l) AS INTEGER) AS n_links, array_to_string(l, chr(10)) AS manifest
+FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)
+"""
+
+ORACLES["fetch_outcomes"] = f"""
+SELECT outcome, count(*) AS n FROM (
+  SELECT CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN 'error'
+              WHEN html IS NULL OR html = '' THEN 'http_status'
+              WHEN NOT regexp_matches(html, '</html>\\s*$') THEN 'error'
+              WHEN {_EXT} IN ('html', 'htm') THEN 'saved'
+              ELSE 'bad_extension' END AS outcome
+  FROM pages) GROUP BY outcome
+"""
+
+# -------------------------------------------------------------------- images
+def _fit(w: str, h: str, bw: int, bh: int) -> tuple[str, str]:
+    h1 = f"(CASE WHEN {w} > {bw} THEN greatest(({h} * {bw}) // {w}, 1) ELSE {h} END)"
+    w1 = f"(CASE WHEN {w} > {bw} THEN {bw} ELSE {w} END)"
+    w2 = f"(CASE WHEN {h1} > {bh} THEN greatest(({w1} * {bh}) // {h1}, 1) ELSE {w1} END)"
+    h2 = f"(CASE WHEN {h1} > {bh} THEN {bh} ELSE {h1} END)"
+    return f"CAST({w2} AS INTEGER)", f"CAST({h2} AS INTEGER)"
+
+
+_DW, _DH = _fit("width", "height", 200, 100)
+_TW, _TH = _fit("width", "height", 200, 200)
+
+ORACLES["thumbnail_dims"] = f"""
+SELECT p_partkey, width, height, {_DW} AS download_w, {_DH} AS download_h, {_TW} AS thumb_w, {_TH} AS thumb_h
+FROM (SELECT p_partkey, CAST(p_size * 12 AS INTEGER) AS width,
+             CAST(floor(p_retailprice) - 850 AS INTEGER) AS height FROM part)
+"""
+
+
+def _image(n: int) -> str:
+    return (f"SELECT vec_id AS image_id, list_transform(embedding[1:{n}], lambda x: "
+            f"CAST(least(greatest(floor((CAST(x AS DOUBLE) + 1.0) * 127.5), 0), 255) AS INTEGER)) AS data "
+            f"FROM embeddings")
+
+
+ORACLES["image_resize"] = f"""
+WITH r AS (SELECT image_id, list_transform(range(224 * 224), lambda i:
+             data[(((2 * (i // 224) + 1) * 8) // 448) * 8 + (((2 * (i % 224) + 1) * 8) // 448) + 1]) AS px
+           FROM ({_image(64)}))
+SELECT image_id, CAST(len(px) AS INTEGER) AS n_values, CAST(list_sum(px) AS BIGINT) AS pixel_sum,
+       CAST(list_sum(list_transform(px, lambda x, i: CAST(x AS BIGINT) * i)) AS BIGINT) AS weighted_sum
+FROM r
+"""
+
+ORACLES["image_pixels"] = f"""
+WITH r AS (SELECT image_id, list_transform(range(60), lambda i:
+             data[CASE i % 3 WHEN 0 THEN i + 2 WHEN 2 THEN i - 2 ELSE i END + 1]) AS px FROM ({_image(60)}))
+SELECT image_id, CAST(i - 1 AS INTEGER) AS idx, round(CAST(px[i] AS DOUBLE) / 255.0, 6) AS value
+FROM (SELECT image_id, px, generate_subscripts(px, 1) AS i FROM r)
+"""
+
+ORACLES["featurize_pool"] = f"""
+WITH p AS (SELECT image_id, CAST(unnest(data) AS DOUBLE) AS v, generate_subscripts(data, 1) - 1 AS p
+           FROM ({_image(64)})),
+c AS (SELECT image_id, v, (((p // 8) * 2) // 8) * 2 + (((p % 8) * 2) // 8) AS cell,
+             avg(v) OVER (PARTITION BY image_id) AS m FROM p)
+SELECT image_id, CAST(cell AS INTEGER) AS feature_index, round(avg(v), 6) AS value FROM c GROUP BY image_id, cell
+UNION ALL
+SELECT image_id, 4 AS feature_index, round(avg(v), 6) AS value FROM c GROUP BY image_id
+UNION ALL
+SELECT image_id, 5 AS feature_index, round(sqrt(avg((v - m) * (v - m))), 6) AS value FROM c GROUP BY image_id
+"""
+
+# ------------------------------------------------------------------ features
+ORACLES["vector_assemble"] = """
+SELECT l_orderkey, l_linenumber, l_returnflag AS "Label", 4 AS n_features,
+       l_quantity AS f1, l_extendedprice AS f2, l_discount AS f3, l_tax AS f4
+FROM lineitem
+"""
+
+ORACLES["standard_scale"] = f"""
+WITH e AS (SELECT vec_id, {_SPLIT} AS split, CAST(unnest(embedding) AS DOUBLE) AS v,
+                  generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+s AS (SELECT pos, avg(v) AS m, stddev_samp(v) AS sd FROM e WHERE split = 'train' GROUP BY pos)
+SELECT e.vec_id, CAST(e.pos AS INTEGER) AS pos,
+       round(CASE WHEN s.sd = 0 THEN 0.0 ELSE (e.v - s.m) / s.sd END, 6) AS value
+FROM e JOIN s USING (pos)
+"""
+
+ORACLES["string_index"] = """
+WITH c AS (SELECT event_type, CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS INTEGER) AS label_index
+           FROM events GROUP BY event_type)
+SELECT e.event_id, e.event_type, c.label_index FROM events e JOIN c USING (event_type)
+"""
+
+ORACLES["one_hot"] = """
+WITH c AS (SELECT event_type, CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS INTEGER) AS label_index
+           FROM events GROUP BY event_type)
+SELECT e.event_id, c.label_index, c.label_index AS hot_index, (SELECT count(*) FROM c)::INTEGER AS width,
+       1.0::DOUBLE AS hot_sum
+FROM events e JOIN c USING (event_type)
+"""
+
+ORACLES["class_index"] = """
+WITH c AS (SELECT event_type, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS class_index
+           FROM (SELECT DISTINCT event_type FROM events))
+SELECT e.event_id, e.event_type, c.class_index FROM events e JOIN c USING (event_type)
+"""
+
+ORACLES["feature_store_roundtrip"] = """
+SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dim,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS feature_sum
+FROM embeddings
+"""

@@ -217,3 +217,216 @@ def q_random_assign(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id")
     out = S.random_assign(ev, "event_id", _nation_items(spark, sf_dir), "n_nationkey", "n_name", PICK_SEED)
     return out.select("event_id", "item_no", "item")
+
+
+# --------------------------------------------------------------------- clean
+from ocellus.functions import text as TX  # noqa: E402
+from ocellus.operators import features as FE  # noqa: E402
+from ocellus.operators import images as IM  # noqa: E402
+from ocellus.sources import fetch as FETCH  # noqa: E402
+from ocellus.sources import store as ST  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+# the test pages hold no images: html pages stand in for image files
+PAGE_EXTENSIONS = ("html", "htm")
+UPLOAD_FOLDER = "./static/uploaded_files"
+APP_ROOT = "/srv/app/static/model_images"
+RESPONSE_HEAD = "HTTP/1.0 200 OK\r\nContent-Type: application/json\r\nContent-Length: 0\r\n\r\n"
+
+
+def _pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages")
+
+
+@register("url_filename_ext")
+def q_url_filename_ext(spark, sf_dir):
+    p = _pages(spark, sf_dir).select("page_id", "url")
+    name = TX.file_name("url")
+    return p.select("page_id", name.alias("file_name"), TX.extension(name).alias("extension"),
+                    TX.has_dot(name).alias("has_dot"))
+
+
+@register("ext_allow_filter")
+def q_ext_allow_filter(spark, sf_dir):
+    """Downloader rule (extension only) and upload rule (dot required)."""
+    p = _pages(spark, sf_dir).select("page_id", TX.file_name("url").alias("file_name"))
+    return p.where(TX.extension_allowed("file_name", PAGE_EXTENSIONS, require_dot=True)).select(
+        "page_id", "file_name", TX.extension("file_name").alias("extension"))
+
+
+def _payloads(spark, sf_dir):
+    """Score requests made from documents: base64 of the text, some with a
+    data-URI prefix, some wrapped with CR/LF, some corrupted."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    b64 = F.base64(F.col("text"))       # Spark wraps long values with CR/LF
+    clean = TX.strip_crlf(b64)
+    variant = F.col("source")
+    payload = (F.when(variant == "src0", F.concat(F.lit("data:image/png;base64,"), clean))
+               .when(variant == "src1", b64)
+               .when(variant == "src2", F.concat(clean, F.lit("@@")))
+               .otherwise(clean))
+    return d.withColumn("payload", payload)
+
+
+@register("payload_decode")
+def q_payload_decode(spark, sf_dir):
+    p = _payloads(spark, sf_dir)
+    raw = TX.decode_base64("payload")
+    return p.select("doc_id", "source",
+                    raw.isNotNull().alias("decoded_ok"),
+                    F.length(raw).cast("bigint").alias("n_bytes"),
+                    F.coalesce(F.col("text") == raw.cast("string"), F.lit(False)).alias("matches_text"))
+
+
+@register("payload_encode")
+def q_payload_encode(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    req = TX.image_request_json(F.base64(F.col("text")))
+    return d.select("doc_id", F.length(req).cast("bigint").alias("request_len"),
+                    F.md5(req).alias("request_md5"))
+
+
+@register("response_body")
+def q_response_body(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    body = F.concat(F.lit('{"prediction_label":"'), F.upper("lang"), F.lit('","prediction_prob":'),
+                    F.col("n_chars").cast("string"), F.lit("}"))
+    raw = F.concat(F.lit(RESPONSE_HEAD), body)
+    b = TX.response_body(raw)
+    return d.select("doc_id", b.alias("body"),
+                    F.get_json_object(b, "$.prediction_label").alias("prediction_label"),
+                    F.get_json_object(b, "$.prediction_prob").cast("bigint").alias("prediction_prob"))
+
+
+@register("path_rewrite")
+def q_path_rewrite(spark, sf_dir):
+    p = _pages(spark, sf_dir).select("page_id", TX.file_name("url").alias("file_name"))
+    path = TX.join_path(APP_ROOT, F.col("file_name"))
+    safe = TX.safe_file_name("file_name")
+    return p.select("page_id", TX.static_path(path).alias("image_path_html"),
+                    safe.alias("safe_name"), TX.join_path(UPLOAD_FOLDER, safe).alias("upload_path"))
+
+
+@register("html_link_manifest")
+def q_html_link_manifest(spark, sf_dir):
+    p = _pages(spark, sf_dir).select("page_id", "html")
+    return p.select("page_id", F.size(TX.href_links("html")).alias("n_links"),
+                    TX.link_manifest("html").alias("manifest"))
+
+
+@register("fetch_outcomes")
+def q_fetch_outcomes(spark, sf_dir):
+    pages = _pages(spark, sf_dir).select("url", "html")
+    fetched = FETCH.fetch_urls(pages, "url", FETCH.table_fetcher("url", "html"), PAGE_EXTENSIONS,
+                               keep_content=False)
+    return FETCH.outcome_counts(fetched)
+
+
+# -------------------------------------------------------------------- images
+@register("thumbnail_dims")
+def q_thumbnail_dims(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part").select(
+        "p_partkey", (F.col("p_size") * 12).alias("width"),
+        (F.floor("p_retailprice") - 850).cast("int").alias("height"))
+    dw, dh = IM.thumbnail_size("width", "height", *IM.DOWNLOAD_THUMB_BOX)
+    tw, th = IM.thumbnail_size("width", "height", *IM.THUMB_BOX)
+    return p.select("p_partkey", "width", "height", dw.alias("download_w"), dh.alias("download_h"),
+                    tw.alias("thumb_w"), th.alias("thumb_h"))
+
+
+def _image_table(spark, sf_dir, h=8, w=8, c=1):
+    return IM.image_from_vector(_embeddings(spark, sf_dir), "vec_id", "embedding", h, w, c)
+
+
+@register("image_resize")
+def q_image_resize(spark, sf_dir):
+    im = _image_table(spark, sf_dir)
+    r = im.select("image_id", IM.resize_nearest("data", "height", "width", "n_channels",
+                                                *IM.MODEL_SIZE).alias("px"))
+    # checksums by explode + grouped sums (codegen), not per-element lambdas
+    px = r.select("image_id", F.posexplode("px").alias("i", "x"))
+    return px.groupBy("image_id").agg(
+        F.count(F.lit(1)).cast("int").alias("n_values"),
+        F.sum(F.col("x").cast("bigint")).alias("pixel_sum"),
+        F.sum(F.col("x").cast("bigint") * (F.col("i") + 1)).alias("weighted_sum"))
+
+
+@register("image_pixels")
+def q_image_pixels(spark, sf_dir):
+    """A 4x5 three-channel BGR image per vector -> RGB -> floats / 255."""
+    im = _image_table(spark, sf_dir, 4, 5, 3)
+    rgb = IM.rescale(IM.bgr_to_rgb("data", "n_channels"))
+    return im.select("image_id", F.posexplode(rgb).alias("idx", "v")).select(
+        "image_id", F.col("idx").cast("int").alias("idx"), r6(F.col("v")).alias("value"))
+
+
+@register("featurize_pool")
+def q_featurize_pool(spark, sf_dir):
+    im = _image_table(spark, sf_dir)
+    f = FE.featurize(im, "pool", grid=2)
+    return f.select("image_id", F.posexplode("features").alias("idx", "v")).select(
+        "image_id", F.col("idx").cast("int").alias("feature_index"), r6(F.col("v")).alias("value"))
+
+
+# ------------------------------------------------------------------ features
+LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("vector_assemble")
+def q_vector_assemble(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("Label"), *LINE_FEATURES)
+    v = FE.assemble(li, "Label", exclude=["l_orderkey", "l_linenumber"])
+    a = vector_to_array(F.col("features"))
+    return v.select("l_orderkey", "l_linenumber", "Label", F.size(a).alias("n_features"),
+                    *[a[i].alias(f"f{i + 1}") for i in range(len(LINE_FEATURES))])
+
+
+@register("standard_scale")
+def q_standard_scale(spark, sf_dir):
+    e = S.hash_split(_embeddings(spark, sf_dir), "vec_id", SPLIT_PCT)
+    scaled, _ = FE.standard_scale(e, "embedding", fit_df=e.where(F.col("split") == "train"))
+    return scaled.select("vec_id", F.posexplode(vector_to_array("features_normalized")).alias("pos", "v")) \
+        .select("vec_id", F.col("pos").cast("int").alias("pos"), r6(F.col("v")).alias("value"))
+
+
+@register("string_index")
+def q_string_index(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    out, _ = FE.string_index(ev, "event_type")
+    return out.select("event_id", "event_type", "label_index")
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    idx, model = FE.string_index(ev, "event_type")
+    oh = FE.one_hot(idx, "label_index", width=len(model.labels))
+    return oh.select("event_id", "label_index",
+                     (F.array_position("label", F.lit(1.0)) - 1).cast("int").alias("hot_index"),
+                     F.size("label").alias("width"),
+                     F.aggregate("label", F.lit(0.0), lambda a, x: a + x).alias("hot_sum"))
+
+
+@register("class_index")
+def q_class_index(spark, sf_dir):
+    """Alphabetical class index, saved to the shared store, loaded back and
+    joined to every event through a broadcast of the size-checked table."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    table = FE.class_index_table(ev, "event_type")
+    from ocellus.functions.guards import require_small
+    from ocellus.session import scratch_path
+    path = scratch_path(spark, "class_index")
+    ST.save_class_index(table, path)
+    loaded = ST.load_class_index(spark, path)
+    require_small(loaded, 100_000, "class index")
+    return ev.join(F.broadcast(loaded.withColumnRenamed("class", "event_type")), "event_type").select(
+        "event_id", "event_type", "class_index")
+
+
+@register("feature_store_roundtrip")
+def q_feature_store_roundtrip(spark, sf_dir):
+    e = _embeddings(spark, sf_dir)
+    j = ST.feature_store_roundtrip(spark, e.select("vec_id", "embedding"), e.select("vec_id", "label"), "vec_id")
+    c = ST.stored_vector_checksum(j, "embedding")
+    return c.select("vec_id", "label", "dim", r6(F.col("feature_sum")).alias("feature_sum"))
