@@ -430,3 +430,127 @@ def q_feature_store_roundtrip(spark, sf_dir):
     j = ST.feature_store_roundtrip(spark, e.select("vec_id", "embedding"), e.select("vec_id", "label"), "vec_id")
     c = ST.stored_vector_checksum(j, "embedding")
     return c.select("vec_id", "label", "dim", r6(F.col("feature_sum")).alias("feature_sum"))
+
+
+# ------------------------------------------------------------------ training
+from ocellus.operators import training as TR  # noqa: E402
+
+TRAIN_PCT = 30          # the transfer-learning script trains on 30 % per class
+
+
+def planted(df: DataFrame) -> DataFrame:
+    """Planted label: 1 if the sum of the first 8 embedding values > 0."""
+    s = A.array_sum(A.as_doubles(F.slice("embedding", 1, 8)))
+    return df.withColumn("label", (s > 0).cast("int"))
+
+
+def _planted_split(spark, sf_dir, pct=TRAIN_PCT):
+    e = planted(_embeddings(spark, sf_dir).select("vec_id", "embedding"))
+    e = S.stratified_split(e, "vec_id", "label", pct)
+    e = TR.with_vector(e, "embedding")
+    return e.where(F.col("split") == "train"), e.where(F.col("split") == "test")
+
+
+@register("lr_transfer")
+def q_lr_transfer(spark, sf_dir):
+    train, test = _planted_split(spark, sf_dir)
+    model = TR.fit_lr_pipeline(train)
+    return model.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+def _text_features(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    words = F.split(F.lower("text"), r"\s+")
+    n = F.greatest(F.length("text"), F.lit(1))
+    sym = (F.length("text") - F.length(F.regexp_replace("text", r"[^\p{L}\p{N}_ .,]", ""))) / n
+    uniq = F.size(F.array_distinct(words)) / F.greatest(F.size(words), F.lit(1))
+    f = d.join(lab, "doc_id").select("doc_id", "label", F.array(F.col("n_chars").cast("double"), sym, uniq)
+                                     .alias("tf"))
+    return TR.with_vector(S.hash_split(f, "doc_id", SPLIT_PCT), "tf")
+
+
+@register("gbt_quality")
+def q_gbt_quality(spark, sf_dir):
+    f = _text_features(spark, sf_dir)
+    model = TR.fit_gbt(f.where(F.col("split") == "train"))
+    return model.transform(f.where(F.col("split") == "test")).select(
+        "doc_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("binary_auc")
+def q_binary_auc(spark, sf_dir):
+    f = _text_features(spark, sf_dir)
+    model = TR.fit_gbt(f.where(F.col("split") == "train"))
+    scored = model.transform(f.where(F.col("split") == "test")).cache()
+    auc = E.binary_auc(scored, "label", "rawPrediction")
+    out = scored.agg(F.count(F.lit(1)).alias("n_test")).withColumn("auc", F.round(F.lit(auc), 6))
+    return out
+
+
+@register("mlp_head")
+def q_mlp_head(spark, sf_dir):
+    """Spark's MLP 64-256-2 (L-BFGS, 50 iterations) on the planted label."""
+    train, test = _planted_split(spark, sf_dir, SPLIT_PCT)
+    model = TR.fit_spark_mlp(train, 64, 2, hidden=(256,), max_iter=HEAD_EPOCHS)
+    return model.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+HEAD_EPOCHS = 50
+
+
+def _own_trainer(spark, sf_dir, n_workers, window, commit):
+    train, test = _planted_split(spark, sf_dir, SPLIT_PCT)
+    cfg = TR.TrainerConfig(n_workers=n_workers, window=window, commit=commit)
+    w = TR.train_mlp(spark, train, "vec_id", "embedding", "label", 2, cfg)
+    scored = TR.predict_mlp(test.select("vec_id", "label", A.as_doubles("embedding").alias("x")), w, "x", 2)
+    return scored, cfg
+
+
+@register("trainer_single")
+def q_trainer_single(spark, sf_dir):
+    """MLP 500-500, adagrad, batch 32, 1 epoch, one worker (sequential)."""
+    scored, _ = _own_trainer(spark, sf_dir, 1, 12, "replace")
+    return scored.select("vec_id", "label", "prediction")
+
+
+@register("trainer_adag")
+def q_trainer_adag(spark, sf_dir):
+    """Same network, synchronous ADAG: 2 workers, communication window 12."""
+    scored, _ = _own_trainer(spark, sf_dir, 2, 12, "adag")
+    return scored.select("vec_id", "label", "prediction")
+
+
+@register("trainer_report")
+def q_trainer_report(spark, sf_dir):
+    rows = []
+    for name, (nw, win, commit) in {"single": (1, 12, "replace"), "adag": (2, 12, "adag")}.items():
+        scored, cfg = _own_trainer(spark, sf_dir, nw, win, commit)
+        acc = E.accuracy(scored, "label", "prediction").select(
+            F.lit(name).alias("trainer"), F.round("accuracy", 6).alias("accuracy"),
+            F.lit(round(cfg.history[-1]["seconds"], 3)).alias("time_spent"))
+        rows.append(acc)
+    return rows[0].unionByName(rows[1])
+
+
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Score the held-out rows with the trained head: class, its
+    probability and the whole probability vector's sum."""
+    scored, _ = _own_trainer(spark, sf_dir, 2, 12, "adag")
+    return scored.select("vec_id", "prediction",
+                         F.round(F.array_max("probability"), 6).alias("prediction_prob"),
+                         F.round(A.array_sum("probability"), 6).alias("prob_sum"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    from ocellus.session import scratch_path
+    train, test = _planted_split(spark, sf_dir)
+    model = TR.fit_lr_pipeline(train)
+    path = scratch_path(spark, "lr_model")
+    ST.save_model(model, path)
+    loaded = ST.load_pipeline_model(path)
+    a = model.transform(test).select("vec_id", F.col("prediction").alias("before"))
+    b = loaded.transform(test).select("vec_id", F.col("prediction").alias("after"))
+    return a.join(b, "vec_id").withColumn("same", F.col("before") == F.col("after"))
