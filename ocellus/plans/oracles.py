@@ -313,3 +313,35 @@ SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dim,
        round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS feature_sum
 FROM embeddings
 """
+
+# ------------------------------------------------------- streams and files
+_PROB = "round(1.0 / (1.0 + exp(-value / 100.0)), 6)"
+_LABEL = "CASE WHEN value >= 50 THEN 'HIGH' ELSE 'LOW' END"
+
+ORACLES["stream_score"] = f"""
+SELECT event_id, '{{"image":"' || to_base64(encode(CAST(value AS VARCHAR))) || '"}}' AS content,
+       {_LABEL} AS prediction_label, {_PROB} AS prediction_prob, printf('%.6f', {_PROB}) AS prob_attr
+FROM events
+"""
+
+ORACLES["score_requests"] = f"""
+SELECT event_id AS request_id, CASE WHEN event_type = 'view' THEN 'GET' ELSE 'POST' END AS method,
+       CASE WHEN event_type <> 'view' THEN {_LABEL} END AS prediction_label,
+       CASE WHEN event_type <> 'view' THEN {_PROB} END AS prediction_prob,
+       event_type <> 'view' AS has_response
+FROM events
+"""
+
+ORACLES["score_json"] = f"""
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, value AS value_roundtrip,
+       {_LABEL} AS prediction_label, printf('%.6f', {_PROB}) AS prob_attr
+FROM events
+"""
+
+ORACLES["url_manifest_read"] = f"SELECT url, {_NAME} AS file_name, {_EXT} AS extension FROM pages"
+
+ORACLES["csv_features"] = """
+SELECT l_returnflag AS "Label", count(*) AS n, round(sum(l_quantity), 6) AS sum_f1,
+       round(sum(l_extendedprice), 6) AS sum_f2, round(sum(l_discount), 6) AS sum_f3, round(sum(l_tax), 6) AS sum_f4
+FROM lineitem GROUP BY l_returnflag
+"""

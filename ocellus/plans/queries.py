@@ -554,3 +554,89 @@ def q_model_roundtrip(spark, sf_dir):
     a = model.transform(test).select("vec_id", F.col("prediction").alias("before"))
     b = loaded.transform(test).select("vec_id", F.col("prediction").alias("after"))
     return a.join(b, "vec_id").withColumn("same", F.col("before") == F.col("after"))
+
+
+# ------------------------------------------------------- streams and files
+from ocellus.sources import files as FS  # noqa: E402
+from ocellus.streaming import scoring as SS  # noqa: E402
+
+STREAM_FILES = 4
+
+
+def _value_payload(col):
+    """An event's value as the request payload (base64 of its text)."""
+    return TX.base64_text(col.cast("string"))
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """Events replayed as parquet files into a directory, scored by a
+    file-source stream (one file per micro-batch) into a parquet sink; the
+    sink is read back."""
+    from ocellus.session import scratch_path
+    base = scratch_path(spark, "stream_score")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "value")
+    ev.repartition(STREAM_FILES).write.parquet(f"{base}/in")
+    scorer = SS.threshold_scorer("value")
+
+    def transform(stream):
+        enriched = SS.enrich_records(stream.withColumn("payload", _value_payload(F.col("value"))), "payload", scorer)
+        return enriched.select("event_id", "content", "prediction_label", "prediction_prob", "attributes", "error")
+
+    out = SS.run_stream(spark, f"{base}/in", "event_id bigint, value double", transform,
+                        f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=1)
+    return out.select("event_id", "content", "prediction_label", "prediction_prob",
+                      F.col("attributes")["prediction_prob"].alias("prob_attr"))
+
+
+@register("score_requests")
+def q_score_requests(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    payload = _value_payload(F.col("value"))
+    payload = F.when(F.col("event_type") == "click", F.concat(F.lit("data:image/png;base64,"), payload)) \
+        .otherwise(payload)
+    body = F.to_json(F.struct(payload.alias("image")))
+    method = F.when(F.col("event_type") == "view", F.lit("GET")).otherwise(F.lit("POST"))
+    req = SS.request_table(ev.withColumn("method", method).withColumn("body", body), "event_id", "method", "body")
+    ans = SS.answer_requests(req, lambda p: p.cast("string").cast("double"), SS.threshold_scorer("_value"))
+    return ans.select("request_id", "method", "prediction_label", "prediction_prob",
+                      F.col("response").isNotNull().alias("has_response"))
+
+
+@register("score_json")
+def q_score_json(spark, sf_dir):
+    """Request JSON built and parsed back, props parsed, attributes as text."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "value", "props")
+    req = F.to_json(F.struct(F.col("event_id"), F.col("value")))
+    parsed = F.from_json(req, "event_id bigint, value double")
+    scored = SS.threshold_scorer("value")(ev.withColumn("req", req))
+    return scored.select(
+        "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        parsed["value"].alias("value_roundtrip"), "prediction_label",
+        SS.format_attribute(F.col("prediction_prob")).alias("prob_attr"))
+
+
+@register("url_manifest_read")
+def q_url_manifest_read(spark, sf_dir):
+    """pages.url written as a newline manifest and read back line by line."""
+    from ocellus.session import scratch_path
+    path = scratch_path(spark, "manifest")
+    FS.write_url_manifest(_pages(spark, sf_dir), "url", path)
+    m = FS.read_url_manifest(spark, path)
+    name = TX.file_name("url")
+    return m.select("url", name.alias("file_name"), TX.extension(name).alias("extension"))
+
+
+@register("csv_features")
+def q_csv_features(spark, sf_dir):
+    """Label + numeric features written as a header CSV, read back with a
+    schema, assembled into one vector per row."""
+    from ocellus.session import scratch_path
+    path = scratch_path(spark, "csv")
+    li = read_table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("Label"), *LINE_FEATURES)
+    li.write.option("header", True).csv(path)
+    schema = "Label string, " + ", ".join(f"{c} double" for c in LINE_FEATURES)
+    v = FE.assemble(FS.read_feature_csv(spark, path, schema), "Label")
+    a = vector_to_array(F.col("features"))
+    return v.groupBy("Label").agg(F.count(F.lit(1)).alias("n"),
+                                  *[F.round(F.sum(a[i]), 6).alias(f"sum_f{i + 1}") for i in range(len(LINE_FEATURES))])
