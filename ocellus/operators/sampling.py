@@ -74,40 +74,74 @@ def first_n(df: DataFrame, order_cols: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order_cols).limit(n)
 
 
+def default_buckets(spark) -> int:
+    return max(64, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hash_prefix_bucket(hex_col: Column | str, num_buckets: int) -> Column:
+    """Order-preserving bucket of an md5 hex string: its first 6 hex digits
+    scaled to [0, num_buckets).  Uniform, so buckets are balanced."""
+    h = F.col(hex_col) if isinstance(hex_col, str) else hex_col
+    prefix = F.conv(F.substring(h, 1, 6), 16, 10).cast("bigint")
+    return F.floor(prefix * F.lit(num_buckets) / F.lit(16 ** 6)).cast("int")
+
+
+def quantile_bucket(df: DataFrame, col: str, num_buckets: int) -> Column:
+    """Order-preserving bucket of a numeric column from approximate
+    quantiles, computed once (one pass over one column) and applied as
+    literal splits, so every later pass sees the same buckets."""
+    probs = [i / num_buckets for i in range(1, num_buckets)]
+    qs = df.select(F.col(col).cast("double").alias("_q")).approxQuantile("_q", probs, 1.0 / (4 * num_buckets))
+    splits = sorted(set(q for q in qs if q is not None))
+    x = F.col(col).cast("double")
+    # number of splits <= x, as a balanced tree of comparisons (JVM codegen)
+    def count_le(lo: int, hi: int) -> Column:
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x >= F.lit(splits[mid]), count_le(mid + 1, hi)).otherwise(count_le(lo, mid))
+    return count_le(0, len(splits)).cast("int")
+
+
 def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col: str = "row_no",
-                      num_partitions: int | None = None) -> DataFrame:
+                      bucket: Column | None = None, num_buckets: int | None = None) -> DataFrame:
     """1-based row number over the whole table in ``order_cols`` order
     (which should be unique) without pulling all rows into one partition.
 
-    Range-partition on the order key, sort inside each partition, number the
-    rows locally, then add the running total of the earlier partitions'
-    sizes.  The offsets table has one row per partition (a known bound), so
-    it is broadcast; the range exchange is reused by both branches.
+    Rows fall into order-preserving buckets (``bucket``, or quantiles of the
+    first order column).  The row number is the running total of the
+    earlier buckets' sizes plus the row number inside the bucket.  Bucket
+    sizes come from a partial aggregate; the offsets table has at most
+    ``num_buckets`` rows, a fixed bound, so it is broadcast.  Buckets are a
+    pure function of each row, so the counting pass and the numbering pass
+    agree without sharing a shuffle.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_buckets or default_buckets(df.sparkSession)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_local", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: an unpartitioned window here is over <= n rows
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_offset"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(out_col, F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local") + 1)
-            .drop("_pid", "_local", "_offset"))
+    if bucket is None:
+        first = order_cols[0]
+        if not isinstance(first, str):
+            raise ValueError("pass an order-preserving bucket for expression order keys")
+        bucket = quantile_bucket(df, first, n)
+    d = df.withColumn("_b", bucket)
+    sizes = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per bucket: an unpartitioned window here is over <= n rows
+    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    within = F.row_number().over(Window.partitionBy("_b").orderBy(*cols))
+    return (d.join(F.broadcast(offsets), "_b")
+            .withColumn(out_col, (F.col("_off") + within).cast("bigint"))
+            .drop("_b", "_off"))
 
 
 def shuffle_rank(df: DataFrame, key: str, seed: str = "0", out_col: str = "shuffle_rank",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_buckets: int | None = None) -> DataFrame:
     """A seeded random permutation, returned as a rank column:
     rows are ordered by md5(seed || key), ties broken by the key."""
+    n = num_buckets or default_buckets(df.sparkSession)
     h = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))
-    return global_row_number(df.withColumn("_h", h), ["_h", key], out_col, num_partitions).drop("_h")
+    d = df.withColumn("_h", h)
+    return global_row_number(d, ["_h", key], out_col, hash_prefix_bucket("_h", n), n).drop("_h")
 
 
 def calculate_batch_size(total: Column, min_files: Column, start_cap: int = 10) -> Column:

@@ -185,14 +185,17 @@ def _plan_rounds(df: DataFrame, key: str, cfg: TrainerConfig, epoch: int) -> Dat
     ever holds a whole worker's share."""
     from pyspark.sql import Window
 
-    from ocellus.operators.sampling import global_row_number
+    from ocellus.operators.sampling import default_buckets, global_row_number, hash_prefix_bucket
     h = F.md5(F.concat(F.lit(f"{cfg.seed}:{epoch}:"), F.col(key).cast("string")))
     d = df.withColumn("_h", h).withColumn(
         "worker", hash_bucket(key, salt=f"w{cfg.seed}:{epoch}:", modulo=cfg.n_workers))
     sizes = d.groupBy("worker").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.select("worker", F.coalesce(F.sum("_n").over(
         Window.orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    ranked = global_row_number(d, ["worker", "_h", key], "_r").join(F.broadcast(starts), "worker")
+    nb = default_buckets(df.sparkSession)
+    bucket = F.col("worker") * F.lit(nb) + hash_prefix_bucket("_h", nb)
+    ranked = (global_row_number(d, ["worker", "_h", key], "_r", bucket, nb * cfg.n_workers)
+              .join(F.broadcast(starts), "worker"))
     pos = F.col("_r") - 1 - F.col("_start")
     return (ranked.withColumn("batch_no", F.floor(pos / cfg.batch_size).cast("int"))
             .withColumn("round", F.floor(F.col("batch_no") / cfg.window).cast("int"))

@@ -192,13 +192,14 @@ def q_batch_plan(spark, sf_dir):
 
 @register("labelled_union")
 def q_labelled_union(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "text")
+    """Two labelled sources (quality 1 / quality 0) with literal labels,
+    bag-unioned, then joined once to the documents (read once) with the
+    not-null filter on the payload."""
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = docs.join(lab, "doc_id")
-    good = joined.where(F.col("quality") == 1)
-    bad = joined.where(F.col("quality") == 0)
-    u = S.labelled_union((good, 1), (bad, 0), not_null="text")
-    return u.select("doc_id", "source", "n_chars", "label")
+    u = S.labelled_union((lab.where(F.col("quality") == 1).select("doc_id"), 1),
+                         (lab.where(F.col("quality") == 0).select("doc_id"), 0))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "text")
+    return docs.where(F.col("text").isNotNull()).join(u, "doc_id").select("doc_id", "source", "n_chars", "label")
 
 
 def _nation_items(spark, sf_dir):

@@ -34,16 +34,16 @@ def test_stratified_split_per_class_shares(spark):
 @pytest.mark.parametrize("parts", [1, 3, 7])
 def test_global_row_number_equals_sorted_order(spark, parts):
     e = _emb(spark).repartition(parts)
-    got = [r.vec_id for r in S.global_row_number(e, ["vec_id"], "rn", num_partitions=5).orderBy("rn").collect()]
+    got = [r.vec_id for r in S.global_row_number(e, ["vec_id"], "rn", num_buckets=5).orderBy("rn").collect()]
     assert got == sorted(got)
-    rn = [r.rn for r in S.global_row_number(e, ["vec_id"], "rn", num_partitions=5).collect()]
+    rn = [r.rn for r in S.global_row_number(e, ["vec_id"], "rn", num_buckets=5).collect()]
     assert sorted(rn) == list(range(1, len(rn) + 1))
 
 
 def test_shuffle_rank_is_a_permutation_independent_of_partitions(spark):
     e = _emb(spark)
     a = {r.vec_id: r.shuffle_rank for r in S.shuffle_rank(e, "vec_id", "s").collect()}
-    b = {r.vec_id: r.shuffle_rank for r in S.shuffle_rank(e.repartition(7), "vec_id", "s", num_partitions=3).collect()}
+    b = {r.vec_id: r.shuffle_rank for r in S.shuffle_rank(e.repartition(7), "vec_id", "s", num_buckets=3).collect()}
     assert a == b and sorted(a.values()) == list(range(1, len(a) + 1))
 
 
