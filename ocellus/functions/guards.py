@@ -18,3 +18,12 @@ def require_small(df: DataFrame, max_rows: int, what: str = "table") -> int:
     if n > max_rows:
         raise TooLargeError(f"{what} has more than {max_rows} rows; refusing to broadcast/collect")
     return n
+
+
+def collect_small(df: DataFrame, max_rows: int, what: str = "table") -> list:
+    """Collect a table known to be small (model weights, class lists) in one
+    job, failing if it holds more than ``max_rows`` rows."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise TooLargeError(f"{what} has more than {max_rows} rows; refusing to collect")
+    return rows

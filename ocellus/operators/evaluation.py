@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ocellus.functions import arrays as A
-from ocellus.functions.guards import require_small
+from ocellus.functions.guards import collect_small
 
 
 def flag_rate(df: DataFrame, flag_col: str = "search_term") -> DataFrame:
@@ -83,8 +83,7 @@ def nearest_centroid_predict(df: DataFrame, features_col: str, centroids: DataFr
     the lower label.  The centroids are the model: their count is checked,
     they are collected once and applied as a literal in a row-local
     expression, so scoring needs no join and no shuffle."""
-    require_small(centroids, max_classes, "centroid table")
-    rows = sorted(centroids.collect(), key=lambda r: r["label"])
+    rows = sorted(collect_small(centroids, max_classes, "centroid table"), key=lambda r: r["label"])
     labels = F.array(*[F.lit(r["label"]) for r in rows])
     cents = F.array(*[F.array(*[F.lit(float(v)) for v in r["centroid"]]) for r in rows])
     x = A.as_doubles(features_col)
