@@ -120,8 +120,13 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     if bucket is None:
         first = order_cols[0]
-        if not isinstance(first, str):
-            raise ValueError("pass an order-preserving bucket for expression order keys")
+        numeric = isinstance(first, str) and dict(df.dtypes)[first] in (
+            "tinyint", "smallint", "int", "bigint", "float", "double") or \
+            (isinstance(first, str) and dict(df.dtypes)[first].startswith("decimal"))
+        if len(order_cols) > 1 or not numeric:
+            # a composite key's first column may hold one hot value: let the
+            # range partitioner sample the whole key instead
+            return range_row_number(df, order_cols, out_col, n)
         bucket = quantile_bucket(df, first, n)
     d = df.withColumn("_b", bucket)
     sizes = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -134,6 +139,32 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col
             .drop("_b", "_off"))
 
 
+def range_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col: str = "row_no",
+                     num_partitions: int | None = None) -> DataFrame:
+    """Row number for any (composite) order key: range-partition on the
+    whole key (the sampler splits a hot first column by the later ones),
+    sort inside partitions, and checkpoint once to the shared checkpoint
+    folder so the numbering pass and the partition-size pass read the same
+    partitions.  Costs one extra write; use ``global_row_number`` with a
+    bucket when an order-preserving bucket is known."""
+    from ocellus.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or default_buckets(spark)
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_local", F.monotonically_increasing_id()
+                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+              .checkpoint(eager=True))
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(out_col, F.col("_off") + F.col("_local") + 1)
+            .drop("_pid", "_local", "_off"))
+
+
 def shuffle_rank(df: DataFrame, key: str, seed: str = "0", out_col: str = "shuffle_rank",
                  num_buckets: int | None = None) -> DataFrame:
     """A seeded random permutation, returned as a rank column:

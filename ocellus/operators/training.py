@@ -223,7 +223,7 @@ def train_mlp(spark: SparkSession, df: DataFrame, key: str, features_col: str, l
         planned = _plan_rounds(rows, key, cfg, epoch)
         path = scratch_path(spark, f"rounds-e{epoch}")
         # one write, partitioned by round: each round's job reads its own files
-        planned.select("round", "worker", "batch_no", "_h", key, "x", "y").write.partitionBy("round").parquet(path)
+        planned.select("round", "worker", "batch_no", "_h", key, "x", "y").repartition("round").write.partitionBy("round").parquet(path)
         stored = spark.read.parquet(path)
         n_rounds = stored.agg(F.max("round")).head()[0]
         for rnd in range(0 if n_rounds is None else n_rounds + 1):

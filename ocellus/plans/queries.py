@@ -344,12 +344,19 @@ def q_image_resize(spark, sf_dir):
     im = _image_table(spark, sf_dir)
     r = im.select("image_id", IM.resize_nearest("data", "height", "width", "n_channels",
                                                 *IM.MODEL_SIZE).alias("px"))
-    # checksums by explode + grouped sums (codegen), not per-element lambdas
-    px = r.select("image_id", F.posexplode("px").alias("i", "x"))
-    return px.groupBy("image_id").agg(
-        F.count(F.lit(1)).cast("int").alias("n_values"),
-        F.sum(F.col("x").cast("bigint")).alias("pixel_sum"),
-        F.sum(F.col("x").cast("bigint") * (F.col("i") + 1)).alias("weighted_sum"))
+    return r.select("image_id", _pixel_checksums("px").alias("c")).select("image_id", "c.*")
+
+
+@F.pandas_udf("n_values int, pixel_sum bigint, weighted_sum bigint")
+def _pixel_checksums(px):
+    """Size, sum and position-weighted sum of each pixel array (numpy)."""
+    import numpy as np
+    import pandas as pd
+    rows = []
+    for a in px:
+        v = np.asarray(a, dtype=np.int64)
+        rows.append((len(v), int(v.sum()), int((v * np.arange(1, len(v) + 1)).sum())))
+    return pd.DataFrame(rows, columns=["n_values", "pixel_sum", "weighted_sum"])
 
 
 @register("image_pixels")

@@ -21,7 +21,9 @@ def save_bucketed(df: DataFrame, key: str, path: str, buckets: int, table: str |
     """Write ``df`` as a parquet table bucketed and sorted by ``key`` at
     ``path`` (a shared location) and register it; returns the table name."""
     name = table or f"ocellus_{uuid.uuid4().hex[:12]}"
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    # one shuffle into the bucket layout first: each task then writes one
+    # file per bucket instead of one file per (task, bucket)
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(name))
     return name
 

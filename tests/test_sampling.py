@@ -65,3 +65,14 @@ def test_rotation_wraps_and_random_pick_in_range(spark):
 def test_first_n(spark):
     d = read_table(spark, SF_SMALL, "documents").select("doc_id")
     assert [r.doc_id for r in S.first_n(d, ["doc_id"], 5).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_row_number_with_hot_first_column(spark):
+    """A third of the rows share one value of the first order column: the
+    composite key is range-sampled as a whole and numbering stays exact."""
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id"))
+    out = S.global_row_number(df, ["k", "id"], "rn", num_buckets=16)
+    got = [(r.k, r.id) for r in out.orderBy("rn").collect()]
+    assert got == sorted((r.k, r.id) for r in df.collect())
+    assert sorted(r.rn for r in out.collect()) == list(range(1, 3001))
