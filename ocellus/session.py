@@ -33,7 +33,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -65,3 +65,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ocellus`` importable in every Python worker (pandas UDFs and
+    grouped-map functions are pickled by reference): zip the package once per
+    application and hand it to ``addPyFile``, which distributes it."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="ocellus-pkg-"), "ocellus.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> str:
+    """Everything a registered query needs from the session: the package on
+    the workers and a checkpoint folder.  Returns the checkpoint folder."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)

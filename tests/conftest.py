@@ -14,7 +14,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from ocellus.session import ensure_checkpoint_dir
+    from ocellus.session import prepare
 
     s = (SparkSession.builder.master("local[4]")
          .config("spark.sql.shuffle.partitions", "8")
@@ -25,7 +25,7 @@ def spark():
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)   # unset in tests: a temporary folder is registered
+    prepare(s)   # package on the workers; checkpoint dir unset in tests -> a temporary folder
     yield s
     s.stop()
 

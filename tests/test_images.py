@@ -81,3 +81,15 @@ def test_pooled_features_numpy(spark):
     f = FE.featurize(df, "pool", grid=2).first()["features"]
     assert f[:4] == [2.5, 4.5, 10.5, 12.5]
     assert f[4] == 7.5 and abs(f[5] - np.std(np.arange(16))) < 1e-12
+
+
+def test_onnx_featurizer_runs_a_user_model(spark, tmpdir_new):
+    from onnx_min import relu_model
+    path = f"{tmpdir_new}/relu.onnx"
+    with open(path, "wb") as f:
+        f.write(relu_model(6))
+    rows = [(i, [float(v) for v in range(-3 + i, 3 + i)]) for i in range(5)]
+    df = spark.createDataFrame(rows, "image_id int, x array<double>")
+    out = FE.featurize(df, "onnx", input_col="x", model_path=path, input_shape=(6,))
+    got = {r.image_id: list(r.features) for r in out.collect()}
+    assert got == {i: [max(v, 0.0) for v in x] for i, x in rows}
