@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ocellus.functions import arrays as A
 from ocellus.operators import evaluation as E
@@ -347,7 +348,9 @@ def q_image_resize(spark, sf_dir):
     return r.select("image_id", _pixel_checksums("px").alias("c")).select("image_id", "c.*")
 
 
-@F.pandas_udf("n_values int, pixel_sum bigint, weighted_sum bigint")
+@F.pandas_udf(T.StructType([T.StructField("n_values", T.IntegerType()),
+                            T.StructField("pixel_sum", T.LongType()),
+                            T.StructField("weighted_sum", T.LongType())]))
 def _pixel_checksums(px):
     """Size, sum and position-weighted sum of each pixel array (numpy)."""
     import numpy as np
