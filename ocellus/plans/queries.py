@@ -587,7 +587,10 @@ def q_stream_score(spark, sf_dir):
     from ocellus.session import scratch_path
     base = scratch_path(spark, "stream_score")
     ev = read_table(spark, sf_dir, "events").select("event_id", "value")
-    ev.repartition(STREAM_FILES).write.parquet(f"{base}/in")
+    # replay at the input's own granularity (at least STREAM_FILES files),
+    # consumed in about STREAM_FILES micro-batches whatever the scale
+    n_files = max(STREAM_FILES, ev.rdd.getNumPartitions())
+    ev.repartition(n_files).write.parquet(f"{base}/in")
     scorer = SS.threshold_scorer("value")
 
     def transform(stream):
@@ -595,7 +598,8 @@ def q_stream_score(spark, sf_dir):
         return enriched.select("event_id", "content", "prediction_label", "prediction_prob", "attributes", "error")
 
     out = SS.run_stream(spark, f"{base}/in", "event_id bigint, value double", transform,
-                        f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=1)
+                        f"{base}/out", f"{base}/checkpoint",
+                        max_files_per_trigger=max(1, n_files // STREAM_FILES))
     return out.select("event_id", "content", "prediction_label", "prediction_prob",
                       F.col("attributes")["prediction_prob"].alias("prob_attr"))
 
