@@ -86,21 +86,24 @@ def hash_prefix_bucket(hex_col: Column | str, num_buckets: int) -> Column:
     return F.floor(prefix * F.lit(num_buckets) / F.lit(16 ** 6)).cast("int")
 
 
-def quantile_bucket(df: DataFrame, col: str, num_buckets: int) -> Column:
-    """Order-preserving bucket of a numeric column from approximate
-    quantiles, computed once (one pass over one column) and applied as
-    literal splits, so every later pass sees the same buckets."""
-    probs = [i / num_buckets for i in range(1, num_buckets)]
-    qs = df.select(F.col(col).cast("double").alias("_q")).approxQuantile("_q", probs, 1.0 / (4 * num_buckets))
-    splits = sorted(set(q for q in qs if q is not None))
-    x = F.col(col).cast("double")
-    # number of splits <= x, as a balanced tree of comparisons (JVM codegen)
-    def count_le(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x >= F.lit(splits[mid]), count_le(mid + 1, hi)).otherwise(count_le(lo, mid))
-    return count_le(0, len(splits)).cast("int")
+MAX_QUANTILE_BUCKETS = 256
+
+
+def quantile_bucketize(df: DataFrame, col: str, num_buckets: int, out_col: str = "_b") -> DataFrame:
+    """Add an order-preserving bucket of a numeric column from approximate
+    quantiles.  The splits are computed once (one pass over one column, a
+    mergeable sketch) and applied by ``Bucketizer`` (binary search in the
+    JVM), so every later pass sees the same buckets.  The count is capped:
+    buckets only need to outnumber the tasks that process them."""
+    from pyspark.ml.feature import Bucketizer
+
+    nb = max(2, min(num_buckets, MAX_QUANTILE_BUCKETS))
+    probs = [i / nb for i in range(1, nb)]
+    qs = df.select(F.col(col).cast("double").alias("_q")).approxQuantile("_q", probs, 1.0 / (2 * nb))
+    splits = [float("-inf"), *sorted(set(q for q in qs if q is not None)), float("inf")]
+    out = Bucketizer(splits=splits, inputCol="_qv", outputCol=out_col, handleInvalid="keep").transform(
+        df.withColumn("_qv", F.col(col).cast("double")))
+    return out.withColumn(out_col, F.col(out_col).cast("int")).drop("_qv")
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col: str = "row_no",
@@ -127,8 +130,9 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col
             # a composite key's first column may hold one hot value: let the
             # range partitioner sample the whole key instead
             return range_row_number(df, order_cols, out_col, n)
-        bucket = quantile_bucket(df, first, n)
-    d = df.withColumn("_b", bucket)
+        d = quantile_bucketize(df, first, n, "_b")
+    else:
+        d = df.withColumn("_b", bucket)
     sizes = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     # one row per bucket: an unpartitioned window here is over <= n rows
     offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(
