@@ -203,9 +203,11 @@ def _plan_rounds(df: DataFrame, key: str, cfg: TrainerConfig, epoch: int) -> Dat
 
 
 def train_mlp(spark: SparkSession, df: DataFrame, key: str, features_col: str, label_col: str,
-              n_classes: int, cfg: TrainerConfig) -> dict:
+              n_classes: int, cfg: TrainerConfig, validation: DataFrame | None = None) -> dict:
     """Train on ``df`` (features array<double>, integer label).  Returns the
-    weights (one model copy, on the driver) plus timing in ``cfg.history``."""
+    weights (one model copy, on the driver).  ``cfg.history`` gets one entry
+    per epoch (validation loss/accuracy when ``validation`` is given, as the
+    reference's fit reported) and a final entry with the training time."""
     from ocellus.session import ensure_checkpoint_dir, scratch_path
     ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
@@ -243,6 +245,11 @@ def train_mlp(spark: SparkSession, df: DataFrame, key: str, features_col: str, l
                 centre = unflatten(flat, centre, names)
             state = out.where(F.col("kind") == "state").select("worker", "chunk", "values")
             bc.unpersist()
+        if validation is not None:
+            from ocellus.operators.evaluation import log_loss
+            v = validation.select(A.as_doubles(features_col).alias("_x"), F.col(label_col).cast("int").alias("_y"))
+            m = log_loss(predict_mlp(v, centre, "_x", n_classes), "_y", "probability").first()
+            cfg.history.append({"epoch": epoch + 1, "val_loss": m["loss"], "val_accuracy": m["accuracy"]})
     cfg.history.append({"seconds": time.time() - t0})
     return centre
 

@@ -68,3 +68,25 @@ def test_trainer_report_rows(spark):
     rows = {r.trainer: r for r in Q.q_trainer_report(spark, SF_CHECK).collect()}
     assert set(rows) == {"single", "adag"}
     assert all(0 <= r.accuracy <= 1 and r.time_spent > 0 for r in rows.values())
+
+
+def test_trainer_independent_of_input_partitioning(spark):
+    train, _ = Q._planted_split(spark, SF_CHECK, 60)
+    small = dict(hidden=(8,), dropout=(0.5,), batch_size=16, epochs=1, seed=5, n_workers=2, window=3)
+    a = TR.train_mlp(spark, train.repartition(1), "vec_id", "embedding", "label", 2, TR.TrainerConfig(**small))
+    b = TR.train_mlp(spark, train.repartition(5), "vec_id", "embedding", "label", 2, TR.TrainerConfig(**small))
+    assert all(np.array_equal(a[k], b[k]) for k in a)
+
+
+def test_head_settings_with_validation_history(spark):
+    """Dense-relu -> dropout .5 -> softmax, rmsprop, a few epochs; the
+    validation loss and accuracy are reported every epoch."""
+    train, test = Q._planted_split(spark, SF_CHECK, 60)
+    cfg = TR.TrainerConfig(hidden=(256,), dropout=(0.5,), optimizer="rmsprop", epochs=3, batch_size=25,
+                           n_workers=1, window=1000, commit="replace")
+    w = TR.train_mlp(spark, train, "vec_id", "embedding", "label", 2, cfg, validation=test)
+    epochs = [h for h in cfg.history if "epoch" in h]
+    assert [h["epoch"] for h in epochs] == [1, 2, 3]
+    assert epochs[-1]["val_accuracy"] > _majority(test)
+    scored = TR.predict_mlp(test.select("vec_id", "label", A.as_doubles("embedding").alias("x")), w, "x", 2)
+    assert abs(_acc(scored) - epochs[-1]["val_accuracy"]) < 1e-12
