@@ -155,3 +155,8 @@ def thumbnail_job(images: DataFrame, image_col: str = "image", box: tuple[int, i
         i["origin"].alias("path"), i["height"].alias("height"), i["width"].alias("width"),
         i["nChannels"].alias("n_channels"), i["data"].alias("data"))
     return src.mapInPandas(lambda it: _thumbs(it, box[0], box[1], prefix), THUMB_SCHEMA)
+
+
+def write_thumbnails(thumbs: DataFrame, path: str) -> None:
+    """Thumbnail set sink: parquet rows (name, bytes, width, height)."""
+    thumbs.write.mode("overwrite").parquet(path)

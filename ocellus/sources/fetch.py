@@ -45,6 +45,23 @@ def table_fetcher(url_col: str = "url", body_col: str = "html") -> Fetcher:
     return fetch
 
 
+def http_fetcher(timeout: float = 10.0, max_bytes: int = 50 * 1024 * 1024) -> Fetcher:
+    """Plain HTTP(S) GET with the standard library, as the downloader did
+    with a streaming request.  Non-200 answers return their status; network
+    errors raise (outcome "error").  Not exercised in tests: no network."""
+
+    def fetch(row: dict) -> tuple[int, bytes | None]:
+        import urllib.error
+        import urllib.request
+        try:
+            with urllib.request.urlopen(row["url"], timeout=timeout) as r:
+                return r.status, r.read(max_bytes)
+        except urllib.error.HTTPError as e:
+            return e.code, None
+
+    return fetch
+
+
 def _outcomes(rows: Iterator[pd.DataFrame], fetch: Fetcher, url_col: str,
               allowed: tuple[str, ...], keep_content: bool) -> Iterable[pd.DataFrame]:
     for pdf in rows:

@@ -44,6 +44,26 @@ def labelled_dir_scan(spark: SparkSession, root: str, allowed: Iterable[str] | N
     return out.orderBy("path")
 
 
+def with_class_labels(scan: DataFrame, class_mode: str | None = "categorical",
+                      max_classes: int = 100_000) -> DataFrame:
+    """The directory generator's label columns: none for ``class_mode=None``;
+    for ``"categorical"`` the alphabetical class index and a full-width
+    one-hot.  The class table is size-checked and broadcast."""
+    if class_mode is None:
+        return scan
+    if class_mode != "categorical":
+        raise ValueError(f"unsupported class_mode {class_mode!r}")
+    from ocellus.functions.guards import require_small
+    from ocellus.operators.features import class_index_table
+
+    table = class_index_table(scan, "class")
+    k = require_small(table, max_classes, "class table")
+    labelled = scan.join(F.broadcast(table), "class")
+    one_hot = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                          lambda i: F.when(i == F.col("class_index"), F.lit(1.0)).otherwise(F.lit(0.0)))
+    return labelled.withColumn("label", one_hot)
+
+
 def class_file_counts(scan: DataFrame) -> DataFrame:
     return scan.groupBy("class").agg(F.count(F.lit(1)).alias("n_files"))
 

@@ -93,3 +93,16 @@ def test_onnx_featurizer_runs_a_user_model(spark, tmpdir_new):
     out = FE.featurize(df, "onnx", input_col="x", model_path=path, input_shape=(6,))
     got = {r.image_id: list(r.features) for r in out.collect()}
     assert got == {i: [max(v, 0.0) for v in x] for i, x in rows}
+
+
+def test_categorical_labels_and_thumbnail_sink(spark, tmpdir_new):
+    make_tree(f"{tmpdir_new}/tree")
+    scan = FS.labelled_dir_scan(spark, f"{tmpdir_new}/tree", allowed=("png",))
+    lab = {r.path.rsplit("/", 1)[-1]: (r["class"], r.class_index, list(r.label))
+           for r in FS.with_class_labels(scan).collect()}
+    assert lab["a1.png"] == ("a", 0, [1.0, 0.0]) and lab["b1.png"] == ("b", 1, [0.0, 1.0])
+    assert FS.with_class_labels(scan, None).columns == scan.columns
+    th = IM.thumbnail_job(FS.read_images(spark, f"{tmpdir_new}/tree"))
+    IM.write_thumbnails(th, f"{tmpdir_new}/thumbs")
+    back = spark.read.parquet(f"{tmpdir_new}/thumbs")
+    assert back.count() == th.count() == 5
