@@ -60,10 +60,19 @@ def enrich_records(df: DataFrame, content_col: str, scorer: Scorer) -> DataFrame
 
 def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str, transform: Callable,
                sink_dir: str, checkpoint_dir: str, fmt: str = "parquet", options: dict | None = None,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: int | None = None, clean_source: str | None = None,
+               archive_dir: str | None = None) -> DataFrame:
     """Run a file-source stream to completion (``availableNow``) into a
-    parquet sink with its own checkpoint; return the sink as a table."""
+    parquet sink with its own checkpoint; return the sink as a table.
+
+    ``clean_source="delete"`` (or ``"archive"`` with ``archive_dir``)
+    removes input files once they are committed, as the flow processor
+    removed each record after routing it; off by default."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if max_files_per_trigger:
