@@ -297,7 +297,7 @@ def q_response_body(spark, sf_dir):
     b = TX.response_body(raw)
     return d.select("doc_id", b.alias("body"),
                     F.get_json_object(b, "$.prediction_label").alias("prediction_label"),
-                    F.get_json_object(b, "$.prediction_prob").cast("bigint").alias("prediction_prob"))
+                    F.get_json_object(b, "$.prediction_prob").try_cast("bigint").alias("prediction_prob"))
 
 
 @register("path_rewrite")
@@ -615,7 +615,7 @@ def q_score_requests(spark, sf_dir):
     body = F.to_json(F.struct(payload.alias("image")))
     method = F.when(F.col("event_type") == "view", F.lit("GET")).otherwise(F.lit("POST"))
     req = SS.request_table(ev.withColumn("method", method).withColumn("body", body), "event_id", "method", "body")
-    ans = SS.answer_requests(req, lambda p: p.cast("string").cast("double"), SS.threshold_scorer("_value"))
+    ans = SS.answer_requests(req, lambda p: p.cast("string").try_cast("double"), SS.threshold_scorer("_value"))
     return ans.select("request_id", "method", "prediction_label", "prediction_prob",
                       F.col("response").isNotNull().alias("has_response"))
 
@@ -628,7 +628,7 @@ def q_score_json(spark, sf_dir):
     parsed = F.from_json(req, "event_id bigint, value double")
     scored = SS.threshold_scorer("value")(ev.withColumn("req", req))
     return scored.select(
-        "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        "event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
         parsed["value"].alias("value_roundtrip"), "prediction_label",
         SS.format_attribute(F.col("prediction_prob")).alias("prob_attr"))
 

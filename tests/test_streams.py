@@ -47,11 +47,12 @@ def test_enrich_records_attributes(spark):
 
 def test_request_table_answers(spark):
     rows = [(1, "POST", '{"image": "NjAuMA=="}'), (2, "GET", None), (3, "POST", '{"image": "@@@"}'),
-            (4, "POST", '{"image": "data:image/png;base64,NjAuMA=="}'), (5, "POST", '{"other": 1}')]
+            (4, "POST", '{"image": "data:image/png;base64,NjAuMA=="}'), (5, "POST", '{"other": 1}'),
+            (6, "POST", '{"image": "YWJj"}')]   # valid base64 of "abc": decodes, is not a score input
     req = spark.createDataFrame(rows, "request_id int, method string, body string")
     ans = {r.request_id: r for r in SS.answer_requests(
-        req, lambda p: p.cast("string").cast("double"), SS.threshold_scorer("_value")).collect()}
+        req, lambda p: p.cast("string").try_cast("double"), SS.threshold_scorer("_value")).collect()}
     assert ans[1].response == '{"prediction_label":"HIGH","prediction_prob":0.645656}'
     assert ans[4].response == ans[1].response
     assert ans[2].response is None and ans[2].error is None
-    assert ans[3].error == "bad request" and ans[5].error == "bad request"
+    assert ans[3].error == "bad request" and ans[5].error == "bad request" and ans[6].error == "bad request"
