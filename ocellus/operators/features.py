@@ -147,7 +147,6 @@ def one_hot(df: DataFrame, index_col: str, width: int | None = None, out_col: st
         model = enc.fit(df)
     else:
         # fix the width from the class count instead of the data's max index
-        from pyspark.ml.feature import OneHotEncoderModel  # noqa: F401
         model = enc.fit(df.sparkSession.range(width).select(F.col("id").cast("double").alias(index_col)))
     return model.transform(df.withColumn(index_col, F.col(index_col).cast("double"))) \
         .withColumn(out_col, vector_to_array("_oh")).drop("_oh") \
