@@ -341,7 +341,10 @@ FROM events
 ORACLES["url_manifest_read"] = f"SELECT url, {_NAME} AS file_name, {_EXT} AS extension FROM pages"
 
 ORACLES["csv_features"] = """
-SELECT l_returnflag AS "Label", count(*) AS n, round(sum(l_quantity), 6) AS sum_f1,
-       round(sum(l_extendedprice), 6) AS sum_f2, round(sum(l_discount), 6) AS sum_f3, round(sum(l_tax), 6) AS sum_f4
+SELECT l_returnflag AS "Label", count(*) AS n,
+       CAST(sum(CAST(round(l_quantity * 100) AS BIGINT)) AS BIGINT) AS sum_f1_cents,
+       CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS sum_f2_cents,
+       CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS BIGINT) AS sum_f3_cents,
+       CAST(sum(CAST(round(l_tax * 100) AS BIGINT)) AS BIGINT) AS sum_f4_cents
 FROM lineitem GROUP BY l_returnflag
 """

@@ -655,5 +655,8 @@ def q_csv_features(spark, sf_dir):
     schema = "Label string, " + ", ".join(f"{c} double" for c in LINE_FEATURES)
     v = FE.assemble(FS.read_feature_csv(spark, path, schema), "Label")
     a = vector_to_array(F.col("features"))
+    # the inputs have two decimals: sum whole cents so the check is exact at
+    # any scale (a double sum of ~1e10 has no sixth decimal to compare)
+    cents = [F.round(a[i] * 100).cast("bigint") for i in range(len(LINE_FEATURES))]
     return v.groupBy("Label").agg(F.count(F.lit(1)).alias("n"),
-                                  *[F.round(F.sum(a[i]), 6).alias(f"sum_f{i + 1}") for i in range(len(LINE_FEATURES))])
+                                  *[F.sum(c).alias(f"sum_f{i + 1}_cents") for i, c in enumerate(cents)])
