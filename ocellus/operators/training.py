@@ -10,9 +10,10 @@ commits (local - start) / window, which is added to the centre.  The
 library it replaces was asynchronous; this one runs synchronous rounds so
 results repeat.  One round is one Spark job:
 
-* rows carry worker = rank mod n_workers and round = batch_no div window,
-  from a seeded shuffle rank, so no group ever holds more than
-  window x batch rows;
+* rows carry worker = md5 bucket mod n_workers and round = batch_no div
+  window, batches in a seeded hash order, so no group ever holds more than
+  window x batch rows; the planned rows are written once, partitioned by
+  round, and each round's job reads only its own files;
 * the round's rows are cogrouped with the per-worker optimizer state (a
   DataFrame, checkpointed each round to cut lineage) and trained in numpy
   inside ``applyInPandas``; centre weights travel as a broadcast variable;
@@ -176,30 +177,40 @@ class TrainerConfig:
     history: list = field(default_factory=list)
 
 
-def _plan_rounds(df: DataFrame, key: str, cfg: TrainerConfig, epoch: int) -> DataFrame:
-    """worker, batch and round numbers from a seeded hash order (per epoch).
+ROWS_PER_BUCKET = 1_000_000      # target size of one numbering task in the round planner
 
-    worker = md5 bucket mod n_workers; the position inside a worker comes
-    from a range-partitioned global row number over (worker, hash, key)
-    minus the worker's start offset (a table of n_workers rows), so no task
-    ever holds a whole worker's share."""
-    from pyspark.sql import Window
 
-    from ocellus.operators.sampling import default_buckets, global_row_number, hash_prefix_bucket
+def _plan_rounds(df: DataFrame, key: str, cfg: TrainerConfig, epoch: int) -> tuple[DataFrame, int]:
+    """worker, batch and round numbers from a seeded hash order (per epoch);
+    returns the planned rows and the number of rounds.
+
+    worker = md5 bucket mod n_workers.  The per-worker row counts (n_workers
+    rows, collected with a bound) give each worker's start offset, the
+    number of rounds and how many hash buckets each worker's rows are
+    numbered in (about ROWS_PER_BUCKET rows per bucket), so no task ever
+    holds a whole worker's share and the offsets table grows only with the
+    data / ROWS_PER_BUCKET."""
+    from ocellus.functions.guards import collect_small
+    from ocellus.operators.sampling import global_row_number, hash_prefix_bucket
+
     h = F.md5(F.concat(F.lit(f"{cfg.seed}:{epoch}:"), F.col(key).cast("string")))
     d = df.withColumn("_h", h).withColumn(
         "worker", hash_bucket(key, salt=f"w{cfg.seed}:{epoch}:", modulo=cfg.n_workers))
-    sizes = d.groupBy("worker").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select("worker", F.coalesce(F.sum("_n").over(
-        Window.orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    nb = default_buckets(df.sparkSession)
-    bucket = F.col("worker") * F.lit(nb) + hash_prefix_bucket("_h", nb)
-    ranked = (global_row_number(d, ["worker", "_h", key], "_r", bucket, nb * cfg.n_workers)
-              .join(F.broadcast(starts), "worker"))
-    pos = F.col("_r") - 1 - F.col("_start")
-    return (ranked.withColumn("batch_no", F.floor(pos / cfg.batch_size).cast("int"))
-            .withColumn("round", F.floor(F.col("batch_no") / cfg.window).cast("int"))
-            .drop("_r", "_start"))
+    counts = {r["worker"]: r["_n"] for r in collect_small(
+        d.groupBy("worker").agg(F.count(F.lit(1)).alias("_n")), cfg.n_workers, "worker sizes")}
+    sizes = [counts.get(w, 0) for w in range(cfg.n_workers)]
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int).tolist()
+    biggest = max(sizes) if sizes else 0
+    n_rounds = -(-(-(-biggest // cfg.batch_size)) // cfg.window)        # ceil(ceil(n / batch) / window)
+    per_worker = max(1, -(-biggest // ROWS_PER_BUCKET))
+    bucket = F.col("worker") * F.lit(per_worker) + hash_prefix_bucket("_h", per_worker)
+    ranked = global_row_number(d, ["worker", "_h", key], "_r", bucket, per_worker * cfg.n_workers)
+    start = F.element_at(F.array(*[F.lit(int(x)) for x in starts]), F.col("worker") + 1)
+    pos = F.col("_r") - 1 - start
+    planned = (ranked.withColumn("batch_no", F.floor(pos / cfg.batch_size).cast("int"))
+               .withColumn("round", F.floor(F.col("batch_no") / cfg.window).cast("int"))
+               .drop("_r"))
+    return planned, n_rounds
 
 
 def train_mlp(spark: SparkSession, df: DataFrame, key: str, features_col: str, label_col: str,
@@ -222,13 +233,12 @@ def train_mlp(spark: SparkSession, df: DataFrame, key: str, features_col: str, l
     state = spark.createDataFrame([], state_schema)
     rows = df.select(key, A.as_doubles(features_col).alias("x"), F.col(label_col).cast("int").alias("y"))
     for epoch in range(cfg.epochs):
-        planned = _plan_rounds(rows, key, cfg, epoch)
+        planned, n_rounds = _plan_rounds(rows, key, cfg, epoch)
         path = scratch_path(spark, f"rounds-e{epoch}")
         # one write, partitioned by round: each round's job reads its own files
         planned.select("round", "worker", "batch_no", "_h", key, "x", "y").repartition("round").write.partitionBy("round").parquet(path)
         stored = spark.read.parquet(path)
-        n_rounds = stored.agg(F.max("round")).head()[0]
-        for rnd in range(0 if n_rounds is None else n_rounds + 1):
+        for rnd in range(n_rounds):
             bc = sc.broadcast(flatten(centre, names))
             part = stored.where(F.col("round") == rnd)
             fn = _round_fn(bc, centre, names, n_layers, n_classes, cfg, epoch, rnd, size)

@@ -493,7 +493,7 @@ def q_gbt_quality(spark, sf_dir):
 def q_binary_auc(spark, sf_dir):
     f = _text_features(spark, sf_dir)
     model = TR.fit_gbt(f.where(F.col("split") == "train"))
-    scored = model.transform(f.where(F.col("split") == "test")).cache()
+    scored = model.transform(f.where(F.col("split") == "test"))
     auc = E.binary_auc(scored, "label", "rawPrediction")
     out = scored.agg(F.count(F.lit(1)).alias("n_test")).withColumn("auc", F.round(F.lit(auc), 6))
     return out
