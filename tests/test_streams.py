@@ -2,7 +2,6 @@
 
 import shutil
 
-from pyspark.sql import functions as F
 
 from ocellus.functions import text as TX
 from ocellus.streaming import scoring as SS
