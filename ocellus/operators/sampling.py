@@ -89,7 +89,7 @@ def hash_prefix_bucket(hex_col: Column | str, num_buckets: int) -> Column:
 MAX_QUANTILE_BUCKETS = 256
 
 
-def quantile_bucketize(df: DataFrame, col: str, num_buckets: int, out_col: str = "_b") -> DataFrame:
+def quantile_bucketize(df: DataFrame, col: str, num_buckets: int, out_col: str = "__rn_b") -> DataFrame:
     """Add an order-preserving bucket of a numeric column from approximate
     quantiles.  The splits are computed once (one pass over one column, a
     mergeable sketch) and applied by ``Bucketizer`` (binary search in the
@@ -99,11 +99,11 @@ def quantile_bucketize(df: DataFrame, col: str, num_buckets: int, out_col: str =
 
     nb = max(2, min(num_buckets, MAX_QUANTILE_BUCKETS))
     probs = [i / nb for i in range(1, nb)]
-    qs = df.select(F.col(col).cast("double").alias("_q")).approxQuantile("_q", probs, 1.0 / (2 * nb))
+    qs = df.select(F.col(col).cast("double").alias("__rn_q")).approxQuantile("__rn_q", probs, 1.0 / (2 * nb))
     splits = [float("-inf"), *sorted(set(q for q in qs if q is not None)), float("inf")]
-    out = Bucketizer(splits=splits, inputCol="_qv", outputCol=out_col, handleInvalid="keep").transform(
-        df.withColumn("_qv", F.col(col).cast("double")))
-    return out.withColumn(out_col, F.col(out_col).cast("int")).drop("_qv")
+    out = Bucketizer(splits=splits, inputCol="__rn_qv", outputCol=out_col, handleInvalid="keep").transform(
+        df.withColumn("__rn_qv", F.col(col).cast("double")))
+    return out.withColumn(out_col, F.col(out_col).cast("int")).drop("__rn_qv")
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col: str = "row_no",
@@ -130,17 +130,17 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col
             # a composite key's first column may hold one hot value: let the
             # range partitioner sample the whole key instead
             return range_row_number(df, order_cols, out_col, n)
-        d = quantile_bucketize(df, first, n, "_b")
+        d = quantile_bucketize(df, first, n, "__rn_b")
     else:
-        d = df.withColumn("_b", bucket)
-    sizes = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+        d = df.withColumn("__rn_b", bucket)
+    sizes = d.groupBy("__rn_b").agg(F.count(F.lit(1)).alias("__rn_n"))
     # one row per bucket: an unpartitioned window here is over <= n rows
-    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    within = F.row_number().over(Window.partitionBy("_b").orderBy(*cols))
-    return (d.join(F.broadcast(offsets), "_b")
-            .withColumn(out_col, (F.col("_off") + within).cast("bigint"))
-            .drop("_b", "_off"))
+    offsets = sizes.select("__rn_b", F.coalesce(F.sum("__rn_n").over(
+        Window.orderBy("__rn_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__rn_off"))
+    within = F.row_number().over(Window.partitionBy("__rn_b").orderBy(*cols))
+    return (d.join(F.broadcast(offsets), "__rn_b")
+            .withColumn(out_col, (F.col("__rn_off") + within).cast("bigint"))
+            .drop("__rn_b", "__rn_off"))
 
 
 def range_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col: str = "row_no",
@@ -157,16 +157,16 @@ def range_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col:
     n = num_partitions or default_buckets(spark)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_local", F.monotonically_increasing_id()
+              .withColumn("__rn_pid", F.spark_partition_id())
+              .withColumn("__rn_local", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
               .checkpoint(eager=True))
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(out_col, F.col("_off") + F.col("_local") + 1)
-            .drop("_pid", "_local", "_off"))
+    sizes = ranged.groupBy("__rn_pid").agg(F.count(F.lit(1)).alias("__rn_n"))
+    offsets = sizes.select("__rn_pid", F.coalesce(F.sum("__rn_n").over(
+        Window.orderBy("__rn_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__rn_off"))
+    return (ranged.join(F.broadcast(offsets), "__rn_pid")
+            .withColumn(out_col, F.col("__rn_off") + F.col("__rn_local") + 1)
+            .drop("__rn_pid", "__rn_local", "__rn_off"))
 
 
 def shuffle_rank(df: DataFrame, key: str, seed: str = "0", out_col: str = "shuffle_rank",
@@ -175,8 +175,8 @@ def shuffle_rank(df: DataFrame, key: str, seed: str = "0", out_col: str = "shuff
     rows are ordered by md5(seed || key), ties broken by the key."""
     n = num_buckets or default_buckets(df.sparkSession)
     h = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))
-    d = df.withColumn("_h", h)
-    return global_row_number(d, ["_h", key], out_col, hash_prefix_bucket("_h", n), n).drop("_h")
+    d = df.withColumn("__sr_h", h)
+    return global_row_number(d, ["__sr_h", key], out_col, hash_prefix_bucket("__sr_h", n), n).drop("__sr_h")
 
 
 def calculate_batch_size(total: Column, min_files: Column, start_cap: int = 10) -> Column:
@@ -190,11 +190,11 @@ def calculate_batch_size(total: Column, min_files: Column, start_cap: int = 10)
 def batch_plan(df: DataFrame, group_col: str, class_col: str, start_cap: int = 10) -> DataFrame:
     """Per group (e.g. training / validation tree): files, classes, smallest
     class, batch size and predict steps = ceil(files / batch)."""
-    per_class = df.groupBy(group_col, class_col).agg(F.count(F.lit(1)).alias("_n"))
+    per_class = df.groupBy(group_col, class_col).agg(F.count(F.lit(1)).alias("__rn_n"))
     per_group = per_class.groupBy(group_col).agg(
-        F.sum("_n").alias("n_files"),
+        F.sum("__rn_n").alias("n_files"),
         F.count(F.lit(1)).alias("n_classes"),
-        F.min("_n").alias("min_class_files"))
+        F.min("__rn_n").alias("min_class_files"))
     bs = calculate_batch_size(F.col("n_files"), F.col("min_class_files"), start_cap)
     return (per_group.withColumn("batch_size", bs)
             .withColumn("steps", F.ceil(F.col("n_files") / F.col("batch_size")).cast("bigint")))

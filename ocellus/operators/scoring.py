@@ -28,11 +28,11 @@ def class_probabilities(df: DataFrame, logits_col: str, out_col: str = "probabil
         return df.withColumn(out_col, A.sigmoid(z))
     if activation != "softmax":
         raise ValueError(f"unknown activation {activation!r}")
-    d = df.withColumn("_z", z).withColumn("_zmax", F.array_max("_z"))
-    d = d.withColumn("_e", F.transform("_z", lambda v: F.exp(v - F.col("_zmax"))))
-    d = d.withColumn("_esum", A.array_sum("_e"))
-    return (d.withColumn(out_col, F.transform("_e", lambda v: v / F.col("_esum")))
-            .drop("_z", "_zmax", "_e", "_esum"))
+    d = df.withColumn("__cp_z", z).withColumn("__cp_zmax", F.array_max("__cp_z"))
+    d = d.withColumn("__cp_e", F.transform("__cp_z", lambda v: F.exp(v - F.col("__cp_zmax"))))
+    d = d.withColumn("__cp_esum", A.array_sum("__cp_e"))
+    return (d.withColumn(out_col, F.transform("__cp_e", lambda v: v / F.col("__cp_esum")))
+            .drop("__cp_z", "__cp_zmax", "__cp_e", "__cp_esum"))
 
 
 def class_names_table(df: DataFrame, index_col: str, name_col: str, max_classes: int = 10_000) -> DataFrame:

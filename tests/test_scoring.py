@@ -53,3 +53,11 @@ def test_log_loss_and_confusion(spark):
     c = {(x.label, x.prediction): x.n for x in E.confusion_counts(
         df.withColumn("pred", A.argmax("p")), "label", "pred").collect()}
     assert c == {(0, 0): 1, (1, 1): 1, (1, 0): 1}
+
+
+def test_class_probabilities_keeps_caller_columns(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0], "keep")], "_z int, z array<double>, _e string")
+    out = SC.class_probabilities(df, "z")
+    assert out.columns == ["_z", "z", "_e", "probability"]
+    r = out.first()
+    assert r["_z"] == 1 and r["_e"] == "keep" and abs(sum(r.probability) - 1) < 1e-12
