@@ -76,3 +76,19 @@ def test_row_number_with_hot_first_column(spark):
     got = [(r.k, r.id) for r in out.orderBy("rn").collect()]
     assert got == sorted((r.k, r.id) for r in df.collect())
     assert sorted(r.rn for r in out.collect()) == list(range(1, 3001))
+
+
+def test_quantile_buckets_balanced_on_clustered_keys(spark):
+    """Ids spread exponentially (most rows crowd the low end): quantile
+    buckets stay balanced where equal-width buckets would put nearly all rows
+    in one."""
+    df = spark.range(0, 20000).select((F.pow(F.lit(1.001), F.col("id"))).cast("bigint").alias("k"), "id") \
+        .select((F.col("k") * 20000 + F.col("id")).alias("key"))
+    b = S.quantile_bucketize(df, "key", 32, "bucket")
+    sizes = [r["count"] for r in b.groupBy("bucket").count().collect()]
+    assert len(sizes) >= 28 and max(sizes) < 3 * (20000 / len(sizes))
+    width = b.select(F.floor((F.col("key") - F.lit(0)) * 32 / F.lit(df.agg(F.max("key")).first()[0] + 1)).alias("w")) \
+        .groupBy("w").count().agg(F.max("count")).first()[0]
+    assert width > 10000          # equal-width buckets: more than half the rows in one bucket
+    out = S.global_row_number(df, ["key"], "rn", num_buckets=32)
+    assert sorted(r.rn for r in out.collect()) == list(range(1, 20001))
