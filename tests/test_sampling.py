@@ -92,3 +92,20 @@ def test_quantile_buckets_balanced_on_clustered_keys(spark):
     assert width > 10000          # equal-width buckets: more than half the rows in one bucket
     out = S.global_row_number(df, ["key"], "rn", num_buckets=32)
     assert sorted(r.rn for r in out.collect()) == list(range(1, 20001))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_range_row_number_partition_independent(spark, parts):
+    df = spark.range(0, 2000).select((F.col("id") % 5).alias("g"), (F.col("id") * 7919 % 2003).alias("v"))
+    out = S.global_row_number(df.repartition(parts), ["g", "v"], "rn", num_buckets=6)
+    got = {(r.g, r.v): r.rn for r in out.collect()}
+    want = {k: i + 1 for i, k in enumerate(sorted((r.g, r.v) for r in df.collect()))}
+    assert got == want
+
+
+def test_hash_prefix_bucket_preserves_md5_order(spark):
+    df = spark.range(0, 5000).select(F.md5(F.col("id").cast("string")).alias("h"))
+    rows = df.select("h", S.hash_prefix_bucket("h", 97).alias("b")).collect()
+    ordered = sorted(rows, key=lambda r: r.h)
+    assert all(a.b <= b.b for a, b in zip(ordered, ordered[1:]))
+    assert 0 <= min(r.b for r in rows) and max(r.b for r in rows) < 97
