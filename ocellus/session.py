@@ -73,7 +73,11 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``ocellus`` importable in every Python worker (pandas UDFs and
     grouped-map functions are pickled by reference): zip the package once per
-    application and hand it to ``addPyFile``, which distributes it."""
+    application and hand it to ``addPyFile``, which distributes it.  The zip
+    is named by a hash of its sources, so the same code is never registered
+    twice under different names; if Spark refuses it (the package was already
+    shipped another way, e.g. ``--py-files``), the existing copy is used."""
+    import hashlib
     import zipfile
 
     sc = spark.sparkContext
@@ -81,14 +85,24 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    zpath = os.path.join(tempfile.mkdtemp(prefix="ocellus-pkg-"), "ocellus.zip")
+    sources = []
+    for d, _, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                sources.append(os.path.join(d, f))
+    digest = hashlib.sha1()
+    for full in sources:
+        digest.update(os.path.relpath(full, root).encode())
+        with open(full, "rb") as fh:
+            digest.update(fh.read())
+    zpath = os.path.join(tempfile.mkdtemp(prefix="ocellus-pkg-"), f"ocellus_{digest.hexdigest()[:12]}.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for d, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(d, f)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(zpath)
+        for full in sources:
+            z.write(full, os.path.relpath(full, root))
+    try:
+        sc.addPyFile(zpath)
+    except Exception:  # already distributed by the submitter: keep theirs
+        pass
     _SHIPPED.add(sc.applicationId)
 
 
