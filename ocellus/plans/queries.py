@@ -10,15 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ocellus.functions import arrays as A
+from ocellus.functions import text as TX
 from ocellus.operators import evaluation as E
+from ocellus.operators import features as FE
+from ocellus.operators import images as IM
 from ocellus.operators import sampling as S
 from ocellus.operators import scoring as SC
+from ocellus.operators import training as TR
 from ocellus.session import read_table
+from ocellus.sources import fetch as FETCH
+from ocellus.sources import files as FS
+from ocellus.sources import store as ST
+from ocellus.streaming import scoring as SS
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -222,12 +231,6 @@ def q_random_assign(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- clean
-from ocellus.functions import text as TX  # noqa: E402
-from ocellus.operators import features as FE  # noqa: E402
-from ocellus.operators import images as IM  # noqa: E402
-from ocellus.sources import fetch as FETCH  # noqa: E402
-from ocellus.sources import store as ST  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
 
 # the test pages hold no images: html pages stand in for image files
 PAGE_EXTENSIONS = ("html", "htm")
@@ -444,7 +447,6 @@ def q_feature_store_roundtrip(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ training
-from ocellus.operators import training as TR  # noqa: E402
 
 TRAIN_PCT = 30          # the transfer-learning script trains on 30 % per class
 
@@ -570,8 +572,6 @@ def q_model_roundtrip(spark, sf_dir):
 
 
 # ------------------------------------------------------- streams and files
-from ocellus.sources import files as FS  # noqa: E402
-from ocellus.streaming import scoring as SS  # noqa: E402
 
 STREAM_FILES = 4
 
