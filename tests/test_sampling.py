@@ -109,3 +109,18 @@ def test_hash_prefix_bucket_preserves_md5_order(spark):
     ordered = sorted(rows, key=lambda r: r.h)
     assert all(a.b <= b.b for a, b in zip(ordered, ordered[1:]))
     assert 0 <= min(r.b for r in rows) and max(r.b for r in rows) < 97
+
+
+def test_feature_options(spark):
+    from ocellus.operators import features as FE
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), ("b",), ("c",)], "cls string")
+    freq, _ = FE.string_index(df, "cls")
+    alpha, _ = FE.string_index(df, "cls", order="alphabetAsc")
+    assert {r.cls: r.label_index for r in freq.collect()} == {"b": 0, "c": 1, "a": 2}
+    assert {r.cls: r.label_index for r in alpha.collect()} == {"a": 0, "b": 1, "c": 2}
+    v = spark.createDataFrame([(0, [1.0, 10.0]), (1, [3.0, 10.0]), (2, [5.0, 40.0])], "id int, x array<double>")
+    out, model = FE.standard_scale(v, "x", fit_df=v.where("id < 2"))
+    from pyspark.ml.functions import vector_to_array
+    rows = {r.id: r.z for r in out.select("id", vector_to_array("features_normalized").alias("z")).collect()}
+    assert rows[0][0] == pytest.approx(-1 / 2 ** 0.5) and rows[0][1] == 0.0   # zero std -> 0
+    assert rows[2][0] == pytest.approx(3 / 2 ** 0.5)                           # fitted on train rows only
