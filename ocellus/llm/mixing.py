@@ -122,17 +122,18 @@ def draw(seed: int = SEED) -> Column:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
-    """``docs`` with ``_source, _lang, _topic, _tokens, weight, probability,
-    sampled``, one row per row.  Null and blank values are values of their
+    """``docs`` with ``_source, _lang, _topic, _tokens, _weight,
+    _probability, _sampled``, one row per row.  Null and blank values are values of their
     own; null and blank texts count one token; rows with the same id are drawn
     alike; an empty table gives no rows."""
     topic = how.get("topic")
-    cells = mixing_cells(spark, docs, **how).drop("t")
+    cells = mixing_cells(spark, docs, **how).select(
+        "_source", "_lang", "_topic", F.col("weight").alias("_weight"), F.col("probability").alias("_probability"))
     rows = with_cells(docs, topic).withColumn("_draw", draw(seed))
     out = rows.join(cells, ["_source", "_lang", "_topic"])
-    return out.withColumn("sampled", F.col("_draw") < F.col("probability")).drop("_draw")
+    return out.withColumn("_sampled", F.col("_draw") < F.col("_probability")).drop("_draw")
 
 
 def mixed_sample(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """The sampled rows, with the columns of ``docs``."""
-    return mixed(spark, docs, **how).where("sampled").select(*[F.col(c) for c in docs.columns])
+    return mixed(spark, docs, **how).where("_sampled").select(*[F.col(c) for c in docs.columns])

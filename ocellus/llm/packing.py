@@ -12,6 +12,7 @@ its place from its length and rank; nothing is gathered by sequence.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -135,10 +136,21 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLA
             by_class[c].pop()
         return by_class[c][-1] if by_class[c] else 0
 
+    known = sorted(left)
+
+    def fitting(free):
+        """The longest length left that is at most ``free``."""
+        i = bisect_right(known, free)
+        while i and not left[known[i - 1]]:
+            i -= 1
+        return known[i - 1] if i else 0
+
     for j, x in sorted(zip(usable, times), key=lambda t: shapes[t[0]], reverse=True):
         count = int(x + 1e-9)
         while count > 0:
             lengths = [longest(c) for c in shapes[j]]
+            if len(lengths) > 1:  # the last one fills the gap as well as it can
+                lengths[-1] = fitting(capacity - sum(lengths[:-1]))
             need = {n: lengths.count(n) for n in lengths}
             if 0 in need or any(left[n] < k for n, k in need.items()):
                 break
