@@ -22,10 +22,11 @@ def normalised(text: str = "text"):
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE, " ")
 
 
-def _crowded(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that share ``keys`` with another row."""
+def _crowded(spark: SparkSession, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that share ``keys`` with another row.  Both sides of the join are
+    written tables, so that Spark can split a group that is very large."""
     many = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return rows.join(many, keys, "left_semi")
+    return materialise(spark, rows.join(materialise(spark, many, "dedup-many"), keys, "left_semi"), "dedup-crowded")
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -42,12 +43,11 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix"),
         F.unhex(F.sha2("norm", 256)).alias("sha")), "dedup-narrow")
 
-    refined = _crowded(_crowded(narrow.select("doc_id", "row", "chars", "prefix", "sha"), ["chars"]),
-                       ["chars", "prefix"])
+    refined = _crowded(spark, _crowded(spark, narrow, ["chars"]), ["chars", "prefix"])
     groups = refined.groupBy("chars", "prefix", "sha").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "row")).alias("keep"),
         F.count("*").alias("group_size")).where("group_size > 1")
-    out = narrow.join(groups, ["chars", "prefix", "sha"], "left")
+    out = narrow.join(materialise(spark, groups, "dedup-groups"), ["chars", "prefix", "sha"], "left")
     return out.select(
         "doc_id", F.coalesce("keep.doc_id", "doc_id").alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
