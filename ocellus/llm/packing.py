@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ocellus.llm.common import materialise
-from ocellus.llm.tokens import Encoder, in_blocks
+from ocellus.llm.tokens import in_blocks, shared_encoder
 
 VOCAB, END_ID, CAPACITY = "word_bpe_49k.json", 0, 2048
 #: Length classes that the patterns distinguish.
@@ -33,7 +33,7 @@ def _pieces(vocab: str, end_id: int, capacity: int, with_ids: bool):
     import zlib
 
     def run(batches):
-        encoder, end = Encoder(vocab), np.array([end_id], "<u4").tobytes()
+        encoder, end = shared_encoder(vocab), np.array([end_id], "<u4").tobytes()
         task, met = TaskContext.get().partitionId(), defaultdict(int)
         width = 4 * capacity
         for batch in batches:

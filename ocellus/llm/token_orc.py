@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ocellus.llm.common import materialise
-from ocellus.llm.tokens import Encoder, in_blocks
+from ocellus.llm.tokens import in_blocks, shared_encoder
 from ocellus.session import scratch_path
 
 VOCAB, END_ID = "byte_bpe_50k.json", 2
@@ -28,7 +28,7 @@ ORC = {"orc.create.index": "true", "orc.row.index.stride": "1000",
 
 def _encode(vocab: str, end_id: int):
     def run(batches):
-        encoder, end = Encoder(vocab), np.array([end_id], "<u4").tobytes()
+        encoder, end = shared_encoder(vocab), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in in_blocks(texts):

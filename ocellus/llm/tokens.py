@@ -1,76 +1,126 @@
 """Token ids of whole texts by a public tokenizer file, quickly.
 
-Texts repeat most of their words, so a task encodes each distinct word once
-and joins the ids.  Texts are cut only where the tokenizer itself always cuts:
-before a run of ASCII white space, and after a run of Latin letters that an
-ASCII non-letter follows.  New words go to the tokenizer together, parted by a
-control character that is never merged.  A text with any other white space
-goes to the tokenizer whole.
+Texts repeat most of their words, so a task encodes each distinct word once.
+A block of texts is cut and its distinct chunks are found column-wise; the ids
+of all texts are then gathered from those of the chunks.  Texts are cut only
+where the tokenizer itself always cuts: around a line feed and before a
+blank where no other white space is beside them, and after a run of Latin
+letters that an ASCII non-letter follows.  Words of letters go to the tokenizer's model directly,
+all else through the whole tokenizer.  A text with other white space than
+ASCII's goes to the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import functools
+import os
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_WORD = re.compile(r"[ \t-\r]*(?:[A-Za-zÀ-ÖØ-öø-ɏ]++(?=[\x00-@\[-`{-\x7f]|\Z)|[^ \t-\r]++)|[ \t-\r]++")
-_ODD = re.compile("[\x01\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
-_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+\Z")
-MARK = "\x01"
+CUT = "\x02"
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+_PART = re.compile(rf"[ \t-\r]*(?:[{_LATIN}]++(?=[\x00-@\[-`{{-\x7f]|\Z)|[^ \t-\r]++)|[ \t-\r]++")
+_ODD = re.compile(r"[\x02\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+_LETTER_END = rf"([{_LATIN}])([!-@\[-`{{-~])"
+_GAP = re.compile(r"[ \t-\r][ \t-\r]")
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, vocab: str, words: int = 600_000):
+    def __init__(self, vocab: str, words: int = 500_000):
         """``vocab``: a file name of ``public_tokenizers`` or a path;
-        ``words``: how many words a task remembers at most."""
-        import os
-
+        ``words``: how many distinct chunks are remembered."""
         import public_tokenizers
         from tokenizers import Tokenizer
 
         path = vocab if os.path.sep in vocab else public_tokenizers.path(vocab)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.words, self.known = words, {}
-        self.mark = self._whole("a" + MARK + "a")[1:-1]
-        self.joins = all(self._whole(MARK.join(p)) == sum(([*self._whole(x), *self.mark] for x in p), [])[:-len(self.mark)]
-                         for p in (["ab", " cd", "ef"], [" é", "a", "Ö"])) and len(self.mark) == 1
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if self.joins and len(w) <= 64 and _LETTERS.match(w)]
-        for i in range(0, len(plain), 512):
-            part = plain[i:i + 512]
-            ids = np.array(self._whole(MARK.join(part)), "<u4")
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) != len(part) - 1:
-                continue  # these are encoded one by one below
-            ends = [*(cuts * 4).tolist(), len(ids) * 4]
-            raw, start = ids.tobytes(), 0
-            for word, end in zip(part, ends):
-                self.known[word] = raw[start:end]
-                start = end + 4
-        for word in new:
-            if word not in self.known:
-                self.known[word] = np.array(self._whole(word), "<u4").tobytes()
+        # what the model is given for a letter, and for a blank before a word
+        self.letters, self.blank = {}, ""
+        self.blank = self._given(" a").removesuffix(self._given("a"))
+        for c in filter(re.compile(f"[{_LATIN}]").match, map(chr, range(65, 0x250))):
+            self.letters[ord(c)] = self._given(c)
+            if any(self._direct(w) != self._whole(w) for w in (f"a{c}b", f" {c}{c}", c)):
+                del self.letters[ord(c)]
+        kept = "".join(map(chr, self.letters))
+        self.plain = re.compile(rf" ?[{kept}]{{1,64}}\Z") if kept else None
+
+    def _given(self, text: str) -> str:
+        if self.tokenizer.normalizer:
+            text = self.tokenizer.normalizer.normalize_str(text)
+        return "".join(piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+
+    def _direct(self, word: str) -> bytes:
+        given = self.blank + word[1:].translate(self.letters) if word[0] == " " else word.translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(given)]).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        get = self.known.get
+        out = [get(c) for c in chunks]
+        for i, ids in enumerate(out):
+            if ids is None:
+                c = chunks[i]
+                out[i] = self.known[c] = (self._direct(c) if self.plain and self.plain.match(c)
+                                          else self._whole(c)) if c else b""
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One byte string per text (null: empty)."""
-        parts = [None if t and _ODD.search(t) else _WORD.findall(t or "") for t in texts]
-        if len(self.known) > self.words:
-            self.known = {}
-        self._learn(list(set().union(*(p for p in parts if p)).difference(self.known)))
-        get = self.known.__getitem__
-        return [np.array(self._whole(t), "<u4").tobytes() if p is None else b"".join(map(get, p))
-                for t, p in zip(texts, parts)]
+        out = [b""] * len(texts)
+        easy = []
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if _ODD.search(t):
+                out[i] = self._whole(t)
+            elif _GAP.search(t):
+                out[i] = b"".join(self._ids(_PART.findall(t)))
+            else:
+                easy.append(i)
+        if not easy:
+            return out
+        column = pa.array([texts[i] for i in easy], pa.large_string())
+        column = pc.replace_substring(pc.replace_substring(column, " ", CUT + " "), "\n", CUT + "\n" + CUT)
+        column = pc.replace_substring_regex(column, _LETTER_END, rf"\1{CUT}\2")
+        lists = pc.split_pattern(column, CUT)
+        coded = lists.values.dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        kinds = self._ids(chunks)
+        if len(self.known) > self.words:  # those of this block are the likeliest to return
+            self.known = dict(zip(chunks, kinds))
+        size = np.fromiter(map(len, kinds), np.int64, len(kinds)) // 4
+        first = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(kinds), "<u4")
+        at = coded.indices.to_numpy()
+        sizes = size[at]
+        ends = np.cumsum(sizes)
+        ids = flat[np.repeat(first[at] - ends + sizes, sizes) + np.arange(ends[-1])]
+        raw = ids.tobytes()
+        bounds = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4
+        for i, a, b in zip(easy, bounds.tolist(), bounds[1:].tolist()):
+            out[i] = raw[a:b]
+        return out
+
+
+@functools.cache
+def shared_encoder(vocab: str) -> Encoder:
+    """One encoder for all tasks of a worker process: it stays loaded and
+    remembers the words of earlier tasks."""
+    return Encoder(vocab)
 
 
-def in_blocks(texts: list, chars: int = 2_000_000):
+def in_blocks(texts: list, chars: int = 4_000_000):
     """Index ranges of ``texts`` with about ``chars`` characters each."""
     start = size = 0
     for i, t in enumerate(texts):
