@@ -40,9 +40,9 @@ def components(spark: SparkSession, edges: DataFrame, name: str = "cc") -> DataF
     node that has an edge, ``root`` being the smallest node of its component.
 
     Alternating large-star and small-star steps; each step is a grouped
-    minimum (combined before the shuffle) and a join back, so that a hub's
-    neighbours are split by the adaptive skew join.  Every round is written to
-    the shared folder; only a count and a checksum reach the driver."""
+    minimum (combined before the shuffle) and a join back to the written
+    minima, so that the adaptive skew join can split a hub's neighbours.  Only
+    a count and a checksum of each round reach the driver."""
     def measure(e):
         return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
@@ -51,15 +51,16 @@ def components(spark: SparkSession, edges: DataFrame, name: str = "cc") -> DataF
     seen = measure(e)
     while seen[0]:
         both = e.union(e.select("v", "u").toDF("u", "v"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = materialise(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
         large = (both.join(low, "u").where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        large = materialise(spark, large, name)
+        least = materialise(spark, large.groupBy("u").agg(F.min("v").alias("m")), name)
+        small = large.join(least, "u")
         nxt = (small.select("u", "m").union(small.where("v != m").select("v", "m"))
                .toDF("u", "v").distinct())
         before, e = e, materialise(spark, nxt, name)
-        discard(spark, before)
+        discard(spark, before, low, large, least)
         now = measure(e)
         if now == seen:
             break

@@ -241,7 +241,9 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
         .mapInArrow(_shared, "key long, h long").distinct(), "ngram-shared")
 
     # buckets of two and more, without each node's most crowded keys
-    counts = shared.groupBy("key").agg(F.count("*").alias("cnt"), F.min("h").alias("c")).where("cnt > 1")
+    # (what joins back to a large group is written first, so that Spark can split the group)
+    counts = materialise(spark, shared.groupBy("key").agg(
+        F.count("*").alias("cnt"), F.min("h").alias("c")).where("cnt > 1"), "ngram-counts")
     extra = F.array(*[F.lit(spares(b[2])) for b in bands])
     rank = F.row_number().over(Window.partitionBy("h", "band").orderBy(F.desc("cnt"), "key"))
     buckets = materialise(
@@ -278,8 +280,9 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
 
     placed = buckets.join(roots.withColumnRenamed("node", "h"), "h", "left").select(
         "key", "h", F.coalesce("root", "h").alias("root"))
-    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    apart = materialise(spark, placed.join(split.select("key"), "key"), "ngram-apart")
+    split = materialise(spark, placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                        .where("lo != hi").select("key"), "ngram-split")
+    apart = materialise(spark, placed.join(split, "key"), "ngram-apart")
     left = apart.select("key", F.col("h").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
     right = apart.select("key", F.col("h").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("ra") < F.col("rb")) & close)
@@ -287,9 +290,10 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
     merged = components(spark, links.union(more)) if more.take(1) else roots
 
     named = merged.join(reps, merged["node"] == reps["h"]).select("node", "root", "rep")
-    lowest = named.groupBy("root").agg(F.min("rep").alias("cid"))
+    lowest = materialise(spark, named.groupBy("root").agg(F.min("rep").alias("cid")), "ngram-lowest")
     cids = named.join(lowest, "root").select(F.col("node").alias("h"), "cid")
-    best = reps.join(cids, "h", "left").select("h", F.coalesce("cid", "rep").alias("cid"))
+    best = materialise(spark, reps.join(cids, "h", "left").select("h", F.coalesce("cid", "rep").alias("cid")),
+                       "ngram-best")
     return ids.join(best, "h", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("cid", "doc_id")).alias("component_id"))
