@@ -106,8 +106,18 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+#: Batches that go to Python workers: small enough that long texts and images
+#: need little memory there.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+               "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 def prepare(spark: SparkSession) -> str:
     """Everything a registered query needs from the session: the package on
-    the workers and a checkpoint folder.  Returns the checkpoint folder."""
+    the workers, bounded Arrow batches (unless the submitter has set them) and
+    a checkpoint folder.  Returns the checkpoint folder."""
     ship_package(spark)
+    for key, value in ARROW_BATCH.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return ensure_checkpoint_dir(spark)
