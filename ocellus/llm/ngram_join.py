@@ -14,10 +14,11 @@ of per-shingle codes).  By the prefix principle both sets may leave out
 the segments with fewest shingles go at the source, the keys in most
 documents after counting.  Sets that share a key are candidates.
 
-Candidates are compared in two passes: first each bucket's smallest member
-against the others (linear in the bucket), then, only across components that
-are still apart, the pairs of a bucket whose sketches are close enough.  What
-remains is verified on the whole sets.  Copies share one node.
+Candidates are compared in passes: first one member of each bucket against the
+others (linear in the bucket; a few rounds with other members, which join the
+large groups), then, only across components that are still apart, the pairs of
+a bucket whose sketches are close enough.  All candidates are verified on the
+whole sets.  Copies share one node.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from ocellus.llm.common import components, discard, materialise
 
 U = np.uint64
 BAND_MASK = 4095
+#: Rounds of one drawn member against its bucket; they only save work.
+STARS = 2
 _M1, _M2, _G = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
 
 
@@ -274,15 +277,35 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
             .mapInArrow(_verify(size, num, den), "a long, b long"), name)
 
     close = _close(num, den)
-    star = buckets.where("h != c").select(F.col("c").alias("a"), F.col("h").alias("b")).distinct()
-    links = verified(star.join(side("a"), "a").join(side("b"), "b").where(close), "ngram-star")
-    roots = materialise(spark, components(spark, links), "ngram-roots")
 
-    placed = buckets.join(roots.withColumnRenamed("node", "h"), "h", "left").select(
-        "key", "h", F.coalesce("root", "h").alias("root"))
-    split = materialise(spark, placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                        .where("lo != hi").select("key"), "ngram-split")
-    apart = materialise(spark, placed.join(split, "key"), "ngram-apart")
+    def linked(pairs, name):
+        return verified(pairs.join(side("a"), "a").join(side("b"), "b").where(close), name)
+
+    def split_buckets(roots):
+        """Rows of the buckets that still hold several components."""
+        placed = materialise(spark, buckets.join(roots.withColumnRenamed("node", "h"), "h", "left").select(
+            "key", "h", F.coalesce("root", "h").alias("root")), "ngram-placed")
+        split = materialise(spark, placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                            .where("lo != hi").select("key"), "ngram-split")
+        return materialise(spark, placed.join(split, "key"), "ngram-apart")
+
+    # each bucket's smallest member against the others, then one drawn anew per bucket and round
+    links = linked(buckets.where("h != c").select(F.col("c").alias("a"), F.col("h").alias("b")).distinct(), "ngram-star")
+    roots = materialise(spark, components(spark, links), "ngram-roots")
+    apart = split_buckets(roots)
+    for turn in range(STARS):
+        drawn = materialise(spark, apart.groupBy("key").agg(F.min_by(
+            F.struct("h", "root"), F.xxhash64("h", "key", F.lit(turn))).alias("c")), "ngram-drawn")
+        pairs = apart.join(drawn, "key").where("root != c.root").select(
+            F.least("h", "c.h").alias("a"), F.greatest("h", "c.h").alias("b")).distinct()
+        more = linked(pairs, "ngram-star")
+        if not more.take(1):
+            break
+        links = links.union(more)
+        roots = materialise(spark, components(spark, links), "ngram-roots")
+        apart = split_buckets(roots)
+
+    # whatever is left: the pairs of a bucket across components, if their sketches allow
     left = apart.select("key", F.col("h").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
     right = apart.select("key", F.col("h").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("ra") < F.col("rb")) & close)

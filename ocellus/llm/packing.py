@@ -61,17 +61,17 @@ def nnls(a: np.ndarray, b: np.ndarray, tol: float = 1e-9) -> np.ndarray:
     """Lawson-Hanson: argmin ||ax - b|| with x >= 0."""
     n = a.shape[1]
     x, used = np.zeros(n), np.zeros(n, bool)
-    gram, ab = a.T @ a, a.T @ b
-    limit = tol * max(1.0, float(np.abs(ab).max(initial=0)))
+    limit = tol * max(1.0, float(np.abs(a.T @ b).max(initial=0)))
     for _ in range(3 * len(b)):
-        slope = np.where(used, -np.inf, ab - gram @ x)
+        slope = np.where(used, -np.inf, a.T @ (b - a @ x))
         j = int(np.argmax(slope))
         if slope[j] <= limit:
             break
         used[j] = True
         while True:
             at = np.flatnonzero(used)
-            z = np.linalg.lstsq(gram[np.ix_(at, at)], ab[at], rcond=None)[0]
+            part = a[:, at]  # few columns: the full normal matrix would take the driver's memory
+            z = np.linalg.lstsq(part.T @ part, part.T @ b, rcond=None)[0]
             if z.min() > 0:
                 x[:] = 0
                 x[at] = z

@@ -32,7 +32,7 @@ _GAP = re.compile(r"[ \t-\r][ \t-\r]")
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, vocab: str, words: int = 500_000):
+    def __init__(self, vocab: str, words: int = 250_000):
         """``vocab``: a file name of ``public_tokenizers`` or a path;
         ``words``: how many distinct chunks are remembered."""
         import public_tokenizers
@@ -120,7 +120,7 @@ def shared_encoder(vocab: str) -> Encoder:
     return Encoder(vocab)
 
 
-def in_blocks(texts: list, chars: int = 4_000_000):
+def in_blocks(texts: list, chars: int = 2_000_000):
     """Index ranges of ``texts`` with about ``chars`` characters each."""
     start = size = 0
     for i, t in enumerate(texts):
