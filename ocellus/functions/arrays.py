@@ -1,7 +1,7 @@
 """Column expressions over numeric arrays (probabilities, logits, features).
 
-All are built from Spark's higher-order functions so they stay inside
-whole-stage codegen; no Python UDF is involved.
+All are built from Spark's higher-order functions, evaluated in the JVM; no
+Python UDF is involved.
 """
 
 from __future__ import annotations
@@ -26,14 +26,6 @@ def array_sum(col: ColumnOrName) -> Column:
     return F.aggregate(_c(col), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
 
 
-def squared_distance(a: ColumnOrName, b: ColumnOrName) -> Column:
-    return array_sum(F.zip_with(_c(a), _c(b), lambda x, y: (x - y) * (x - y)))
-
-
-def dot(a: ColumnOrName, b: ColumnOrName) -> Column:
-    return array_sum(F.zip_with(_c(a), _c(b), lambda x, y: x * y))
-
-
 def softmax(col: ColumnOrName) -> Column:
     """Numerically stable softmax over one array."""
     a = _c(col)
@@ -47,26 +39,12 @@ def sigmoid(col: ColumnOrName) -> Column:
     return F.transform(_c(col), lambda x: F.lit(1.0) / (F.lit(1.0) + F.exp(-x)))
 
 
-def activation(col: ColumnOrName, kind: str = "softmax") -> Column:
-    if kind == "softmax":
-        return softmax(col)
-    if kind == "sigmoid":
-        return sigmoid(col)
-    raise ValueError(f"unknown activation {kind!r}")
-
-
 def argmax(col: ColumnOrName) -> Column:
     """0-based index of the first maximum."""
     a = _c(col)
     return (F.array_position(a, F.array_max(a)) - 1).cast("int")
 
 
-def argmin(col: ColumnOrName) -> Column:
-    """0-based index of the first minimum."""
-    a = _c(col)
-    return (F.array_position(a, F.array_min(a)) - 1).cast("int")
-
-
 def topk(col: ColumnOrName, k: int) -> Column:
     """array<struct<idx int, prob double>> of the k largest values,
     descending; ties go to the lower index."""

@@ -12,8 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ocellus.functions.guards import require_small
-
 
 def hash_bucket(key: Column | str, salt: str | None = None, modulo: int = 100) -> Column:
     """Stable bucket in [0, modulo): first 8 hex digits of md5 of the key."""
@@ -35,8 +33,9 @@ def stratified_split(df: DataFrame, key: str, class_col: str, train_pct: int | M
                      names: tuple[str, str] = ("train", "test")) -> DataFrame:
     """Each class is split on its own share (a dict class -> pct, or one pct
     for all).  Every class keeps its share in both splits independent of the
-    other classes' sizes; skew in one class does not move work anywhere."""
-    b = hash_bucket(key, salt)
+    other classes' sizes; skew in one class does not move work anywhere.
+    The class is part of the hashed key, so classes are drawn independently."""
+    b = hash_bucket(F.concat_ws(":", F.col(class_col).cast("string"), F.col(key).cast("string")), salt)
     if isinstance(train_pct, Mapping):
         pct = F.lit(None).cast("int")
         for cls, p in train_pct.items():
@@ -46,11 +45,6 @@ def stratified_split(df: DataFrame, key: str, class_col: str, train_pct: int | M
     return df.withColumn(split_col, F.when(b < pct, F.lit(names[0])).otherwise(F.lit(names[1])))
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """Spark's own sampler, kept as an option; results depend on partitioning."""
-    return df.randomSplit(list(weights), seed)
-
-
 def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows per split in one job (the reference ran one count per split)."""
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -86,53 +80,23 @@ def hash_prefix_bucket(hex_col: Column | str, num_buckets: int) -> Column:
     return F.floor(prefix * F.lit(num_buckets) / F.lit(16 ** 6)).cast("int")
 
 
-MAX_QUANTILE_BUCKETS = 256
-
-
-def quantile_bucketize(df: DataFrame, col: str, num_buckets: int, out_col: str = "__rn_b") -> DataFrame:
-    """Add an order-preserving bucket of a numeric column from approximate
-    quantiles.  The splits are computed once (one pass over one column, a
-    mergeable sketch) and applied by ``Bucketizer`` (binary search in the
-    JVM), so every later pass sees the same buckets.  The count is capped:
-    buckets only need to outnumber the tasks that process them."""
-    from pyspark.ml.feature import Bucketizer
-
-    nb = max(2, min(num_buckets, MAX_QUANTILE_BUCKETS))
-    probs = [i / nb for i in range(1, nb)]
-    qs = df.select(F.col(col).cast("double").alias("__rn_q")).approxQuantile("__rn_q", probs, 1.0 / (2 * nb))
-    splits = [float("-inf"), *sorted(set(q for q in qs if q is not None)), float("inf")]
-    out = Bucketizer(splits=splits, inputCol="__rn_qv", outputCol=out_col, handleInvalid="keep").transform(
-        df.withColumn("__rn_qv", F.col(col).cast("double")))
-    return out.withColumn(out_col, F.col(out_col).cast("int")).drop("__rn_qv")
-
-
 def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], out_col: str = "row_no",
                       bucket: Column | None = None, num_buckets: int | None = None) -> DataFrame:
     """1-based row number over the whole table in ``order_cols`` order
     (which should be unique) without pulling all rows into one partition.
 
-    Rows fall into order-preserving buckets (``bucket``, or quantiles of the
-    first order column).  The row number is the running total of the
-    earlier buckets' sizes plus the row number inside the bucket.  Bucket
-    sizes come from a partial aggregate; the offsets table has at most
-    ``num_buckets`` rows, a fixed bound, so it is broadcast.  Buckets are a
-    pure function of each row, so the counting pass and the numbering pass
-    agree without sharing a shuffle.
+    With ``bucket``, an order-preserving bucket of the row (null buckets come
+    first), the row number is the running total of the earlier buckets' sizes
+    plus the row number inside the bucket: bucket sizes come from a partial
+    aggregate, and the offsets table has at most ``num_buckets`` + 1 rows.
+    Without, the rows are range-partitioned (``range_row_number``).  Every row
+    gets a number, null keys included.
     """
     n = num_buckets or default_buckets(df.sparkSession)
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     if bucket is None:
-        first = order_cols[0]
-        numeric = isinstance(first, str) and dict(df.dtypes)[first] in (
-            "tinyint", "smallint", "int", "bigint", "float", "double") or \
-            (isinstance(first, str) and dict(df.dtypes)[first].startswith("decimal"))
-        if len(order_cols) > 1 or not numeric:
-            # a composite key's first column may hold one hot value: let the
-            # range partitioner sample the whole key instead
-            return range_row_number(df, order_cols, out_col, n)
-        d = quantile_bucketize(df, first, n, "__rn_b")
-    else:
-        d = df.withColumn("__rn_b", bucket)
+        return range_row_number(df, order_cols, out_col, n)
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    d = df.withColumn("__rn_b", F.coalesce(bucket, F.lit(-1)))
     sizes = d.groupBy("__rn_b").agg(F.count(F.lit(1)).alias("__rn_n"))
     # one row per bucket: an unpartitioned window here is over <= n rows
     offsets = sizes.select("__rn_b", F.coalesce(F.sum("__rn_n").over(
@@ -173,7 +137,7 @@ def shuffle_rank(df: DataFrame, key: str, seed: str = "0", out_col: str = "shuff
                  num_buckets: int | None = None) -> DataFrame:
     """A seeded random permutation, returned as a rank column:
     rows are ordered by md5(seed || key), ties broken by the key."""
-    n = num_buckets or default_buckets(df.sparkSession)
+    n = num_buckets or default_buckets(df.sparkSession)  # (a null key has no hash and comes first)
     h = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))
     d = df.withColumn("__sr_h", h)
     return global_row_number(d, ["__sr_h", key], out_col, hash_prefix_bucket("__sr_h", n), n).drop("__sr_h")
@@ -200,31 +164,29 @@ def batch_plan(df: DataFrame, group_col: str, class_col: str, start_cap: int = 1
             .withColumn("steps", F.ceil(F.col("n_files") / F.col("batch_size")).cast("bigint")))
 
 
-def indexed_items(items: DataFrame, order_col: str, value_col: str,
-                  max_items: int = 100_000) -> tuple[DataFrame, int]:
-    """A small list with 0-based positions (the image list of the scoring
-    app) and its length.  The size is checked before it is numbered with an
-    unpartitioned window and broadcast."""
-    k = require_small(items, max_items, "item list")
-    w = Window.orderBy(order_col)
-    listed = items.select((F.row_number().over(w) - 1).cast("int").alias("item_no"),
-                          F.col(value_col).alias("item"))
-    return listed, k
+def indexed_items(items: DataFrame, order_col: str, value_col: str) -> tuple[DataFrame, int]:
+    """A list with 0-based positions (the image list of the scoring app) and
+    its length, of any size."""
+    listed = range_row_number(items.select(order_col, F.col(value_col).alias("item")), [order_col], "__it_no")
+    return listed.select((F.col("__it_no") - 1).alias("item_no"), "item"), items.count()
 
 
 def rotation_assign(requests: DataFrame, order_col: str, items: DataFrame, item_order: str,
-                    item_value: str, max_items: int = 100_000) -> DataFrame:
-    """Request i (in ``order_col`` order, from 0) gets item i mod k."""
-    listed, k = indexed_items(items, item_order, item_value, max_items)
+                    item_value: str) -> DataFrame:
+    """Request i (in ``order_col`` order, from 0, null keys first) gets item
+    i mod k; without items, null."""
+    listed, k = indexed_items(items, item_order, item_value)
     numbered = global_row_number(requests, [order_col], "request_no").withColumn(
         "request_no", F.col("request_no") - 1)
-    return (numbered.withColumn("item_no", (F.col("request_no") % F.lit(k)).cast("int"))
-            .join(F.broadcast(listed), "item_no"))
+    return (numbered.withColumn("item_no", F.col("request_no") % F.lit(max(k, 1)))
+            .join(listed, "item_no", "left").withColumn("item_no", F.col("item_no").cast("int")))
 
 
 def random_assign(requests: DataFrame, key: str, items: DataFrame, item_order: str, item_value: str,
-                  seed: str = "0", max_items: int = 100_000) -> DataFrame:
-    """Uniform pick per request: md5(seed || key) mod k, inclusive bounds."""
-    listed, k = indexed_items(items, item_order, item_value, max_items)
-    return (requests.withColumn("item_no", hash_bucket(key, salt=seed, modulo=k))
-            .join(F.broadcast(listed), "item_no"))
+                  seed: str = "0") -> DataFrame:
+    """Uniform pick per request: md5(seed || key) mod k, inclusive bounds.  A
+    null key is drawn as an empty one; without items, null."""
+    listed, k = indexed_items(items, item_order, item_value)
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return (requests.withColumn("item_no", hash_bucket(text, salt=seed, modulo=max(k, 1)).cast("bigint"))
+            .join(listed, "item_no", "left").withColumn("item_no", F.col("item_no").cast("int")))

@@ -1,6 +1,6 @@
 """Turning scores into predictions: activations, arg-max, top-K, probability
 maps and keyword flags.  All expressions are built-in higher-order array
-functions, evaluated row-local inside whole-stage codegen (no shuffle)."""
+functions, evaluated row-local in the JVM (no shuffle)."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ocellus.functions import arrays as A
-from ocellus.functions.guards import require_small
 
 
 def class_probabilities(df: DataFrame, logits_col: str, out_col: str = "probability",
@@ -35,18 +34,16 @@ def class_probabilities(df: DataFrame, logits_col: str, out_col: str = "probabil
             .drop("__cp_z", "__cp_zmax", "__cp_e", "__cp_esum"))
 
 
-def class_names_table(df: DataFrame, index_col: str, name_col: str, max_classes: int = 10_000) -> DataFrame:
-    """Lookup table class index -> name, size-checked so it can be broadcast."""
-    table = df.select(F.col(index_col).cast("int").alias("class_index"),
-                      F.col(name_col).alias("class_name")).dropDuplicates(["class_index"])
-    require_small(table, max_classes, "class table")
-    return table
+def class_names_table(df: DataFrame, index_col: str, name_col: str) -> DataFrame:
+    """Lookup table class index -> name, of any size."""
+    return df.select(F.col(index_col).cast("int").alias("class_index"),
+                     F.col(name_col).alias("class_name")).dropDuplicates(["class_index"])
 
 
 def argmax_label(df: DataFrame, prob_col: str, class_table: DataFrame | None = None,
                  upper: bool = True, pct_digits: int = 8) -> DataFrame:
     """First maximum wins.  Adds ``class_index``, ``prediction_label``
-    (name from the broadcast class table, upper-cased like the app) and
+    (name from the class table, upper-cased like the app) and
     ``prediction_prob`` = round(p, 8) * 100 (the app rounds before scaling)."""
     p = F.col(prob_col)
     out = (df.withColumn("class_index", A.argmax(p))
@@ -54,7 +51,7 @@ def argmax_label(df: DataFrame, prob_col: str, class_table: DataFrame | None = N
            .withColumn("prediction_prob", F.round(F.col("_pmax"), pct_digits) * F.lit(100.0))
            .drop("_pmax"))
     if class_table is not None:
-        out = out.join(F.broadcast(class_table), "class_index", "left")
+        out = out.join(class_table, "class_index", "left")
         label = F.col("class_name")
         out = out.withColumn("prediction_label", F.upper(label) if upper else label).drop("class_name")
     return out

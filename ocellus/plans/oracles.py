@@ -16,7 +16,7 @@ def _bucket(expr: str, modulo: str = "100") -> str:
 _SPLIT = f"CASE WHEN {_bucket('CAST(vec_id AS VARCHAR)')} < 60 THEN 'train' ELSE 'test' END"
 
 _LOGITS = """
-  SELECT vec_id, label, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS z
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS z
   FROM embeddings"""
 
 _SOFTMAX = f"""
@@ -111,7 +111,8 @@ ORACLES["hash_split"] = f"SELECT vec_id, label, {_SPLIT} AS split FROM embedding
 
 ORACLES["stratified_split"] = f"""
 SELECT vec_id, label,
-       CASE WHEN {_bucket('CAST(vec_id AS VARCHAR)')} < 30 THEN 'train' ELSE 'test' END AS split
+       CASE WHEN {_bucket("concat_ws(':', CAST(label AS VARCHAR), CAST(vec_id AS VARCHAR))")} < 30
+            THEN 'train' ELSE 'test' END AS split
 FROM embeddings
 """
 

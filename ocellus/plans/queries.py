@@ -37,7 +37,6 @@ SPLIT_PCT = 60          # 60/40 train/test, key-hash split
 STRATIFIED_PCT = 30     # 30/70 per class
 SHUFFLE_SEED = "42"
 PICK_SEED = "7"
-N_LOGITS = 10           # first 10 embedding values act as class logits
 TOP_K = 5
 SEARCH_TERM = "ou"
 FIRST_N = 10
@@ -59,16 +58,17 @@ def _embeddings(spark, sf_dir):
 
 
 def _logits(spark, sf_dir):
+    """The whole vector acts as the class logits (classes 0 to its size - 1)."""
     e = _embeddings(spark, sf_dir)
-    return e.select("vec_id", "label", A.as_doubles(F.slice("embedding", 1, N_LOGITS)).alias("logits"))
+    return e.select("vec_id", "label", A.as_doubles("embedding").alias("logits"))
 
 
 def _class_table(df: DataFrame) -> DataFrame:
-    """index -> name lookup derived from the data's own labels."""
-    return SC.class_names_table(
-        df.select(F.col("label").alias("class_index"),
-                  F.concat(F.lit("class_"), F.col("label").cast("string")).alias("class_name")).distinct(),
-        "class_index", "class_name")
+    """index -> name lookup for as many classes as the longest vector has."""
+    n = df.agg(F.max(F.size("logits")).alias("n")).where("n > 0")
+    index = n.select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    return SC.class_names_table(index.select("i", F.concat(F.lit("class_"), F.col("i").cast("string")).alias("name")),
+                                "i", "name")
 
 
 # ---------------------------------------------------------------- evaluation
@@ -136,7 +136,7 @@ def q_class_probabilities(spark, sf_dir):
     p = (SC.class_probabilities(l, "logits", "p_softmax", "softmax")
          .transform(lambda d: SC.class_probabilities(d, "logits", "p_sigmoid", "sigmoid")))
     z = p.select("vec_id", F.arrays_zip("p_softmax", "p_sigmoid").alias("z"))
-    return z.select("vec_id", F.posexplode("z").alias("class_index", "p")).select(
+    return z.select("vec_id", F.posexplode_outer("z").alias("class_index", "p")).select(
         "vec_id", F.col("class_index").cast("int").alias("class_index"),
         r6(F.col("p.p_softmax")).alias("p_softmax"), r6(F.col("p.p_sigmoid")).alias("p_sigmoid"))
 
@@ -152,16 +152,17 @@ def q_argmax_label(spark, sf_dir):
 
 @register("probability_map")
 def q_probability_map(spark, sf_dir):
-    names = [f"class_{i}" for i in range(N_LOGITS)]
-    p = SC.probability_map(SC.class_probabilities(_logits(spark, sf_dir), "logits"), "probability", names)
-    return p.select("vec_id", F.explode("probabilities").alias("class_name", "prob")).select(
+    l = _logits(spark, sf_dir)
+    names = [f"class_{i}" for i in range(l.agg(F.max(F.size("logits"))).first()[0] or 0)]
+    p = SC.probability_map(SC.class_probabilities(l, "logits"), "probability", names)
+    return p.select("vec_id", F.explode_outer("probabilities").alias("class_name", "prob")).select(
         "vec_id", "class_name", r6(F.col("prob")).alias("prob"))
 
 
 @register("topk_labels")
 def q_topk_labels(spark, sf_dir):
     p = SC.topk_labels(SC.class_probabilities(_logits(spark, sf_dir), "logits"), "probability", TOP_K)
-    return p.select("vec_id", F.posexplode("predicted_labels").alias("pos", "t")).select(
+    return p.select("vec_id", F.posexplode_outer("predicted_labels").alias("pos", "t")).select(
         "vec_id", (F.col("pos") + 1).cast("int").alias("rank"),
         F.col("t.idx").alias("class_index"), r6(F.col("t.prob")).alias("prob"))
 
@@ -378,7 +379,7 @@ def q_image_pixels(spark, sf_dir):
 def q_featurize_pool(spark, sf_dir):
     im = _image_table(spark, sf_dir)
     f = FE.featurize(im, "pool", grid=2)
-    return f.select("image_id", F.posexplode("features").alias("idx", "v")).select(
+    return f.select("image_id", F.posexplode_outer("features").alias("idx", "v")).select(
         "image_id", F.col("idx").cast("int").alias("feature_index"), r6(F.col("v")).alias("value"))
 
 

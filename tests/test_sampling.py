@@ -78,22 +78,41 @@ def test_row_number_with_hot_first_column(spark):
     assert sorted(r.rn for r in out.collect()) == list(range(1, 3001))
 
 
-def test_quantile_buckets_balanced_on_clustered_keys(spark):
-    """Ids spread exponentially (most rows crowd the low end): quantile
-    buckets stay balanced where equal-width buckets would put nearly all rows
-    in one."""
+def test_clustered_keys_get_dense_numbers(spark):
+    """Ids spread exponentially: most rows crowd the low end."""
     df = spark.range(0, 20000).select((F.pow(F.lit(1.001), F.col("id"))).cast("bigint").alias("k"), "id") \
         .select((F.col("k") * 20000 + F.col("id")).alias("key"))
-    b = S.quantile_bucketize(df, "key", 32, "bucket")
-    sizes = [r["count"] for r in b.groupBy("bucket").count().collect()]
-    assert len(sizes) >= 28 and max(sizes) < 3 * (20000 / len(sizes))
-    width = b.select(F.floor((F.col("key") - F.lit(0)) * 32 / F.lit(df.agg(F.max("key")).first()[0] + 1)).alias("w")) \
-        .groupBy("w").count().agg(F.max("count")).first()[0]
-    assert width > 10000          # equal-width buckets: more than half the rows in one bucket
     out = S.global_row_number(df, ["key"], "rn", num_buckets=32)
     assert sorted(r.rn for r in out.collect()) == list(range(1, 20001))
 
 
+def test_null_keys_keep_their_rows(spark):
+    """Numbering and picking return every row, null and repeated keys too."""
+    df = spark.createDataFrame([(3,), (None,), (1,), (None,), (1,), (1,)], "e int")
+    items = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "k int, v string")
+    assert sorted(r.shuffle_rank for r in S.shuffle_rank(df, "e").collect()) == list(range(1, 7))
+    rows = S.rotation_assign(df, "e", items, "k", "v").collect()
+    assert sorted(r.request_no for r in rows) == list(range(6))
+    assert all(r.item == "abc"[r.request_no % 3] == "abc"[r.item_no] for r in rows)
+    picked = S.random_assign(df, "e", items, "k", "v").collect()
+    assert len(picked) == 6 and all(r.item == "abc"[r.item_no] for r in picked)
+    assert [r.item for r in S.rotation_assign(df, "e", items.limit(0), "k", "v").collect()] == [None] * 6
+
+
+def test_item_list_above_the_old_bound(spark):
+    items = spark.range(0, 100_500).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    rows = S.rotation_assign(spark.range(0, 50).withColumnRenamed("id", "e"), "e", items, "k", "v").collect()
+    assert {(r.e, r.item) for r in rows} == {(i, str(i)) for i in range(50)}
+
+
+def test_stratified_split_draws_classes_apart(spark):
+    """The same keys in two classes do not fall on the same side together."""
+    df = spark.range(0, 2000).select((F.col("id") % 1000).alias("key"), F.floor(F.col("id") / 1000).alias("cls"))
+    s = S.stratified_split(df, "key", "cls", 30)
+    both = s.where("split = 'train'").groupBy("key").count().where("count = 2").count()
+    assert 50 < both < 140      # 0.3 * 0.3 of 1000 keys, not 0.3
+
+
 @pytest.mark.parametrize("parts", [1, 3, 7])
 def test_range_row_number_partition_independent(spark, parts):
     df = spark.range(0, 2000).select((F.col("id") % 5).alias("g"), (F.col("id") * 7919 % 2003).alias("v"))

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from ocellus.functions import text as TX
 from ocellus.functions.guards import TooLargeError, collect_small, require_small
-from ocellus.operators import sampling as S
 from ocellus.operators.sampling import hash_bucket
+from ocellus.session import ensure_checkpoint_dir
 
 
 def test_guards_refuse_oversized_tables(spark):
@@ -17,9 +17,26 @@ def test_guards_refuse_oversized_tables(spark):
         require_small(df, 49)
     with pytest.raises(TooLargeError):
         collect_small(df, 10)
-    items = spark.range(0, 20).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
-    with pytest.raises(TooLargeError):
-        S.rotation_assign(spark.range(5).withColumnRenamed("id", "e"), "e", items, "k", "v", max_items=10)
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error():
+    """Without spark.checkpoint.dir only a local master may use a folder of
+    its own."""
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
 
 
 def test_hot_host_spreads_over_many_tasks(spark):
