@@ -64,10 +64,10 @@ def confusion_counts(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
 
 
 def binary_auc(df: DataFrame, label_col: str, score_col: str) -> float:
-    """Area under ROC with Spark's evaluator (distributed)."""
+    """Exact area under ROC with Spark's evaluator (distributed; no bins)."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     ev = BinaryClassificationEvaluator(rawPredictionCol=score_col, labelCol=label_col,
-                                       metricName="areaUnderROC")
+                                       metricName="areaUnderROC", numBins=0)
     return ev.evaluate(df)
 
 

@@ -11,13 +11,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ocellus.functions import arrays as A
+from ocellus.operators.sampling import range_row_number
 
 ColumnOrName = Column | str
 
@@ -141,22 +142,20 @@ def string_index(df: DataFrame, input_col: str, out_col: str = "label_index",
 
 
 def one_hot(df: DataFrame, index_col: str, width: int | None = None, out_col: str = "label") -> DataFrame:
-    """Full-width one-hot (no dropped last class) as array<double>."""
-    enc = OneHotEncoder(inputCols=[index_col], outputCols=["_oh"], dropLast=False)
+    """Full-width one-hot (no dropped last class) as array<double>.  A null
+    index, or one outside the width (``string_index`` gives a null or unseen
+    label the index after the last class), has no hot position: all zeros."""
     if width is None:
-        model = enc.fit(df)
-    else:
-        # fix the width from the class count instead of the data's max index
-        model = enc.fit(df.sparkSession.range(width).select(F.col("id").cast("double").alias(index_col)))
-    return model.transform(df.withColumn(index_col, F.col(index_col).cast("double"))) \
-        .withColumn(out_col, vector_to_array("_oh")).drop("_oh") \
-        .withColumn(index_col, F.col(index_col).cast("int"))
+        width = (df.agg(F.max(index_col)).first()[0] or 0) + 1
+    classes = F.sequence(F.lit(0), F.lit(width - 1)) if width > 0 else F.array().cast("array<int>")
+    hot = F.transform(classes, lambda i: F.coalesce((i == F.col(index_col)).cast("double"), F.lit(0.0)))
+    return df.withColumn(out_col, hot)
 
 
 def class_index_table(df: DataFrame, class_col: str) -> DataFrame:
-    """class name -> index in alphabetical order (dense rank over the
-    distinct classes; the window runs after the reduction to classes)."""
-    from pyspark.sql import Window
-    classes = df.select(F.col(class_col).alias("class")).distinct()
-    return classes.select("class", (F.dense_rank().over(Window.orderBy("class")) - 1).cast("int")
-                          .alias("class_index"))
+    """class name -> index in alphabetical order, for any number of classes:
+    the distinct classes are range-partitioned and numbered.  Null is no
+    class."""
+    classes = df.select(F.col(class_col).alias("class")).where(F.col("class").isNotNull()).distinct()
+    return range_row_number(classes, ["class"], "_no").select(
+        "class", (F.col("_no") - 1).cast("int").alias("class_index"))

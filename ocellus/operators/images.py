@@ -46,16 +46,17 @@ def thumbnail_size(width: ColumnOrName, height: ColumnOrName, box_w: int, box_h:
 
 
 # ------------------------------------------------------------- pixel arrays
-def image_from_vector(df: DataFrame, key: str, vec_col: str, height: int, width: int,
-                      channels: int = 1) -> DataFrame:
+def image_from_vector(df: DataFrame, key: str, vec_col: str, width: int, channels: int = 1) -> DataFrame:
     """Fixture image table from a numeric vector in [-1, 1]:
-    pixel = clamp(floor((x + 1) * 127.5), 0, 255)."""
-    n = height * width * channels
-    px = F.transform(F.slice(_c(vec_col), 1, n),
-                     lambda x: F.least(F.greatest(F.floor((x.cast("double") + 1.0) * 127.5), F.lit(0)),
-                                       F.lit(255)).cast("int"))
-    return df.select(F.col(key).alias("image_id"), F.lit(height).alias("height"),
-                     F.lit(width).alias("width"), F.lit(channels).alias("n_channels"), px.alias("data"))
+    pixel = clamp(floor((x + 1) * 127.5), 0, 255).  The whole vector is used;
+    the height follows from its size, and the last row is filled with 0."""
+    v = _c(vec_col)
+    px = F.transform(v, lambda x: F.least(F.greatest(F.floor((x.cast("double") + 1.0) * 127.5), F.lit(0)),
+                                          F.lit(255)).cast("int"))
+    height = F.ceil(F.size(v) / F.lit(width * channels)).cast("int")
+    return df.select(F.col(key).alias("image_id"), height.alias("height"), F.lit(width).alias("width"),
+                     F.lit(channels).alias("n_channels"),
+                     F.concat(px, F.array_repeat(F.lit(0), height * width * channels - F.size(v))).alias("data"))
 
 
 def resize_indices(src: int, dst: int) -> np.ndarray:
@@ -63,24 +64,40 @@ def resize_indices(src: int, dst: int) -> np.ndarray:
     return ((2 * np.arange(dst) + 1) * src) // (2 * dst)
 
 
-def _resize_one(data, h: int, w: int, c: int, out_h: int, out_w: int) -> np.ndarray:
-    px = np.asarray(data, dtype=np.int32).reshape(h, w, c)
-    return px[resize_indices(h, out_h)][:, resize_indices(w, out_w)].ravel()
+#: Pixels that one resized batch may hold (32 MB as int32).
+RESIZE_BATCH_VALUES = 8_000_000
 
 
-def resize_nearest(data: ColumnOrName, height: ColumnOrName, width: ColumnOrName,
-                   channels: ColumnOrName, out_h: int, out_w: int) -> Column:
+def _resize_batches(it: Iterator[pd.DataFrame], out_h: int, out_w: int, data_col: str,
+                    out_col: str) -> Iterator[pd.DataFrame]:
+    for pdf in it:
+        deepest = int(pdf["n_channels"].max()) if pdf["n_channels"].notna().any() else 1
+        step = max(1, RESIZE_BATCH_VALUES // (out_h * out_w * max(1, deepest)))
+        for start in range(0, len(pdf), step):
+            part = pdf.iloc[start:start + step]
+            out = pd.Series([None] * len(part), index=part.index, dtype="object")
+            known = part[part[[data_col, "height", "width", "n_channels"]].notna().all(axis=1)]
+            for (h, w, c), same in known.groupby(["height", "width", "n_channels"]):
+                h, w, c = int(h), int(w), int(c)
+                px = np.stack(same[data_col].to_numpy()).astype(np.int32).reshape(len(same), h, w, c)
+                if px.size:
+                    px = px[:, resize_indices(h, out_h)][:, :, resize_indices(w, out_w)]
+                out.loc[same.index] = pd.Series(list(px.reshape(len(same), -1)), index=same.index)
+            yield part.drop(columns=[data_col]).assign(**{out_col: out})
+
+
+def resize_images(images: DataFrame, out_h: int, out_w: int, data_col: str = "data",
+                  out_col: str = "resized") -> DataFrame:
     """Exact resize to out_h x out_w (aspect ratio not kept), nearest
-    neighbour, the same filter for every input path.  Pixel gathering is
-    numpy per Arrow batch: Spark's higher-order functions evaluate lambdas
-    without codegen, far too slow for 50k-pixel arrays."""
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _resize(d: pd.Series, h: pd.Series, w: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([None if v is None else _resize_one(v, int(hh), int(ww), int(cc), out_h, out_w)
-                          for v, hh, ww, cc in zip(d, h, w, c)])
-
-    return _resize(_c(data), _c(height), _c(width), _c(channels))
+    neighbour, the same filter for every input path; the pixels of
+    ``data_col`` are replaced by ``out_col``, null where the image is null and
+    empty where it has no pixel.  Images of equal shape are gathered together,
+    and a batch goes out before it holds RESIZE_BATCH_VALUES pixels, however
+    many small images come in.  (Spark evaluates lambdas without codegen, too
+    slow for 50k-pixel arrays.)"""
+    keep = [f for f in images.schema.fields if f.name != data_col]
+    schema = T.StructType([*keep, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    return images.mapInPandas(lambda it: _resize_batches(it, out_h, out_w, data_col, out_col), schema)
 
 
 def bgr_to_rgb(data: ColumnOrName, channels: ColumnOrName) -> Column:
@@ -101,11 +118,6 @@ def rescale(data: ColumnOrName, factor: float = RESCALE) -> Column:
     return F.transform(_c(data), lambda x: x.cast("double") / F.lit(1.0 / factor))
 
 
-def batch_steps(n_rows: ColumnOrName, batch_size: ColumnOrName) -> Column:
-    """Predict steps = ceil(n / batch)."""
-    return F.ceil(_c(n_rows) / _c(batch_size)).cast("bigint")
-
-
 # ------------------------------------------------- decoding and thumbnails
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def bytes_to_ints(b: pd.Series) -> pd.Series:

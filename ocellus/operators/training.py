@@ -1,50 +1,22 @@
-"""Training: Spark ML estimators, and a synchronous data-parallel MLP trainer.
-
-Built-in models (logistic regression, gradient-boosted trees, Spark's MLP)
-are fitted by Spark ML's distributed optimizers.
-
-Our own trainer reproduces the reference's Keras MLP with the accumulated
-gradient normalisation scheme (ADAG): each worker runs ``window`` local
-mini-batches from the current centre weights with its own optimizer, then
-commits (local - start) / window, which is added to the centre.  The
-library it replaces was asynchronous; this one runs synchronous rounds so
-results repeat.  One round is one Spark job:
-
-* rows carry worker = md5 bucket mod n_workers and round = batch_no div
-  window, batches in a seeded hash order, so no group ever holds more than
-  window x batch rows; the planned rows are written once, partitioned by
-  round, and each round's job reads only its own files;
-* the round's rows are cogrouped with the per-worker optimizer state (a
-  DataFrame, checkpointed each round to cut lineage) and trained in numpy
-  inside ``applyInPandas``; centre weights travel as a broadcast variable;
-* commits are summed by a Spark aggregate (Summarizer.sum over chunks), so
-  the driver only ever holds one copy of the model.
+"""Training: Spark ML's estimators (logistic regression, gradient-boosted
+trees, multilayer perceptron), each fitted over all partitions by
+``treeAggregate``.
 """
 
 from __future__ import annotations
 
-import time
-from dataclasses import dataclass, field
-
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ocellus.functions import arrays as A
-from ocellus.operators.sampling import hash_bucket
 
 # Fixed settings of the reference's models
 LR_SETTINGS = dict(maxIter=20, regParam=0.05, elasticNetParam=0.3)
-GBT_SETTINGS = dict(maxDepth=5, maxBins=32, minInstancesPerNode=1, minInfoGain=0.0, maxIter=5,
-                    stepSize=0.1, lossType="logistic", subsamplingRate=1.0)
-HEAD_SETTINGS = dict(hidden=(256,), dropout=(0.5,), optimizer="rmsprop", epochs=50)
-DIST_SETTINGS = dict(hidden=(500, 500), dropout=(0.4, 0.0), optimizer="adagrad", epochs=1, batch_size=32)
-ADAG_SETTINGS = dict(n_workers=2, window=12)
+GBT_SETTINGS = dict(lossType="logistic", maxDepth=5, maxBins=32, minInstancesPerNode=1, minInfoGain=0.0,
+                    maxIter=5, stepSize=0.1, subsamplingRate=1.0)
 
 
 # ------------------------------------------------------------ built-in models
@@ -74,246 +46,3 @@ def fit_spark_mlp(train: DataFrame, n_features: int, n_classes: int, label_col:
     mlp = MultilayerPerceptronClassifier(featuresCol=features_col, labelCol=label_col,
                                          layers=[n_features, *hidden, n_classes], maxIter=max_iter, seed=seed)
     return Pipeline(stages=[mlp]).fit(train)
-
-
-# ---------------------------------------------------------- numpy MLP pieces
-def init_weights(layers: list[int], seed: int) -> dict[str, np.ndarray]:
-    """Glorot-uniform kernels, zero biases (Keras Dense defaults)."""
-    rng = np.random.default_rng(seed)
-    w = {}
-    for i, (a, b) in enumerate(zip(layers[:-1], layers[1:])):
-        lim = np.sqrt(6.0 / (a + b))
-        w[f"W{i}"] = rng.uniform(-lim, lim, size=(a, b))
-        w[f"b{i}"] = np.zeros(b)
-    return w
-
-
-def forward(w: dict, x: np.ndarray, n_layers: int, dropout=(), rng=None):
-    """ReLU hidden layers (inverted dropout while training), softmax out."""
-    acts, masks = [x], []
-    h = x
-    for i in range(n_layers):
-        z = h @ w[f"W{i}"] + w[f"b{i}"]
-        if i < n_layers - 1:
-            h = np.maximum(z, 0.0)
-            p = dropout[i] if i < len(dropout) else 0.0
-            if rng is not None and p > 0:
-                m = (rng.random(h.shape) >= p) / (1.0 - p)
-                h = h * m
-            else:
-                m = None
-            masks.append(m)
-        else:
-            z = z - z.max(axis=1, keepdims=True)
-            e = np.exp(z)
-            h = e / e.sum(axis=1, keepdims=True)
-        acts.append(h)
-    return acts, masks
-
-
-def gradients(w: dict, x: np.ndarray, y: np.ndarray, n_layers: int, dropout, rng) -> dict:
-    """Mean categorical cross-entropy gradients for one batch."""
-    acts, masks = forward(w, x, n_layers, dropout, rng)
-    g = {}
-    delta = (acts[-1] - y) / len(x)
-    for i in reversed(range(n_layers)):
-        g[f"W{i}"] = acts[i].T @ delta
-        g[f"b{i}"] = delta.sum(axis=0)
-        if i > 0:
-            delta = delta @ w[f"W{i}"].T
-            if masks[i - 1] is not None:
-                delta = delta * masks[i - 1]
-            delta = delta * (acts[i] > 0)
-    return g
-
-
-def optimizer_step(w: dict, g: dict, state: dict, kind: str, lr: float | None = None) -> None:
-    """In-place update.  adagrad: lr 0.01; rmsprop: lr 0.001, rho 0.9
-    (Keras defaults); epsilon 1e-7."""
-    eps = 1e-7
-    for k in w:
-        if kind == "adagrad":
-            acc = state.setdefault(k, np.zeros_like(w[k]))
-            acc += g[k] ** 2
-            w[k] -= (lr or 0.01) * g[k] / (np.sqrt(acc) + eps)
-        elif kind == "rmsprop":
-            acc = state.setdefault(k, np.zeros_like(w[k]))
-            acc *= 0.9
-            acc += 0.1 * g[k] ** 2
-            w[k] -= (lr or 0.001) * g[k] / (np.sqrt(acc) + eps)
-        elif kind == "sgd":
-            w[k] -= (lr or 0.01) * g[k]
-        else:
-            raise ValueError(kind)
-
-
-def flatten(w: dict, names: list[str]) -> np.ndarray:
-    return np.concatenate([w[n].ravel() for n in names])
-
-
-def unflatten(v: np.ndarray, like: dict, names: list[str]) -> dict:
-    out, o = {}, 0
-    for n in names:
-        size = like[n].size
-        out[n] = v[o:o + size].reshape(like[n].shape).copy()
-        o += size
-    return out
-
-
-# ----------------------------------------------------- synchronous trainer
-@dataclass
-class TrainerConfig:
-    hidden: tuple[int, ...] = (500, 500)
-    dropout: tuple[float, ...] = (0.4, 0.0)
-    optimizer: str = "adagrad"
-    lr: float | None = None
-    epochs: int = 1
-    batch_size: int = 32
-    n_workers: int = 2
-    window: int = 12
-    commit: str = "adag"          # "adag": centre += sum of (local-start)/window; "replace": centre = local
-    seed: int = 42
-    chunk: int = 65536            # values per commit row
-    history: list = field(default_factory=list)
-
-
-ROWS_PER_BUCKET = 1_000_000      # target size of one numbering task in the round planner
-
-
-def _plan_rounds(df: DataFrame, key: str, cfg: TrainerConfig, epoch: int) -> tuple[DataFrame, int]:
-    """worker, batch and round numbers from a seeded hash order (per epoch);
-    returns the planned rows and the number of rounds.
-
-    worker = md5 bucket mod n_workers.  The per-worker row counts (n_workers
-    rows, collected with a bound) give each worker's start offset, the
-    number of rounds and how many hash buckets each worker's rows are
-    numbered in (about ROWS_PER_BUCKET rows per bucket), so no task ever
-    holds a whole worker's share and the offsets table grows only with the
-    data / ROWS_PER_BUCKET."""
-    from ocellus.functions.guards import collect_small
-    from ocellus.operators.sampling import global_row_number, hash_prefix_bucket
-
-    h = F.md5(F.concat(F.lit(f"{cfg.seed}:{epoch}:"), F.col(key).cast("string")))
-    d = df.withColumn("_h", h).withColumn(
-        "worker", hash_bucket(key, salt=f"w{cfg.seed}:{epoch}:", modulo=cfg.n_workers))
-    counts = {r["worker"]: r["_n"] for r in collect_small(
-        d.groupBy("worker").agg(F.count(F.lit(1)).alias("_n")), cfg.n_workers, "worker sizes")}
-    sizes = [counts.get(w, 0) for w in range(cfg.n_workers)]
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int).tolist()
-    biggest = max(sizes) if sizes else 0
-    n_rounds = -(-(-(-biggest // cfg.batch_size)) // cfg.window)        # ceil(ceil(n / batch) / window)
-    per_worker = max(1, -(-biggest // ROWS_PER_BUCKET))
-    bucket = F.col("worker") * F.lit(per_worker) + hash_prefix_bucket("_h", per_worker)
-    ranked = global_row_number(d, ["worker", "_h", key], "_r", bucket, per_worker * cfg.n_workers)
-    start = F.element_at(F.array(*[F.lit(int(x)) for x in starts]), F.col("worker") + 1)
-    pos = F.col("_r") - 1 - start
-    planned = (ranked.withColumn("batch_no", F.floor(pos / cfg.batch_size).cast("int"))
-               .withColumn("round", F.floor(F.col("batch_no") / cfg.window).cast("int"))
-               .drop("_r"))
-    return planned, n_rounds
-
-
-def train_mlp(spark: SparkSession, df: DataFrame, key: str, features_col: str, label_col: str,
-              n_classes: int, cfg: TrainerConfig, validation: DataFrame | None = None) -> dict:
-    """Train on ``df`` (features array<double>, integer label).  Returns the
-    weights (one model copy, on the driver).  ``cfg.history`` gets one entry
-    per epoch (validation loss/accuracy when ``validation`` is given, as the
-    reference's fit reported) and a final entry with the training time."""
-    from ocellus.session import ensure_checkpoint_dir, scratch_path
-    ensure_checkpoint_dir(spark)
-    sc = spark.sparkContext
-    t0 = time.time()
-    n_features = len(df.select(features_col).head()[0])
-    layers = [n_features, *cfg.hidden, n_classes]
-    n_layers = len(layers) - 1
-    centre = init_weights(layers, cfg.seed)
-    names = sorted(centre)
-    size = sum(centre[n].size for n in names)
-    state_schema = "worker int, chunk int, values array<double>"
-    state = spark.createDataFrame([], state_schema)
-    rows = df.select(key, A.as_doubles(features_col).alias("x"), F.col(label_col).cast("int").alias("y"))
-    for epoch in range(cfg.epochs):
-        planned, n_rounds = _plan_rounds(rows, key, cfg, epoch)
-        path = scratch_path(spark, f"rounds-e{epoch}")
-        # one write, partitioned by round: each round's job reads its own files
-        planned.select("round", "worker", "batch_no", "_h", key, "x", "y").repartition("round").write.partitionBy("round").parquet(path)
-        stored = spark.read.parquet(path)
-        for rnd in range(n_rounds):
-            bc = sc.broadcast(flatten(centre, names))
-            part = stored.where(F.col("round") == rnd)
-            fn = _round_fn(bc, centre, names, n_layers, n_classes, cfg, epoch, rnd, size)
-            out = (part.groupBy("worker").cogroup(state.groupBy("worker"))
-                   .applyInPandas(fn, "worker int, kind string, chunk int, values array<double>"))
-            out = out.checkpoint()   # reliable checkpoint: cuts lineage, survives executor loss
-            deltas = (out.where(F.col("kind") == "delta")
-                      .groupBy("chunk").agg(Summarizer.sum(array_to_vector("values")).alias("s"))
-                      .select("chunk", vector_to_array("s").alias("s")).collect())
-            if deltas:
-                total = np.concatenate([np.asarray(r["s"]) for r in sorted(deltas, key=lambda r: r["chunk"])])
-                flat = flatten(centre, names)
-                flat = total if cfg.commit == "replace" else flat + total
-                centre = unflatten(flat, centre, names)
-            state = out.where(F.col("kind") == "state").select("worker", "chunk", "values")
-            bc.unpersist()
-        if validation is not None:
-            from ocellus.operators.evaluation import log_loss
-            v = validation.select(A.as_doubles(features_col).alias("_x"), F.col(label_col).cast("int").alias("_y"))
-            m = log_loss(predict_mlp(v, centre, "_x", n_classes), "_y", "probability").first()
-            cfg.history.append({"epoch": epoch + 1, "val_loss": m["loss"], "val_accuracy": m["accuracy"]})
-    cfg.history.append({"seconds": time.time() - t0})
-    return centre
-
-
-def _round_fn(bc, like, names, n_layers, n_classes, cfg: TrainerConfig, epoch: int, rnd: int, size: int):
-    def run(key, rows: pd.DataFrame, st: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty:
-            return pd.DataFrame(columns=["worker", "kind", "chunk", "values"])
-        worker = int(rows["worker"].iloc[0])
-        start = bc.value
-        w = unflatten(start, like, names)
-        opt: dict = {}
-        if not st.empty:
-            flat_state = np.concatenate([np.asarray(v) for v in st.sort_values("chunk")["values"]])
-            opt = unflatten(flat_state, like, names)
-        rows = rows.sort_values(["batch_no", "_h"])
-        n_batches = 0
-        for b, grp in rows.groupby("batch_no", sort=True):
-            rng = np.random.default_rng([cfg.seed, epoch, rnd, worker, int(b)])
-            x = np.stack(grp["x"].to_numpy())
-            y = np.eye(n_classes)[grp["y"].to_numpy()]
-            g = gradients(w, x, y, n_layers, cfg.dropout, rng)
-            optimizer_step(w, g, opt, cfg.optimizer, cfg.lr)
-            n_batches += 1
-        local = flatten(w, names)
-        commit = local if cfg.commit == "replace" else (local - start) / cfg.window
-        st_flat = flatten({k: opt.get(k, np.zeros_like(like[k])) for k in names}, names)
-        out = []
-        for c, o in enumerate(range(0, size, cfg.chunk)):
-            out.append((worker, "delta", c, commit[o:o + cfg.chunk]))
-            out.append((worker, "state", c, st_flat[o:o + cfg.chunk]))
-        return pd.DataFrame(out, columns=["worker", "kind", "chunk", "values"])
-
-    return run
-
-
-def predict_mlp(df: DataFrame, weights: dict, features_col: str, n_classes: int,
-                pred_col: str = "prediction") -> DataFrame:
-    """Batch scoring: forward pass per Arrow batch, weights broadcast once."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(weights)
-    n_layers = len([k for k in weights if k.startswith("W")])
-    in_cols = df.columns
-
-    def run(it):
-        w = bc.value
-        for pdf in it:
-            x = np.stack(pdf[features_col].to_numpy()) if len(pdf) else np.zeros((0, w["W0"].shape[0]))
-            p = forward(w, x.astype(np.float64), n_layers)[0][-1] if len(pdf) else np.zeros((0, n_classes))
-            out = pdf.copy()
-            out[pred_col] = p.argmax(axis=1).astype(np.int32)
-            out["probability"] = list(p)
-            yield out
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in df.select(*in_cols).dtypes) + \
-        f", `{pred_col}` int, `probability` array<double>"
-    return df.mapInPandas(run, schema)

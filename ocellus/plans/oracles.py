@@ -239,32 +239,42 @@ FROM (SELECT p_partkey, CAST(p_size * 12 AS INTEGER) AS width,
 """
 
 
-def _image(n: int) -> str:
-    return (f"SELECT vec_id AS image_id, list_transform(embedding[1:{n}], lambda x: "
-            f"CAST(least(greatest(floor((CAST(x AS DOUBLE) + 1.0) * 127.5), 0), 255) AS INTEGER)) AS data "
-            f"FROM embeddings")
+def _image(width: int) -> str:
+    """Whole vector as pixels, the last row of ``width`` values filled with 0."""
+    return (f"SELECT vec_id AS image_id, CAST(ceil(len(embedding) / {width}) AS BIGINT) AS h, "
+            f"list_resize(list_transform(embedding, lambda x: "
+            f"CAST(least(greatest(floor((CAST(x AS DOUBLE) + 1.0) * 127.5), 0), 255) AS INTEGER)), "
+            f"CAST(ceil(len(embedding) / {width}) AS BIGINT) * {width}, 0) AS data FROM embeddings")
 
 
 ORACLES["image_resize"] = f"""
 WITH r AS (SELECT image_id, list_transform(range(224 * 224), lambda i:
-             data[(((2 * (i // 224) + 1) * 8) // 448) * 8 + (((2 * (i % 224) + 1) * 8) // 448) + 1]) AS px
-           FROM ({_image(64)}))
+             data[(((2 * (i // 224) + 1) * h) // 448) * 8 + (((2 * (i % 224) + 1) * 8) // 448) + 1]) AS px
+           FROM ({_image(8)}))
 SELECT image_id, CAST(len(px) AS INTEGER) AS n_values, CAST(list_sum(px) AS BIGINT) AS pixel_sum,
        CAST(list_sum(list_transform(px, lambda x, i: CAST(x AS BIGINT) * i)) AS BIGINT) AS weighted_sum
 FROM r
 """
 
+# 8 x 8 images in a box of 5 x 4: 4 x 4, every second pixel of every second row
+ORACLES["thumbnail_job"] = f"""
+SELECT 'thumbnail' || CAST(image_id AS VARCHAR) || '.png' AS name, 4 AS width, 4 AS height, 1 AS n_channels,
+       CAST(list_sum(list_transform(range(16), lambda i: data[(2 * (i // 4) + 1) * 8 + 2 * (i % 4) + 2])) AS BIGINT)
+         AS pixel_sum
+FROM ({_image(8)})
+"""
+
 ORACLES["image_pixels"] = f"""
-WITH r AS (SELECT image_id, list_transform(range(60), lambda i:
-             data[CASE i % 3 WHEN 0 THEN i + 2 WHEN 2 THEN i - 2 ELSE i END + 1]) AS px FROM ({_image(60)}))
+WITH r AS (SELECT image_id, list_transform(range(len(data)), lambda i:
+             data[CASE i % 3 WHEN 0 THEN i + 2 WHEN 2 THEN i - 2 ELSE i END + 1]) AS px FROM ({_image(15)}))
 SELECT image_id, CAST(i - 1 AS INTEGER) AS idx, round(CAST(px[i] AS DOUBLE) / 255.0, 6) AS value
 FROM (SELECT image_id, px, generate_subscripts(px, 1) AS i FROM r)
 """
 
 ORACLES["featurize_pool"] = f"""
-WITH p AS (SELECT image_id, CAST(unnest(data) AS DOUBLE) AS v, generate_subscripts(data, 1) - 1 AS p
-           FROM ({_image(64)})),
-c AS (SELECT image_id, v, (((p // 8) * 2) // 8) * 2 + (((p % 8) * 2) // 8) AS cell,
+WITH p AS (SELECT image_id, h, CAST(unnest(data) AS DOUBLE) AS v, generate_subscripts(data, 1) - 1 AS p
+           FROM ({_image(8)})),
+c AS (SELECT image_id, v, (((p // 8) * 2) // h) * 2 + (((p % 8) * 2) // 8) AS cell,
              avg(v) OVER (PARTITION BY image_id) AS m FROM p)
 SELECT image_id, CAST(cell AS INTEGER) AS feature_index, round(avg(v), 6) AS value FROM c GROUP BY image_id, cell
 UNION ALL
@@ -305,8 +315,8 @@ FROM events e JOIN c USING (event_type)
 
 ORACLES["class_index"] = """
 WITH c AS (SELECT event_type, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS class_index
-           FROM (SELECT DISTINCT event_type FROM events))
-SELECT e.event_id, e.event_type, c.class_index FROM events e JOIN c USING (event_type)
+           FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL))
+SELECT e.event_id, e.event_type, c.class_index FROM events e LEFT JOIN c USING (event_type)
 """
 
 ORACLES["feature_store_roundtrip"] = """
@@ -315,7 +325,59 @@ SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dim,
 FROM embeddings
 """
 
+# ------------------------------------------------------------------ training
+# held-out rows; a trained model must beat the most frequent label
+_PLANTED = f"""
+  SELECT * FROM (
+    SELECT vec_id, CAST(list_sum(list_transform(embedding[1:8], lambda x: CAST(x AS DOUBLE))) > 0 AS INTEGER) AS label
+    FROM embeddings)
+  WHERE {_bucket("concat_ws(':', CAST(label AS VARCHAR), CAST(vec_id AS VARCHAR))")} >= 30"""
+
+ORACLES["lr_transfer"] = f"SELECT vec_id, label, TRUE AS above_majority FROM ({_PLANTED})"
+ORACLES["mlp_head"] = ORACLES["lr_transfer"]
+ORACLES["model_roundtrip"] = f"SELECT vec_id, TRUE AS same FROM ({_PLANTED})"
+
+ORACLES["batch_score"] = f"""
+SELECT vec_id, label, TRUE AS class_is_argmax, TRUE AS prob_in_range, 1.0::DOUBLE AS prob_sum FROM ({_PLANTED})
+"""
+
+ORACLES["trainer_report"] = f"""
+SELECT trainer, n_test, TRUE AS above_majority
+FROM (SELECT unnest(['lr', 'mlp']) AS trainer, n_test FROM (SELECT count(*) AS n_test FROM ({_PLANTED})))
+"""
+
+ORACLES["gbt_quality"] = f"""
+SELECT d.doc_id, l.quality AS label, TRUE AS above_majority FROM documents d JOIN labels l USING (doc_id)
+WHERE {_bucket('CAST(d.doc_id AS VARCHAR)')} >= 60
+"""
+
+# mean rank of the positives, ties at their middle rank
+ORACLES["binary_auc"] = """
+WITH s AS (SELECT l.quality AS label, length(d.text) AS score FROM documents d JOIN labels l USING (doc_id)
+           WHERE d.text IS NOT NULL AND l.quality IS NOT NULL),
+r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS rk FROM s)
+SELECT n, round((up - n1 * (n1 + 1) / 2) / (n1 * (n - n1)), 6) AS auc
+FROM (SELECT count(*) AS n, CAST(sum(label) AS DOUBLE) AS n1, sum(CASE WHEN label = 1 THEN rk END) AS up FROM r)
+"""
+
+ORACLES["image_program"] = f"""
+SELECT image_id, CAST(list_avg(data) > 127.0 AS INTEGER) AS label, TRUE AS above_majority FROM ({_image(8)})
+WHERE {_bucket('CAST(image_id AS VARCHAR)')} >= 60
+"""
+
+ORACLES["tabular_program"] = f"""
+SELECT line, label, TRUE AS above_majority FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS line,
+         CASE WHEN l_quantity > 25 THEN 0 ELSE 1 END AS label FROM lineitem)
+WHERE {_bucket('line')} >= 60
+"""
+
 # ------------------------------------------------------- streams and files
+ORACLES["labelled_dir_scan"] = """
+SELECT 'lang=' || lang AS class, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes
+FROM documents WHERE text IS NOT NULL GROUP BY lang
+"""
+
 _PROB = "round(1.0 / (1.0 + exp(-value / 100.0)), 6)"
 _LABEL = "CASE WHEN value >= 50 THEN 'HIGH' ELSE 'LOW' END"
 

@@ -323,9 +323,7 @@ def q_html_link_manifest(spark, sf_dir):
 @register("fetch_outcomes")
 def q_fetch_outcomes(spark, sf_dir):
     pages = _pages(spark, sf_dir).select("url", "html")
-    fetched = FETCH.fetch_urls(pages, "url", FETCH.table_fetcher("url", "html"), PAGE_EXTENSIONS,
-                               keep_content=False)
-    return FETCH.outcome_counts(fetched)
+    return FETCH.outcome_counts(FETCH.stored_outcomes(pages, "url", "html", PAGE_EXTENSIONS))
 
 
 # -------------------------------------------------------------------- images
@@ -340,16 +338,35 @@ def q_thumbnail_dims(spark, sf_dir):
                     tw.alias("thumb_w"), th.alias("thumb_h"))
 
 
-def _image_table(spark, sf_dir, h=8, w=8, c=1):
-    return IM.image_from_vector(_embeddings(spark, sf_dir), "vec_id", "embedding", h, w, c)
+def _image_table(spark, sf_dir, w=8, c=1):
+    return IM.image_from_vector(_embeddings(spark, sf_dir), "vec_id", "embedding", w, c)
 
 
 @register("image_resize")
 def q_image_resize(spark, sf_dir):
+    r = IM.resize_images(_image_table(spark, sf_dir), *IM.MODEL_SIZE)
+    return r.select("image_id", _pixel_checksums("resized").alias("c")).select("image_id", "c.*")
+
+
+@register("thumbnail_job")
+def q_thumbnail_job(spark, sf_dir):
+    """Image structs as Spark's image source gives them, made from the
+    vectors, through the thumbnail job; written, read back and summed."""
+    from ocellus.session import scratch_path
+    path = scratch_path(spark, "thumbnails")
     im = _image_table(spark, sf_dir)
-    r = im.select("image_id", IM.resize_nearest("data", "height", "width", "n_channels",
-                                                *IM.MODEL_SIZE).alias("px"))
-    return r.select("image_id", _pixel_checksums("px").alias("c")).select("image_id", "c.*")
+    raw = F.unhex(F.array_join(F.transform("data", lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+    images = im.select(F.struct(
+        F.concat(F.lit("/images/"), F.col("image_id").cast("string"), F.lit(".png")).alias("origin"),
+        "height", "width", F.col("n_channels").alias("nChannels"), raw.alias("data")).alias("image"))
+    IM.write_thumbnails(IM.thumbnail_job(images, box=SMALL_BOX), path)
+    px = IM.bytes_to_ints("bytes")
+    return spark.read.parquet(path).withColumn("px", px).select(
+        "name", "width", "height", "n_channels",
+        F.aggregate("px", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("pixel_sum"))
+
+
+SMALL_BOX = (5, 4)      # smaller than the 8x8 images of the vectors
 
 
 @F.pandas_udf(T.StructType([T.StructField("n_values", T.IntegerType()),
@@ -368,8 +385,8 @@ def _pixel_checksums(px):
 
 @register("image_pixels")
 def q_image_pixels(spark, sf_dir):
-    """A 4x5 three-channel BGR image per vector -> RGB -> floats / 255."""
-    im = _image_table(spark, sf_dir, 4, 5, 3)
+    """A three-channel BGR image, 5 wide, per vector -> RGB -> floats / 255."""
+    im = _image_table(spark, sf_dir, 5, 3)
     rgb = IM.rescale(IM.bgr_to_rgb("data", "n_channels"))
     return im.select("image_id", F.posexplode(rgb).alias("idx", "v")).select(
         "image_id", F.col("idx").cast("int").alias("idx"), r6(F.col("v")).alias("value"))
@@ -426,16 +443,14 @@ def q_one_hot(spark, sf_dir):
 @register("class_index")
 def q_class_index(spark, sf_dir):
     """Alphabetical class index, saved to the shared store, loaded back and
-    joined to every event through a broadcast of the size-checked table."""
+    joined to every event; a null type has no index."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "event_type")
     table = FE.class_index_table(ev, "event_type")
-    from ocellus.functions.guards import require_small
     from ocellus.session import scratch_path
     path = scratch_path(spark, "class_index")
     ST.save_class_index(table, path)
     loaded = ST.load_class_index(spark, path)
-    require_small(loaded, 100_000, "class index")
-    return ev.join(F.broadcast(loaded.withColumnRenamed("class", "event_type")), "event_type").select(
+    return ev.join(loaded.withColumnRenamed("class", "event_type"), "event_type", "left").select(
         "event_id", "event_type", "class_index")
 
 
@@ -465,11 +480,30 @@ def _planted_split(spark, sf_dir, pct=TRAIN_PCT):
     return e.where(F.col("split") == "train"), e.where(F.col("split") == "test")
 
 
+def held_out(scored: DataFrame, key: str) -> DataFrame:
+    """The scored held-out rows with their label, and whether the run's
+    accuracy is above the share of the most frequent label."""
+    n = scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"),
+                                    F.count_if(F.col("prediction") == F.col("label")).alias("hits"))
+    above = n.agg(F.sum("hits") > F.max("n")).first()[0]
+    return scored.select(key, "label", F.lit(above).alias("above_majority"))
+
+
+def _lr_scored(spark, sf_dir):
+    train, test = _planted_split(spark, sf_dir)
+    return TR.fit_lr_pipeline(train).transform(test)
+
+
+def _mlp_scored(spark, sf_dir):
+    """Spark's MLP 64-256-2 (L-BFGS, 50 iterations) on the planted label."""
+    train, test = _planted_split(spark, sf_dir)
+    n_features = train.agg(F.max(F.size("embedding"))).first()[0]
+    return TR.fit_spark_mlp(train, n_features, 2, hidden=(256,), max_iter=HEAD_EPOCHS).transform(test)
+
+
 @register("lr_transfer")
 def q_lr_transfer(spark, sf_dir):
-    train, test = _planted_split(spark, sf_dir)
-    model = TR.fit_lr_pipeline(train)
-    return model.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    return held_out(_lr_scored(spark, sf_dir), "vec_id")
 
 
 def _text_features(spark, sf_dir):
@@ -484,77 +518,95 @@ def _text_features(spark, sf_dir):
     return TR.with_vector(S.hash_split(f, "doc_id", SPLIT_PCT), "tf")
 
 
+def _gbt_scored(spark, sf_dir):
+    """The features are written once: fit and scoring read them, not the texts."""
+    from ocellus.session import scratch_path
+    path = scratch_path(spark, "text_features")
+    _text_features(spark, sf_dir).write.parquet(path)
+    f = spark.read.parquet(path)
+    return TR.fit_gbt(f.where(F.col("split") == "train")).transform(f.where(F.col("split") == "test"))
+
+
 @register("gbt_quality")
 def q_gbt_quality(spark, sf_dir):
-    f = _text_features(spark, sf_dir)
-    model = TR.fit_gbt(f.where(F.col("split") == "train"))
-    return model.transform(f.where(F.col("split") == "test")).select(
-        "doc_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    return held_out(_gbt_scored(spark, sf_dir), "doc_id")
 
 
 @register("binary_auc")
 def q_binary_auc(spark, sf_dir):
-    f = _text_features(spark, sf_dir)
-    model = TR.fit_gbt(f.where(F.col("split") == "train"))
-    scored = model.transform(f.where(F.col("split") == "test"))
-    auc = E.binary_auc(scored, "label", "rawPrediction")
-    out = scored.agg(F.count(F.lit(1)).alias("n_test")).withColumn("auc", F.round(F.lit(auc), 6))
-    return out
+    """Area under ROC of the text length as a score of quality."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("double").alias("score"))
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = d.join(lab, "doc_id").where("score IS NOT NULL AND label IS NOT NULL").select("label", "score")
+    auc = E.binary_auc(scored, "label", "score")
+    return scored.agg(F.count(F.lit(1)).alias("n")).withColumn("auc", F.round(F.lit(auc), 6))
 
 
 @register("mlp_head")
 def q_mlp_head(spark, sf_dir):
-    """Spark's MLP 64-256-2 (L-BFGS, 50 iterations) on the planted label."""
-    train, test = _planted_split(spark, sf_dir, SPLIT_PCT)
-    model = TR.fit_spark_mlp(train, 64, 2, hidden=(256,), max_iter=HEAD_EPOCHS)
-    return model.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    return held_out(_mlp_scored(spark, sf_dir), "vec_id")
 
 
 HEAD_EPOCHS = 50
 
 
-def _own_trainer(spark, sf_dir, n_workers, window, commit):
-    train, test = _planted_split(spark, sf_dir, SPLIT_PCT)
-    cfg = TR.TrainerConfig(n_workers=n_workers, window=window, commit=commit)
-    w = TR.train_mlp(spark, train, "vec_id", "embedding", "label", 2, cfg)
-    scored = TR.predict_mlp(test.select("vec_id", "label", A.as_doubles("embedding").alias("x")), w, "x", 2)
-    return scored, cfg
+@register("trainer_report")
+def q_trainer_report(spark, sf_dir):
+    """Held-out rows and success of each trainer on the planted label."""
+    rows = [held_out(scored(spark, sf_dir), "vec_id").groupBy("above_majority").agg(
+                F.count(F.lit(1)).alias("n_test")).select(F.lit(name).alias("trainer"), "n_test", "above_majority")
+            for name, scored in {"lr": _lr_scored, "mlp": _mlp_scored}.items()]
+    return rows[0].unionByName(rows[1])
 
 
-@register("trainer_single")
-def q_trainer_single(spark, sf_dir):
-    """MLP 500-500, adagrad, batch 32, 1 epoch, one worker (sequential)."""
-    scored, _ = _own_trainer(spark, sf_dir, 1, 12, "replace")
-    return scored.select("vec_id", "label", "prediction")
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Score the held-out rows with the trained model: whether class and
+    probability agree, and the probability vector's sum."""
+    s = _lr_scored(spark, sf_dir).withColumn("p", vector_to_array("probability"))
+    return s.select("vec_id", "label", (A.argmax("p") == F.col("prediction").cast("int")).alias("class_is_argmax"),
+                    F.array_max("p").between(0.5, 1.0).alias("prob_in_range"),
+                    F.round(A.array_sum("p"), 6).alias("prob_sum"))
+
+
+@register("image_program")
+def q_image_program(spark, sf_dir):
+    """Image table -> pooled features -> LR -> accuracy, in one plan; the
+    planted label is whether the image is brighter than medium grey."""
+    im = _image_table(spark, sf_dir)
+    mean = F.aggregate("data", F.lit(0).cast("bigint"), lambda a, x: a + x) / F.size("data")
+    lab = S.hash_split(im.withColumn("label", (mean > BRIGHT).cast("int")), "image_id", SPLIT_PCT)
+    f = TR.with_vector(FE.featurize(lab, "pool", out_col="pooled"), "pooled")
+    model = TR.fit_lr_pipeline(f.where(F.col("split") == "train"), regParam=0.0)
+    return held_out(model.transform(f.where(F.col("split") == "test")), "image_id")
 
 
-@register("trainer_adag")
-def q_trainer_adag(spark, sf_dir):
-    """Same network, synchronous ADAG: 2 workers, communication window 12."""
-    scored, _ = _own_trainer(spark, sf_dir, 2, 12, "adag")
-    return scored.select("vec_id", "label", "prediction")
+BRIGHT = 127.0
 
 
-@register("trainer_report")
-def q_trainer_report(spark, sf_dir):
-    rows = []
-    for name, (nw, win, commit) in {"single": (1, 12, "replace"), "adag": (2, 12, "adag")}.items():
-        scored, cfg = _own_trainer(spark, sf_dir, nw, win, commit)
-        acc = E.accuracy(scored, "label", "prediction").select(
-            F.lit(name).alias("trainer"), F.round("accuracy", 6).alias("accuracy"),
-            F.lit(round(cfg.history[-1]["seconds"], 3)).alias("time_spent"))
-        rows.append(acc)
-    return rows[0].unionByName(rows[1])
+@register("tabular_program")
+def q_tabular_program(spark, sf_dir):
+    """CSV -> assemble -> scale -> index -> one-hot -> split -> LR ->
+    accuracy; the label written to the CSV is whether the order is large."""
+    from ocellus.session import scratch_path
+    path = scratch_path(spark, "program_csv")
+    label = F.when(F.col("l_quantity") > LARGE_ORDER, "large").otherwise("small")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    li = read_table(spark, sf_dir, "lineitem").select(key.alias("line"), label.alias("Label"), *LINE_FEATURES)
+    li.write.option("header", True).csv(path)
+    schema = "line string, Label string, " + ", ".join(f"{c} double" for c in LINE_FEATURES)
+    v = FE.assemble(FS.read_feature_csv(spark, path, schema), "Label", exclude=["line"])
+    v = S.hash_split(v, "line", SPLIT_PCT)
+    scaled, _ = FE.standard_scale(v, "features", fit_df=v.where(F.col("split") == "train"))
+    idx, model = FE.string_index(scaled, "Label", "class_index", order="alphabetAsc")
+    hot = FE.one_hot(idx, "class_index", width=len(model.labels), out_col="hot")
+    d = hot.withColumn("label", (F.array_position("hot", F.lit(1.0)) - 1).cast("int")).drop("features").select(
+        "line", "split", F.col("label").alias("_y"), "features_normalized").withColumnRenamed("_y", "label")
+    fitted = TR.fit_lr_pipeline(d.where(F.col("split") == "train"), features_col="features_normalized")
+    return held_out(fitted.transform(d.where(F.col("split") == "test")), "line")
 
 
-@register("batch_score")
-def q_batch_score(spark, sf_dir):
-    """Score the held-out rows with the trained head: class, its
-    probability and the whole probability vector's sum."""
-    scored, _ = _own_trainer(spark, sf_dir, 2, 12, "adag")
-    return scored.select("vec_id", "prediction",
-                         F.round(F.array_max("probability"), 6).alias("prediction_prob"),
-                         F.round(A.array_sum("probability"), 6).alias("prob_sum"))
+LARGE_ORDER = 25
 
 
 @register("model_roundtrip")
@@ -569,12 +621,13 @@ def q_model_roundtrip(spark, sf_dir):
     # model just scored
     a = model.transform(test).select("vec_id", "features", F.col("prediction").alias("before"))
     b = loaded.transform(a).select("vec_id", "before", F.col("prediction").alias("after"))
-    return b.withColumn("same", F.col("before") == F.col("after"))
+    return b.select("vec_id", (F.col("before") == F.col("after")).alias("same"))
 
 
 # ------------------------------------------------------- streams and files
 
-STREAM_FILES = 4
+STREAM_ROWS_PER_FILE = 1_000_000
+STREAM_FILES_PER_BATCH = 64
 
 
 def _value_payload(col):
@@ -585,15 +638,12 @@ def _value_payload(col):
 @register("stream_score")
 def q_stream_score(spark, sf_dir):
     """Events replayed as parquet files into a directory, scored by a
-    file-source stream (one file per micro-batch) into a parquet sink; the
-    sink is read back."""
+    file-source stream into a parquet sink; the sink is read back."""
     from ocellus.session import scratch_path
     base = scratch_path(spark, "stream_score")
     ev = read_table(spark, sf_dir, "events").select("event_id", "value")
-    # replay at the input's own granularity (at least STREAM_FILES files),
-    # consumed in about STREAM_FILES micro-batches whatever the scale
-    n_files = max(STREAM_FILES, ev.rdd.getNumPartitions())
-    ev.repartition(n_files).write.parquet(f"{base}/in")
+    # replayed with the input's own partitions: no shuffle
+    ev.write.option("maxRecordsPerFile", STREAM_ROWS_PER_FILE).parquet(f"{base}/in")
     scorer = SS.threshold_scorer("value")
 
     def transform(stream):
@@ -602,7 +652,7 @@ def q_stream_score(spark, sf_dir):
 
     out = SS.run_stream(spark, f"{base}/in", "event_id bigint, value double", transform,
                         f"{base}/out", f"{base}/checkpoint",
-                        max_files_per_trigger=max(1, n_files // STREAM_FILES))
+                        max_files_per_trigger=STREAM_FILES_PER_BATCH)
     return out.select("event_id", "content", "prediction_label", "prediction_prob",
                       F.col("attributes")["prediction_prob"].alias("prob_attr"))
 
@@ -645,6 +695,18 @@ def q_url_manifest_read(spark, sf_dir):
     return m.select("url", name.alias("file_name"), TX.extension(name).alias("extension"))
 
 
+@register("labelled_dir_scan")
+def q_labelled_dir_scan(spark, sf_dir):
+    """Texts written as one folder per language, scanned as a labelled tree:
+    bytes per class."""
+    from ocellus.session import scratch_path
+    path = scratch_path(spark, "tree")
+    read_table(spark, sf_dir, "documents").select("lang", "text").where("text IS NOT NULL") \
+        .write.partitionBy("lang").option("lineSep", "\n").text(path)
+    return FS.labelled_dir_scan(spark, path, allowed=("txt",)).groupBy("class").agg(
+        F.sum("length").alias("n_bytes"))
+
+
 @register("csv_features")
 def q_csv_features(spark, sf_dir):
     """Label + numeric features written as a header CSV, read back with a

@@ -103,8 +103,9 @@ def ship_package(spark: SparkSession) -> None:
             z.write(full, os.path.relpath(full, root))
     try:
         sc.addPyFile(zpath)
-    except Exception:  # already distributed by the submitter: keep theirs
-        pass
+    except Exception as e:
+        if "already" not in str(e):     # distributed by the submitter: keep theirs
+            raise
     _SHIPPED.add(sc.applicationId)
 
 

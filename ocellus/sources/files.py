@@ -33,7 +33,7 @@ def labelled_images(spark: SparkSession, path: str, label: int) -> DataFrame:
 def labelled_dir_scan(spark: SparkSession, root: str, allowed: Iterable[str] | None = None,
                       with_content: bool = False) -> DataFrame:
     """``root/<class>/<file>`` -> (path, class, [content]); class = parent
-    folder name, rows in path order (the generator's file order)."""
+    folder name.  The path is the key; nothing is sorted."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     cols = [F.col("path"), F.element_at(F.split("path", "/"), -2).alias("class"), F.col("length")]
     if with_content:
@@ -41,27 +41,21 @@ def labelled_dir_scan(spark: SparkSession, root: str, allowed: Iterable[str] | N
     out = df.select(*cols)
     if allowed is not None:
         out = out.where(TX.extension_allowed(TX.file_name("path"), allowed, require_dot=True))
-    return out.orderBy("path")
+    return out
 
 
-def with_class_labels(scan: DataFrame, class_mode: str | None = "categorical",
-                      max_classes: int = 100_000) -> DataFrame:
+def with_class_labels(scan: DataFrame, class_mode: str | None = "categorical") -> DataFrame:
     """The directory generator's label columns: none for ``class_mode=None``;
     for ``"categorical"`` the alphabetical class index and a full-width
-    one-hot.  The class table is size-checked and broadcast."""
+    one-hot."""
     if class_mode is None:
         return scan
     if class_mode != "categorical":
         raise ValueError(f"unsupported class_mode {class_mode!r}")
-    from ocellus.functions.guards import require_small
-    from ocellus.operators.features import class_index_table
+    from ocellus.operators.features import class_index_table, one_hot
 
     table = class_index_table(scan, "class")
-    k = require_small(table, max_classes, "class table")
-    labelled = scan.join(F.broadcast(table), "class")
-    one_hot = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                          lambda i: F.when(i == F.col("class_index"), F.lit(1.0)).otherwise(F.lit(0.0)))
-    return labelled.withColumn("label", one_hot)
+    return one_hot(scan.join(table, "class", "left"), "class_index", table.count())
 
 
 def class_file_counts(scan: DataFrame) -> DataFrame:

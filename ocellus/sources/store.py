@@ -39,8 +39,8 @@ def feature_store_roundtrip(spark: SparkSession, features: DataFrame, labels: Da
 
 
 def save_class_index(table: DataFrame, path: str) -> None:
-    """class string, class_index int — tiny, one file."""
-    table.coalesce(1).write.mode("overwrite").parquet(path)
+    """class string, class_index int."""
+    table.write.mode("overwrite").parquet(path)
 
 
 def load_class_index(spark: SparkSession, path: str) -> DataFrame:
@@ -56,19 +56,6 @@ def load_pipeline_model(path: str):
     return PipelineModel.load(path)
 
 
-def save_weights(spark: SparkSession, weights: dict, path: str) -> None:
-    """Weights of our own trainer: one row per tensor (name, shape, values)."""
-    rows = [(k, list(map(int, v.shape)), [float(x) for x in v.ravel()]) for k, v in weights.items()]
-    spark.createDataFrame(rows, "name string, shape array<int>, value array<double>") \
-        .coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def load_weights(spark: SparkSession, path: str) -> dict:
-    import numpy as np
-    return {r["name"]: np.asarray(r["value"], dtype=np.float64).reshape(r["shape"])
-            for r in spark.read.parquet(path).collect()}
-
-
 def stored_vector_checksum(df: DataFrame, vec_col: str) -> DataFrame:
     """dim and sum of a stored vector, for round-trip checks."""
     return df.withColumn("dim", F.size(vec_col)).withColumn(
