@@ -39,17 +39,22 @@ def components(spark: SparkSession, edges: DataFrame, name: str = "cc") -> DataF
     """Connected components of ``edges(a, b)``: one row ``(node, root)`` per
     node that has an edge, ``root`` being the smallest node of its component.
 
-    Alternating large-star and small-star steps; each step is a grouped
-    minimum (combined before the shuffle) and a join back to the written
-    minima, so that the adaptive skew join can split a hub's neighbours.  Only
-    a count and a checksum of each round reach the driver."""
-    def measure(e):
-        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+    Alternating large-star and small-star steps until every component is a
+    star around its smallest node; each step is a grouped minimum (combined
+    before the shuffle) and a join back to the written minima, so that the
+    adaptive skew join can split a hub's neighbours.  Only one flag of each
+    round reaches the driver."""
+    def stars(e):
+        """No node has two smaller neighbours, or a smaller and a larger one."""
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            e.select("v", F.lit(0), F.lit(1)))
+        tangled = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
+            "up > 1 or (up = 1 and down = 1)")
+        return tangled.agg(F.count("*")).first()[0] == 0
 
     e = materialise(spark, edges.where("a != b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    seen = measure(e)
-    while seen[0]:
+    while not stars(e):
         both = e.union(e.select("v", "u").toDF("u", "v"))
         low = materialise(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
         large = (both.join(low, "u").where("v > u")
@@ -61,9 +66,5 @@ def components(spark: SparkSession, edges: DataFrame, name: str = "cc") -> DataF
                .toDF("u", "v").distinct())
         before, e = e, materialise(spark, nxt, name)
         discard(spark, before, low, large, least)
-        now = measure(e)
-        if now == seen:
-            break
-        seen = now
     return (e.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .union(e.select("v", "v").distinct()))

@@ -289,6 +289,10 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
                             .where("lo != hi").select("key"), "ngram-split")
         return materialise(spark, placed.join(split, "key"), "ngram-apart")
 
+    def grown(roots, more):
+        """Components once the links ``more`` are added to those of ``roots``."""
+        return materialise(spark, components(spark, roots.toDF("a", "b").union(more)), "ngram-roots")
+
     # each bucket's smallest member against the others, then one drawn anew per bucket and round
     links = linked(buckets.where("h != c").select(F.col("c").alias("a"), F.col("h").alias("b")).distinct(), "ngram-star")
     roots = materialise(spark, components(spark, links), "ngram-roots")
@@ -301,8 +305,7 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
         more = linked(pairs, "ngram-star")
         if not more.take(1):
             break
-        links = links.union(more)
-        roots = materialise(spark, components(spark, links), "ngram-roots")
+        roots = grown(roots, more)
         apart = split_buckets(roots)
 
     # whatever is left: the pairs of a bucket across components, if their sketches allow
@@ -310,7 +313,7 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
     right = apart.select("key", F.col("h").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("ra") < F.col("rb")) & close)
     more = verified(cross.select("a", "b").distinct(), "ngram-cross")
-    merged = components(spark, links.union(more)) if more.take(1) else roots
+    merged = grown(roots, more) if more.take(1) else roots
 
     named = merged.join(reps, merged["node"] == reps["h"]).select("node", "root", "rep")
     lowest = materialise(spark, named.groupBy("root").agg(F.min("rep").alias("cid")), "ngram-lowest")
