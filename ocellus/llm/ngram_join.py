@@ -122,7 +122,7 @@ def _sign(size: int, bands: list[tuple[int, int, int]]):
         cache, seen = _WordHashes(), set()
         for batch in batches:
             out = {c: [] for c in ("n", "h", "band", "sketches", "keys")}
-            for text in batch.column("text"):
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
                 s = shingle_set(text.as_py(), size, cache)
                 out["n"].append(len(s))
                 if not len(s):
@@ -134,7 +134,8 @@ def _sign(size: int, bands: list[tuple[int, int, int]]):
                 out["h"].append(node)
                 out["band"].append(b)
                 out["sketches"].append([parity_sketch(s, bands[j][1]) for j in (b, b + 1)])
-                if node in seen:  # a copy met before in this task
+                # a copy met before in this task; a row without id links with nothing
+                if node in seen or not doc_id.is_valid:
                     out["keys"].append(None)
                     continue
                 seen.add(node)
