@@ -2,15 +2,20 @@
 
 Token counts are summed to cells (source, language, topic).  Raking multiplies
 the cells' weights until their sums by source, by language and by topic meet
-the target shares.  Documents are then sampled: the inclusion probability is
-the cell's weight per token times one factor, at most 1, the factor being set
-so that the expected tokens meet the budget.  Cells stay in DataFrames; only
-sums and errors reach the driver.
+the target shares.  Documents are then sampled.  With the targets first, the
+cells' expected tokens are raked again, none above the cell's own tokens, to
+the targets' shares of the budget or, where the tables hold too little of a
+value for that, of the largest budget found that the targets can meet.  With
+the budget first, the inclusion probability is the cell's weight per token
+times one factor, at most 1, and clipped cells leave the targets.  Cells stay
+in DataFrames; only sums and errors reach the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import warnings
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ocellus.llm.common import discard, materialise
@@ -40,6 +45,17 @@ def with_cells(docs: DataFrame, topic: Column | None = None) -> DataFrame:
                        F.greatest(words, F.lit(1)).cast("long").alias("_tokens"))
 
 
+def _goals(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], total: float) -> dict[str, DataFrame]:
+    """Per dimension the tokens ``goal`` of each value that a cell has."""
+    goal = {}
+    for dim in DIMENSIONS:
+        there = targets[dim].join(cells.select(F.col(f"_{dim}").alias("value")).distinct(), "value")
+        share = there.agg(F.sum("share")).first()[0] or 1.0
+        goal[dim] = materialise(spark, there.select(
+            F.col("value").alias(f"_{dim}"), (F.col("share") * F.lit(total / share)).alias("goal")), f"mix-{dim}")
+    return goal
+
+
 def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 30,
          tolerance: float = 1e-3) -> DataFrame:
     """``cells`` with column ``w`` raked to ``targets`` (dimension to
@@ -50,12 +66,7 @@ def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], r
     total = cells.agg(F.sum("w")).first()[0]
     if not total:
         return cells
-    goal = {}
-    for dim in DIMENSIONS:
-        there = targets[dim].join(cells.select(F.col(f"_{dim}").alias("value")).distinct(), "value")
-        share = there.agg(F.sum("share")).first()[0] or 1.0
-        goal[dim] = materialise(spark, there.select(
-            F.col("value").alias(f"_{dim}"), (F.col("share") * F.lit(total / share)).alias("goal")), f"mix-{dim}")
+    goal = _goals(spark, cells, targets, total)
     for _ in range(rounds):
         step, errors = cells, []
         for dim in DIMENSIONS:
@@ -98,10 +109,79 @@ def _factor(cells: DataFrame, budget: float) -> float:
     return high
 
 
+def _bounded_step(cells: DataFrame, dim: str, budget: float) -> DataFrame:
+    """``z`` of each value's cells times the factor at which the sum of
+    ``min(t, z)`` is the value's goal; ``e_dim`` is its error before.  A cell
+    is full if the sum is still within the goal when ``z`` reaches its ``t``."""
+    value, goal = Window.partitionBy(f"_{dim}"), F.col(f"goal_{dim}") * F.lit(budget)
+    upto = value.orderBy("_at")
+    z, t, full = F.col("z"), F.col("t").cast("double"), F.col("_full")
+    step = cells.withColumn("_at", F.when(z > 0, F.try_divide(t, z)).otherwise(F.lit(float("inf"))))
+    step = step.withColumn(f"e_{dim}", F.coalesce(F.abs(F.try_divide(F.sum(F.least(t, z)).over(value), goal) - 1), F.lit(0.0)))
+    step = step.withColumn("_full", F.coalesce((z > 0) & (F.sum(t).over(upto) + F.col("_at") * (
+        F.sum(z).over(value) - F.sum(z).over(upto)) <= goal), F.lit(False)))
+    free = F.sum(F.when(full, 0.0).otherwise(z)).over(value)
+    factor = F.when(free > 0, F.try_divide(goal - F.sum(F.when(full, t).otherwise(0.0)).over(value), free)).otherwise(
+        F.max(F.when(z > 0, F.col("_at"))).over(value))
+    step = step.withColumn("_by", F.when(goal > 0, factor))
+    return step.withColumn("z", F.coalesce(z * F.col("_by"), z)).drop("_at", "_full", "_by")
+
+
+def _bounded(spark: SparkSession, cells: DataFrame, budget: float, rounds: int = 6,
+             tolerance: float = 1e-3) -> DataFrame | None:
+    """``cells`` with column ``z``, so that ``min(t, z)`` has the marginals
+    ``budget`` times ``goal_source, goal_lang, goal_topic`` (within
+    ``tolerance``); None if ``rounds`` of three sweeps do not get there."""
+    for n in range(rounds):
+        step = cells if n else cells.withColumn("z", F.col("w") * F.lit(budget))
+        for _ in range(3):
+            for dim in DIMENSIONS:
+                step = _bounded_step(step, dim, budget)
+        before, cells = cells, materialise(spark, step, "mix-bounded")
+        if n:
+            discard(spark, before)
+        if max(cells.agg(*[F.max(f"e_{dim}") for dim in DIMENSIONS]).first()) < tolerance:
+            return cells
+        cells, step = cells.drop(*[f"e_{dim}" for dim in DIMENSIONS]), cells
+        cells.scratch = step.scratch
+    return None
+
+
+def _probabilities(spark: SparkSession, raked: DataFrame, targets: dict[str, DataFrame], budget: float) -> DataFrame:
+    """``raked`` with ``z`` (``min(t, z)`` are a cell's expected tokens, which
+    meet the targets) and the ``budget`` that was found: the asked one, or
+    the first that works of five from the most that any single value allows
+    down to the one that fills no cell."""
+    total, sure = raked.where("w > 0").agg(F.sum("t"), F.min(F.col("t") / F.col("w"))).first()
+    found = None
+    if sure >= budget:
+        sure = budget
+    else:
+        most = budget
+        for dim, goal in _goals(spark, raked, targets, float(total)).items():
+            have = raked.groupBy(f"_{dim}").agg(F.sum("t").alias("have")).join(goal, f"_{dim}")
+            raked = raked.join(goal.withColumnRenamed("goal", f"goal_{dim}"), f"_{dim}", "left")
+            most = min(most, 0.99 * (have.where("goal > 0").agg(F.min(F.col("have") / F.col("goal"))).first()[0] or 1.0))
+        raked = materialise(spark, raked, "mix-goals")
+        for i in range(5):
+            share = most * (sure / most) ** (i / 5)
+            found = _bounded(spark, raked, share) if share > sure else None
+            if found is not None:
+                sure = share
+                break
+        warnings.warn(f"mixing: the targets allow {sure:.4f} of the tokens; the budget is {budget}")
+    if found is None:
+        found = raked.withColumn("z", F.col("w") * F.lit(sure))
+    return found.withColumn("budget", F.lit(sure))
+
+
 def mixing_cells(spark: SparkSession, docs: DataFrame, targets: dict[str, DataFrame] | None = None,
-                 budget: float = BUDGET, topic: Column | None = None) -> DataFrame:
-    """One row per cell: ``t`` tokens, raked ``weight`` per token (mean 1) and
-    the inclusion ``probability`` of its documents."""
+                 budget: float = BUDGET, topic: Column | None = None, targets_first: bool = False) -> DataFrame:
+    """One row per cell: ``t`` tokens, raked ``weight`` per token (mean 1),
+    the inclusion ``probability`` of its documents and the ``budget`` that the
+    probabilities meet.  ``targets_first``: the expected tokens have the
+    target shares, if need be of less than ``budget``; otherwise they meet
+    ``budget``, and clipped cells leave the targets."""
     cells = materialise(spark, with_cells(docs, topic).groupBy("_source", "_lang", "_topic").agg(
         F.sum("_tokens").alias("t")), "mix-tokens")
     targets = dict(targets or {})
@@ -109,10 +189,15 @@ def mixing_cells(spark: SparkSession, docs: DataFrame, targets: dict[str, DataFr
         targets.setdefault(dim, tempered(cells, dim, TEMPER[dim]))
     raked = rake(spark, cells, targets)
     if not raked.take(1):
-        return raked.select("_source", "_lang", "_topic", "t", F.lit(0.0).alias("weight"), F.lit(0.0).alias("probability"))
-    factor = _factor(raked.where("w > 0"), budget)
-    return raked.select("_source", "_lang", "_topic", "t", (F.col("w") / F.col("t")).alias("weight"),
-                        F.least(F.lit(1.0), F.lit(factor) * F.col("w") / F.col("t")).alias("probability"))
+        return raked.select("_source", "_lang", "_topic", "t", F.lit(0.0).alias("weight"),
+                            F.lit(0.0).alias("probability"), F.lit(0.0).alias("budget"))
+    if targets_first:
+        placed = _probabilities(spark, raked, targets, budget)
+    else:
+        placed = raked.withColumn("z", F.lit(_factor(raked.where("w > 0"), budget)) * F.col("w")).withColumn(
+            "budget", F.lit(float(budget)))
+    return placed.select("_source", "_lang", "_topic", "t", (F.col("w") / F.col("t")).alias("weight"),
+                         F.least(F.lit(1.0), F.col("z") / F.col("t")).alias("probability"), "budget")
 
 
 def draw(seed: int = SEED) -> Column:
@@ -123,11 +208,12 @@ def draw(seed: int = SEED) -> Column:
 
 def mixed(spark: SparkSession, docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
     """``docs`` with ``_source, _lang, _topic, _tokens, _weight,
-    _probability, _sampled``, one row per row.  Null and blank values are values of their
+    _probability, _sampled``, one row per row; unless told otherwise, the
+    targets go before the budget.  Null and blank values are values of their
     own; null and blank texts count one token; rows with the same id are drawn
     alike; an empty table gives no rows."""
     topic = how.get("topic")
-    cells = mixing_cells(spark, docs, **how).select(
+    cells = mixing_cells(spark, docs, **{"targets_first": True, **how}).select(
         "_source", "_lang", "_topic", F.col("weight").alias("_weight"), F.col("probability").alias("_probability"))
     rows = with_cells(docs, topic).withColumn("_draw", draw(seed))
     out = rows.join(cells, ["_source", "_lang", "_topic"])
