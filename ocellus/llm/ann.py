@@ -2,8 +2,11 @@
 
 Vectors are dealt to shards of bounded size.  A shard's vectors get random
 levels; on each level every vector keeps a few diverse near neighbours and the
-links back, all as flat arrays.  A search descends greedily through the upper
-levels and widens on the lowest.  Blocks of queries run through each shard and
+nearest links back, all as flat arrays.  Each group of a level whose vectors'
+very nearest are all its own, and each vector that no links lead to, has a
+member on the level above, so that separate groups are reached.
+A search keeps several vectors on the upper levels, starts from all of them on
+the next and widens on the lowest.  Blocks of queries run through each shard and
 the shards' results are merged.  Equal vectors share one node.
 """
 
@@ -17,7 +20,9 @@ from pyspark.sql import functions as F
 from ocellus.llm.common import materialise
 
 SHARD_ROWS, QUERY_ROWS = 8192, 512
-LINKS, BUILD_WIDTH, SEARCH_WIDTH = 16, 48, 96
+LINKS, BUILD_WIDTH, SEARCH_WIDTH, UPPER_WIDTH = 16, 48, 96, 64
+#: The nearest neighbours by which groups are told apart.
+OWN = 4
 
 
 def near_lists(x: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
@@ -57,6 +62,32 @@ def diverse(x: np.ndarray, near: np.ndarray, links: int) -> np.ndarray:
     return chosen
 
 
+def parts(near: np.ndarray) -> np.ndarray:
+    """The smallest row reachable over the links of ``near`` (-1: none) in
+    either direction, for each of its rows."""
+    root = np.arange(len(near))
+    source, column = np.nonzero(near >= 0)
+    target = near[source, column]
+    while True:
+        low = root.copy()
+        np.minimum.at(low, source, root[target])
+        np.minimum.at(low, target, root[source])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def reached(table: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which rows the links of ``table`` lead to from the rows ``start``."""
+    done = np.zeros(len(table), bool)
+    while len(start):
+        done[start] = True
+        start = np.unique(table[start])
+        start = start[(start >= 0) & ~done[start]]
+    return done
+
+
 def build(x: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(nodes, bounds, links)``: per level, from the lowest, ``nodes[bounds
     [l]:bounds[l + 1]]`` are its vectors and the same rows of ``links`` (two
@@ -64,23 +95,39 @@ def build(x: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndar
     rng = np.random.default_rng(seed)
     level = np.floor(-np.log(1 - rng.random(len(x))) / np.log(LINKS)).astype(int)
     nodes, links, bounds = [], [], [0]
-    for at in range(level.max(initial=0) + 1):
+    at = 0
+    while at <= level.max(initial=0):
         rows = np.flatnonzero(level >= at).astype(np.int32)
         table = np.full((len(rows), 2 * LINKS), -1, np.int32)
         if len(rows) > 1:
-            out = diverse(x[rows], near_lists(x, rows, BUILD_WIDTH), LINKS)
+            near = near_lists(x, rows, BUILD_WIDTH)
+            out = diverse(x[rows], near, LINKS)
             table[:, :LINKS] = out
             source = np.repeat(np.arange(len(rows), dtype=np.int32), LINKS)
             target = out.ravel()
             source, target = source[target >= 0], target[target >= 0]
-            order = np.argsort(target, kind="stable")
+            apart = np.linalg.norm(x[rows[source]] - x[rows[target]], axis=1)
+            order = np.lexsort((apart, target))
             source, target = source[order], target[order]
             place = np.arange(len(target)) - np.searchsorted(target, target)
-            room = place < LINKS  # links back, as many as fit
+            room = place < LINKS  # links back, the nearest as far as they fit
             table[target[room], LINKS + place[room]] = source[room]
+            above = level[rows] > at
+            part = parts(near[:, :OWN])
+            if part.any() or above.any():  # each group has a member above
+                above[np.setdiff1d(part, part[above])] = True
+            lost = ~reached(table, np.flatnonzero(above) if above.any() else np.arange(min(len(rows), UPPER_WIDTH)))
+            if lost.any() and not above.any():
+                above[0] = True
+            while lost.any():  # one of each group that nothing leads to
+                rest = np.where(lost[:, None] & (table >= 0) & lost[table], table, -1)
+                above[np.unique(parts(rest)[lost])] = True
+                lost = ~reached(table, np.flatnonzero(above))
+            level[rows[above]] = np.maximum(level[rows[above]], at + 1)
         nodes.append(rows)
         links.append(np.where(table >= 0, rows[table], -1))
         bounds.append(bounds[-1] + len(rows))
+        at += 1
     return np.concatenate(nodes), np.array(bounds, np.int32), np.concatenate(links)
 
 
@@ -94,17 +141,18 @@ def search(x: np.ndarray, graph, queries: np.ndarray, k: int, width: int = SEARC
         return np.where(rows >= 0, np.sqrt(((x[rows] - queries[:, None]) ** 2).sum(2)), np.inf)
 
     top = len(bounds) - 2
-    best = np.full((len(queries), 1), nodes[bounds[top]], np.int32)
+    best = np.tile(nodes[bounds[top]:bounds[top + 1]][:UPPER_WIDTH], (len(queries), 1))
     for at in range(top, -1, -1):
         own = nodes[bounds[at]:bounds[at + 1]]
         place = np.full(len(x), -1, np.int32)
         place[own] = np.arange(len(own), dtype=np.int32)
         table = links[bounds[at]:bounds[at + 1]]
-        wide = width if at == 0 else 1
+        wide = width if at == 0 else UPPER_WIDTH
         seen = np.zeros((len(queries), len(x)), bool)
-        seen[q, best[:, 0]] = True
+        there = best >= 0
+        seen[np.broadcast_to(q[:, None], best.shape)[there], best[there]] = True
         d = dist(best)
-        open_ = np.ones(best.shape, bool)
+        open_ = there
         while True:
             i = np.argmin(np.where(open_, d, np.inf), axis=1)
             live = open_[q, i]
@@ -122,8 +170,8 @@ def search(x: np.ndarray, graph, queries: np.ndarray, k: int, width: int = SEARC
             order = np.argsort(d, axis=1, kind="stable")[:, :wide]
             best, d, open_ = (np.take_along_axis(t, order, 1) for t in (best, d, open_))
             open_ &= np.isfinite(d)
-        if at:
-            best = best[:, :1]
+    order = np.argsort(d, axis=1, kind="stable")
+    best, d = np.take_along_axis(best, order, 1), np.take_along_axis(d, order, 1)
     found = best[:, :k]
     return np.where(np.isfinite(d[:, :k]), found, -1)
 
