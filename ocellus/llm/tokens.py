@@ -7,7 +7,8 @@ where the tokenizer itself always cuts: around a line feed and before a
 blank where no other white space is beside them, and after a run of Latin
 letters that an ASCII non-letter follows.  Words of letters go to the tokenizer's model directly,
 all else through the whole tokenizer.  A text with other white space than
-ASCII's goes to the tokenizer whole.
+ASCII's, with an added token's text or with U+0130 (whose lower-case form ends
+in a combining dot) goes to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 CUT = "\x02"
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PART = re.compile(rf"[ \t-\r]*(?:[{_LATIN}]++(?=[\x00-@\[-`{{-\x7f]|\Z)|[^ \t-\r]++)|[ \t-\r]++")
-_ODD = re.compile(r"[\x02\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+_ODD = re.compile(r"[\x02\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeffİ]")
 _LETTER_END = rf"([{_LATIN}])([!-@\[-`{{-~])"
 _GAP = re.compile(r"[ \t-\r][ \t-\r]")
 
@@ -40,7 +41,8 @@ class Encoder:
 
         path = vocab if os.path.sep in vocab else public_tokenizers.path(vocab)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added), re.IGNORECASE) if added else None
         self.model = self.tokenizer.model
         self.words, self.known = words, {}
         # what the model is given for a letter, and for a blank before a word
@@ -82,7 +84,7 @@ class Encoder:
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if _ODD.search(t):
+            if _ODD.search(t) or self.added and self.added.search(t):
                 out[i] = self._whole(t)
             elif _GAP.search(t):
                 out[i] = b"".join(self._ids(_PART.findall(t)))
