@@ -131,7 +131,9 @@ def _bounded(spark: SparkSession, cells: DataFrame, budget: float, rounds: int =
              tolerance: float = 1e-3) -> DataFrame | None:
     """``cells`` with column ``z``, so that ``min(t, z)`` has the marginals
     ``budget`` times ``goal_source, goal_lang, goal_topic`` (within
-    ``tolerance``); None if ``rounds`` of three sweeps do not get there."""
+    ``tolerance``); None if ``rounds`` of three sweeps do not get there or
+    one does not halve the error."""
+    last = float("inf")
     for n in range(rounds):
         step = cells if n else cells.withColumn("z", F.col("w") * F.lit(budget))
         for _ in range(3):
@@ -140,8 +142,12 @@ def _bounded(spark: SparkSession, cells: DataFrame, budget: float, rounds: int =
         before, cells = cells, materialise(spark, step, "mix-bounded")
         if n:
             discard(spark, before)
-        if max(cells.agg(*[F.max(f"e_{dim}") for dim in DIMENSIONS]).first()) < tolerance:
+        worst = max(cells.agg(*[F.max(f"e_{dim}") for dim in DIMENSIONS]).first())
+        if worst < tolerance:
             return cells
+        if worst > last / 2:
+            return None
+        last = worst
         cells, step = cells.drop(*[f"e_{dim}" for dim in DIMENSIONS]), cells
         cells.scratch = step.scratch
     return None
