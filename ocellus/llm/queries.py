@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ocellus.llm import ann, exact_dedup, language, mixing, ngram_join, packing, pii, quality, secrets, token_orc
+from ocellus.llm import (ann, exact_dedup, language, mixing, ngram_join, packing, pii, postings, quality, secrets,
+                         spelling, token_orc, whitening)
 from ocellus.session import read_table
 
 
@@ -73,9 +74,30 @@ def op10_token_orc(spark, sf_dir):
     return token_orc.token_output(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    """Form and root of every word that a near word outnumbers."""
+    return spelling.spelling_variants(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark, sf_dir):
+    """Whitened components of every embedding."""
+    return whitening.whitened(spark, read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_benchmark_index(spark, sf_dir):
+    """Words of every document inside ten-word passages of benchmark items."""
+    found = postings.contaminated(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                  width=10)
+    n_hit = F.expr("aggregate(hits, 0L, (s, x) -> s + x.stop - x.start)")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_hnsw_neighbours, op3_quality_classifier, op4_secret_scan, op5_mix_to_targets,
-    op6_pattern_packing, op7_weak_supervision_pii, op8_exact_dedup, op9_language_id, op10_token_orc)}
+    op6_pattern_packing, op7_weak_supervision_pii, op8_exact_dedup, op9_language_id, op10_token_orc,
+    op11_spelling_variants, op12_whitening, op13_benchmark_index)}
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -105,4 +127,63 @@ ORACLES = {
         SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles,
                coalesce((SELECT min(seen) FROM r WHERE node = s.doc_id), s.doc_id) AS component_id
         FROM s""",
+    # crc32 by its polynomial, a bit at a time, of the table of 256 bytes
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE bits AS (
+          SELECT b, list_reduce(list_prepend(b, range(8)::BIGINT[]),
+                   lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS code
+          FROM (SELECT unnest(range(256)) AS b)),
+        crc AS MATERIALIZED (SELECT list(code ORDER BY b) AS t FROM bits),
+        runs AS (
+          SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+        kinds AS (SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+        coded AS (
+          SELECT run, c, xor(4294967295, list_reduce(
+                   list_prepend(4294967295::BIGINT, [('0x' || x)::BIGINT FOR x IN regexp_extract_all(
+                     hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..')]),
+                   lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1]))) AS h
+          FROM kinds, crc),
+        cut AS (
+          SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                 ELSE run END AS word, c FROM coded),
+        v AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM cut GROUP BY 1 HAVING length(word) >= 6 AND sum(c) >= 5),
+        less AS MATERIALIZED (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+                              FROM (SELECT word, n, unnest(range(length(word)))::INT AS i FROM v)),
+        pairs AS MATERIALIZED (
+          SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+          UNION SELECT l.word, v.word, v.n FROM less l JOIN v ON v.word = l.rest
+          UNION SELECT v.word, l.word, l.n FROM less l JOIN v ON v.word = l.rest),
+        best AS (SELECT word, count(*) AS n_near, min((-other_n, other)) AS f FROM pairs GROUP BY 1),
+        forms AS MATERIALIZED (
+          SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -f[1] >= 5 * v.n THEN f[2] END AS form,
+                 CASE WHEN -f[1] >= 5 * v.n THEN (-f[1])::BIGINT END AS form_n
+          FROM v LEFT JOIN best USING (word)),
+        way(word, place) AS (SELECT word, word FROM forms
+                          UNION ALL SELECT way.word, f.form FROM way JOIN forms f ON f.word = way.place WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, w.place AS root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN way w USING (word) JOIN forms g ON g.word = w.place WHERE g.form IS NULL""",
+    "op13_benchmark_index": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+        b AS (
+          SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+        windows AS MATERIALIZED (
+          SELECT DISTINCT item_id, least(10, len(words)) AS k,
+                 array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS phrase
+          FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
+        spots AS (
+          SELECT r, i, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS i
+                FROM d, (SELECT DISTINCT k FROM windows) WHERE len(words) >= k)),
+        found AS MATERIALIZED (SELECT r, i, k, item_id FROM spots JOIN windows USING (k, phrase)),
+        hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM found) GROUP BY 1),
+        items AS (SELECT r, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM found GROUP BY 1)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+               sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)""",
 }
