@@ -176,24 +176,28 @@ def search(x: np.ndarray, graph, queries: np.ndarray, k: int, width: int = SEARC
     return np.where(np.isfinite(d[:, :k]), found, -1)
 
 
-_INDEX = "shard int, ids binary, vectors binary, nodes binary, bounds binary, links binary"
+_INDEX = "shard int, ids binary, vectors binary, centre binary, nodes binary, bounds binary, links binary"
 
 
 def _build(frame):
     import pandas as pd
 
     frame = frame.sort_values("rep")
-    x = np.stack(frame["vec"].to_numpy()).astype(np.float32)
+    x = np.stack(frame["vec"].to_numpy()).astype(np.float64)
+    centre = x.mean(0)
+    # links and the search use distances only: without the mean they keep their digits
+    x = (x - centre).astype(np.float32)
     nodes, bounds, links = build(x, int(frame["shard"].iloc[0]))
     return pd.DataFrame([{
         "shard": int(frame["shard"].iloc[0]), "ids": frame["rep"].to_numpy(np.int64).tobytes(), "vectors": x.tobytes(),
+        "centre": centre.tobytes(),
         "nodes": nodes.astype(np.int32).tobytes(), "bounds": bounds.tobytes(), "links": links.astype(np.int32).tobytes()}])
 
 
 def _block(frame):
     import pandas as pd
 
-    return pd.DataFrame([{"block": int(frame["block"].iloc[0]), "q_ids": frame["query_id"].to_numpy(np.int64).tobytes(),
+    return pd.DataFrame([{"block": int(frame["block"].iloc[0]), "d": int(frame["d"].iloc[0]), "q_ids": frame["query_id"].to_numpy(np.int64).tobytes(),
                           "q_vectors": np.stack(frame["vec"].to_numpy()).astype(np.float64).tobytes()}])
 
 
@@ -206,51 +210,63 @@ def _search(k: int):
                 q = np.frombuffer(row["q_vectors"], np.float64).reshape(len(q_ids), -1)
                 graph = (np.frombuffer(row["nodes"], np.int32), np.frombuffer(row["bounds"], np.int32),
                          np.frombuffer(row["links"], np.int32).reshape(-1, 2 * LINKS))
-                near = search(x, graph, q.astype(np.float32), k)
+                near = search(x, graph, (q - np.frombuffer(row["centre"])).astype(np.float32), k)
                 at, place = np.nonzero(near >= 0)
-                rows = near[at, place]
-                score = np.sqrt(((x[rows].astype(np.float64) - q[at]) ** 2).sum(1))
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[at]), pa.array(ids[rows]), pa.array(score)],
-                                                 names=["query_id", "rep", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[at]), pa.array(ids[near[at, place]])], names=["query_id", "rep"])
     return run
 
 
 def usable_vectors(rows: DataFrame) -> DataFrame:
-    """``vec_id, vec``: vectors without null or non-finite components that are
-    not zero, of the most frequent dimension (of equally frequent, the
-    largest); rows with null ids are left out."""
-    ok = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vec")).where(
+    """``vec_id, vec, d``: vectors (of doubles, ``d`` long) without null or
+    non-finite components that are not zero; rows with null ids are left out."""
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec")).where(
         "vec_id is not null and vec is not null and size(vec) > 0 and not exists(vec, v -> v is null)"
-        " and forall(vec, v -> not isnan(v) and abs(v) < double('infinity')) and exists(vec, v -> v != 0)")
-    sizes = ok.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    return ok.where(F.size("vec") == (sizes[0]["d"] if sizes else 0))
+        " and forall(vec, v -> not isnan(v) and abs(v) < double('infinity')) and exists(vec, v -> v != 0)").withColumn(
+        "d", F.size("vec"))
+
+
+def _dealt(rows: DataFrame, per: int) -> DataFrame:
+    """``d, first, parts``: how many parts of about ``per`` rows each length
+    of vector gets, numbered on from ``first``."""
+    parts = rows.groupBy("d").agg(F.ceil(F.count("*") / F.lit(per)).cast("int").alias("parts"))
+    # one row per length: few enough for one task
+    return parts.withColumn("first", (F.sum("parts").over(Window.orderBy("d")) - F.col("parts")).cast("int"))
+
+
+def _distance(a: str, b: str):
+    return F.expr(f"sqrt(aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), 0D, (s, x) -> s + x))")
 
 
 def nearest(spark: SparkSession, rows: DataFrame, is_query, k: int = 10) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``rows(vec_id,
     embedding)`` that meets ``is_query``, its ``k`` nearest others found by
-    Euclidean distance in double precision, ties to the smaller vec_id.  All
-    usable rows are indexed (see ``usable_vectors``); rows that repeat an id
-    count once.  Other columns are ignored; without usable rows there are no
-    results."""
-    ok = materialise(spark, usable_vectors(rows).dropDuplicates(["vec_id"]), "ann-vectors")
+    Euclidean distance in double precision on the vectors as given, ties to the
+    smaller vec_id.  Vectors are compared with those of their length.  All
+    usable rows are indexed (see ``usable_vectors``); of rows that repeat an id
+    the smallest vector counts.  Other columns are ignored; without usable
+    rows there are no results."""
+    ok = materialise(spark, usable_vectors(rows).groupBy("vec_id").agg(F.min("vec").alias("vec")).withColumn(
+        "d", F.size("vec")), "ann-vectors")
     # equal vectors: of each, the k + 1 smallest ids are all that a result can hold
     first = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
     nodes = materialise(
-        spark, ok.withColumn("n", first).where(F.col("n") <= k + 1).groupBy("vec").agg(
+        spark, ok.withColumn("n", first).where(F.col("n") <= k + 1).groupBy("vec", "d").agg(
             F.min("vec_id").alias("rep"), F.sort_array(F.collect_list("vec_id")).alias("members")), "ann-nodes")
-    shards = max(1, -(-nodes.count() // SHARD_ROWS))
+    shards = materialise(spark, _dealt(nodes, SHARD_ROWS), "ann-shards")
     index = materialise(
-        spark, nodes.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int"))
+        spark, nodes.join(shards, "d").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("rep"), "parts").cast("int"))
         .select("shard", "rep", "vec").groupBy("shard").applyInPandas(_build, _INDEX), "ann-index")
-    queries = ok.where(is_query).select(F.col("vec_id").alias("query_id"), "vec")
-    blocks = max(1, -(-queries.count() // QUERY_ROWS))
-    packed = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).groupBy(
-        "block").applyInPandas(_block, "block int, q_ids binary, q_vectors binary")
-    # every block visits every shard
-    visits = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = visits.join(index, "shard").mapInArrow(_search(k + 1), "query_id long, rep long, score double")
-    near = (found.join(nodes.select("rep", "members"), "rep")
-            .select("query_id", F.explode("members").alias("vec_id"), "score").where("vec_id != query_id"))
+    queries = ok.where(is_query).select(F.col("vec_id").alias("query_id"), "vec", "d")
+    blocks = materialise(spark, _dealt(queries, QUERY_ROWS), "ann-blocks")
+    packed = queries.join(blocks, "d").withColumn(
+        "block", F.col("first") + F.pmod(F.xxhash64("query_id"), "parts").cast("int")).groupBy(
+        "block").applyInPandas(_block, "block int, d int, q_ids binary, q_vectors binary")
+    # every block visits every shard of its length
+    visits = packed.join(shards, "d").withColumn("shard", F.explode(F.sequence(F.col("first"), F.expr("first + parts - 1"))))
+    found = visits.select("shard", "q_ids", "q_vectors").join(index, "shard").mapInArrow(
+        _search(k + 1), "query_id long, rep long")
+    scored = (found.join(queries.select("query_id", F.col("vec").alias("q")), "query_id").join(nodes, "rep")
+              .select("query_id", "members", _distance("q", "vec").alias("score")))
+    near = scored.select("query_id", F.explode("members").alias("vec_id"), "score").where("vec_id != query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
