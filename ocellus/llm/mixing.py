@@ -13,6 +13,7 @@ in DataFrames; only sums and errors reach the driver.
 
 from __future__ import annotations
 
+import math
 import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,11 +25,17 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Without given targets a dimension's shares are its token shares to this power.
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 BUDGET, SEED = 0.8, 17
+#: How near the budget found comes to the largest that the targets can meet.
+CLOSE = 1.01
 
 
-def document_form(text: str = "text") -> Column:
+def word_count(text: str = "text") -> Column:
+    return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]++"))
+
+
+def document_form(text: str = "text", words: Column | None = None) -> Column:
     """The default topic: the form of a text, by its words and table bars."""
-    words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
+    words = word_count(text) if words is None else words
     return (F.when(F.contains(F.col(text), F.lit(" | ")), "table").when(words < 100, "short")
             .when(words < 600, "medium").otherwise("long"))
 
@@ -38,11 +45,16 @@ def _value(col: Column) -> Column:
 
 
 def with_cells(docs: DataFrame, topic: Column | None = None) -> DataFrame:
-    """``docs`` with ``_source, _lang, _topic, _tokens`` (words, at least 1)."""
-    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    return docs.select("*", _value(F.col("source")).alias("_source"), _value(F.col("lang")).alias("_lang"),
-                       _value(document_form() if topic is None else topic).alias("_topic"),
-                       F.greatest(words, F.lit(1)).cast("long").alias("_tokens"))
+    """``_row`` (the columns of ``docs``), ``_source, _lang, _topic, _tokens``
+    (words, at least 1) and ``_draw``'s key, one row per row of ``docs``."""
+    form = topic is None
+    rows = docs.select(  # the words of a text are counted once
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"),
+        _value(F.col("source")).alias("_source"), _value(F.col("lang")).alias("_lang"), word_count().alias("_words"),
+        _key().alias("_key"), (F.lit(None).cast("string") if form else _value(topic)).alias("_topic"))
+    return rows.select("_row", "_key", "_source", "_lang",
+                       (_value(document_form("_text", F.col("_words"))) if form else F.col("_topic")).alias("_topic"),
+                       F.greatest("_words", F.lit(1)).cast("long").alias("_tokens"))
 
 
 def _goals(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], total: float) -> dict[str, DataFrame]:
@@ -156,8 +168,8 @@ def _bounded(spark: SparkSession, cells: DataFrame, budget: float, rounds: int =
 def _probabilities(spark: SparkSession, raked: DataFrame, targets: dict[str, DataFrame], budget: float) -> DataFrame:
     """``raked`` with ``z`` (``min(t, z)`` are a cell's expected tokens, which
     meet the targets) and the ``budget`` that was found: the asked one, or
-    the first that works of five from the most that any single value allows
-    down to the one that fills no cell."""
+    one within ``CLOSE`` of the largest that works, between the most that any
+    single value allows and the one that fills no cell."""
     total, sure = raked.where("w > 0").agg(F.sum("t"), F.min(F.col("t") / F.col("w"))).first()
     found = None
     if sure >= budget:
@@ -169,12 +181,16 @@ def _probabilities(spark: SparkSession, raked: DataFrame, targets: dict[str, Dat
             raked = raked.join(goal.withColumnRenamed("goal", f"goal_{dim}"), f"_{dim}", "left")
             most = min(most, 0.99 * (have.where("goal > 0").agg(F.min(F.col("have") / F.col("goal"))).first()[0] or 1.0))
         raked = materialise(spark, raked, "mix-goals")
-        for i in range(5):
-            share = most * (sure / most) ** (i / 5)
-            found = _bounded(spark, raked, share) if share > sure else None
-            if found is not None:
-                sure = share
-                break
+        share = most
+        while share > sure * CLOSE:
+            tried = _bounded(spark, raked, share)
+            if tried is None:
+                most = share
+            else:
+                if found is not None:
+                    discard(spark, found)
+                found, sure = tried, share
+            share = math.sqrt(sure * most) if most > sure * CLOSE else 0.0
         warnings.warn(f"mixing: the targets allow {sure:.4f} of the tokens; the budget is {budget}")
     if found is None:
         found = raked.withColumn("z", F.col("w") * F.lit(sure))
@@ -206,26 +222,31 @@ def mixing_cells(spark: SparkSession, docs: DataFrame, targets: dict[str, DataFr
                          F.least(F.lit(1.0), F.col("z") / F.col("t")).alias("probability"), "budget")
 
 
-def draw(seed: int = SEED) -> Column:
+def _key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.coalesce("text", F.lit(""))))
+
+
+def draw(seed: int = SEED, key: Column | None = None) -> Column:
     """A number in [0, 1) fixed by the document's id (without one, its text)."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.coalesce("text", F.lit(""))))
+    key = _key() if key is None else key
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
-    """``docs`` with ``_source, _lang, _topic, _tokens, _weight,
-    _probability, _sampled``, one row per row; unless told otherwise, the
-    targets go before the budget.  Null and blank values are values of their
-    own; null and blank texts count one token; rows with the same id are drawn
-    alike; an empty table gives no rows."""
+    """``_row`` (the columns of ``docs``), ``_source, _lang, _topic, _tokens,
+    _weight, _probability, _sampled``, one row per row of ``docs``; unless told
+    otherwise, the targets go before the budget.  Null and blank values are
+    values of their own; null and blank texts count one token; rows with the
+    same id are drawn alike; an empty table gives no rows."""
     topic = how.get("topic")
     cells = mixing_cells(spark, docs, **{"targets_first": True, **how}).select(
         "_source", "_lang", "_topic", F.col("weight").alias("_weight"), F.col("probability").alias("_probability"))
-    rows = with_cells(docs, topic).withColumn("_draw", draw(seed))
-    out = rows.join(cells, ["_source", "_lang", "_topic"])
-    return out.withColumn("_sampled", F.col("_draw") < F.col("_probability")).drop("_draw")
+    out = with_cells(docs, topic).join(cells, ["_source", "_lang", "_topic"])
+    return out.select("_row", "_source", "_lang", "_topic", "_tokens", "_weight", "_probability",
+                      (draw(seed, F.col("_key")) < F.col("_probability")).alias("_sampled"))
 
 
 def mixed_sample(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
-    """The sampled rows, with the columns of ``docs``."""
-    return mixed(spark, docs, **how).where("_sampled").select(*[F.col(c) for c in docs.columns])
+    """The sampled rows of ``docs``, all its columns unchanged (see ``mixed``
+    for nulls, repeated rows and empty tables)."""
+    return mixed(spark, docs, **how).where("_sampled").select("_row.*")

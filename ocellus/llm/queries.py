@@ -38,7 +38,7 @@ def op4_secret_scan(spark, sf_dir):
 def op5_mix_to_targets(spark, sf_dir):
     """Raked weight, inclusion probability and draw of every document."""
     out = mixing.mixed(spark, read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "source", "lang", F.substring("_topic", 2, 100).alias("topic"),
+    return out.select("_row.doc_id", "_row.source", "_row.lang", F.substring("_topic", 2, 100).alias("topic"),
                       F.col("_tokens").alias("n_tokens"), F.col("_weight").alias("weight"),
                       F.col("_probability").alias("probability"), F.col("_sampled").alias("sampled"))
 
