@@ -3,7 +3,7 @@ and connected components over an edge table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ocellus.session import scratch_path
@@ -35,6 +35,36 @@ def fold_of(col: str, folds: int):
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(folds)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` has them."""
+    there, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in there:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    """What tells rows apart: the id as text (empty without one) and a hash of
+    the text.  Rows that share both are repeated rows."""
+    return [F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.xxhash64(F.col(text).isNull(), text)]
+
+
+def rows_without(docs: DataFrame, gone: DataFrame, once: DataFrame) -> DataFrame:
+    """``docs``, all columns, less the rows whose ``row_key`` is in ``gone``;
+    of the repeated rows with a key in ``once`` one stays.  Both tables have
+    two columns and no repeated rows.  Each row of ``docs`` is shuffled once,
+    by its key, unless Spark finds the tables small enough to send around."""
+    names = unused(docs, "key_id", "key_text")
+    keyed = docs.withColumns(dict(zip(names, row_key())))
+    if not once.take(1):
+        return keyed.join(gone.toDF(*names), names, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    one = keyed.join(once.toDF(*names), names, "left_semi").dropDuplicates(names)
+    rest = keyed.join(gone.union(once).toDF(*names), names, "left_anti")
+    return rest.union(one).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def components(spark: SparkSession, edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of ``edges(a, b)``: one row ``(node, root)`` per
     node that has an edge, ``root`` being the smallest node of its component.

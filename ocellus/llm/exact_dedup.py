@@ -4,7 +4,8 @@ Texts are equal when identical after each run of ASCII white space becomes one
 space.  Groups are refined by length, then by a hash of the prefix, then by
 the full hash; a row leaves the refinement as soon as it is alone in its
 group, so only rows of equal length and prefix meet on their full hash.  The
-text is scanned once into a narrow table, and no text is shuffled.
+text is scanned once into a narrow table.  Removing copies reads the rows once
+more and shuffles each once, by its own key.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ocellus.llm.common import SPACE, materialise
+from ocellus.llm.common import SPACE, materialise, row_key, rows_without
 
 PREFIX_CHARS = 64
 
@@ -29,6 +30,19 @@ def _crowded(spark: SparkSession, rows: DataFrame, keys: list[str]) -> DataFrame
     return materialise(spark, rows.join(materialise(spark, many, "dedup-many"), keys, "left_semi"), "dedup-crowded")
 
 
+def _narrow(spark: SparkSession, docs: DataFrame, *more) -> DataFrame:
+    """The table that is refined, one row per row of ``docs``."""
+    norm = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("norm"), *more)
+    return materialise(spark, norm.select(
+        "*", F.monotonically_increasing_id().alias("row"), F.length("norm").alias("chars"),
+        F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix"),
+        F.unhex(F.sha2("norm", 256)).alias("sha")).drop("norm"), "dedup-narrow")
+
+
+def _refined(spark: SparkSession, narrow: DataFrame) -> DataFrame:
+    return _crowded(spark, _crowded(spark, narrow, ["chars"]), ["chars", "prefix"])
+
+
 def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, sha``, one row per row of ``docs``.
 
@@ -36,15 +50,8 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     row with the smallest doc_id stays; null ids come last, and of repeated
     rows with that same id one stays.  Null texts are empty texts.  Other
     columns of ``docs`` are ignored."""
-    norm = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("norm"))
-    narrow = materialise(spark, norm.select(
-        "doc_id", F.monotonically_increasing_id().alias("row"),
-        F.length("norm").alias("chars"),
-        F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix"),
-        F.unhex(F.sha2("norm", 256)).alias("sha")), "dedup-narrow")
-
-    refined = _crowded(spark, _crowded(spark, narrow, ["chars"]), ["chars", "prefix"])
-    groups = refined.groupBy("chars", "prefix", "sha").agg(
+    narrow = _narrow(spark, docs)
+    groups = _refined(spark, narrow).groupBy("chars", "prefix", "sha").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "row")).alias("keep"),
         F.count("*").alias("group_size")).where("group_size > 1")
     out = narrow.join(materialise(spark, groups, "dedup-groups"), ["chars", "prefix", "sha"], "left")
@@ -55,9 +62,19 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def exact_duplicates_removed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of equal texts (all its columns)."""
-    stay = (exact_groups(spark, docs).where("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha")).distinct())
-    rows = docs.withColumn("_own", F.unhex(F.sha2(normalised(), 256)))
-    found = rows.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")))
-    return found.dropDuplicates(["_id", "_sha"]).select(*[F.col(c) for c in docs.columns])
+    """``docs``, all its columns unchanged, with one row of each group of equal
+    texts: the one with the smallest doc_id, null ids last, of repeated rows
+    one.  Null and empty texts are one group.  An empty table gives none."""
+    narrow = _narrow(spark, docs, *[c.alias(n) for c, n in zip(row_key(), ("ki", "kt"))])
+    # rows with equal keys are repeated rows; they are counted before groups meet
+    rows = _refined(spark, narrow).groupBy("chars", "prefix", "sha", "ki", "kt").agg(
+        F.first("doc_id").alias("doc_id"), F.count("*").alias("times"))
+    rows = materialise(spark, rows, "dedup-rows")
+    groups = rows.groupBy("chars", "prefix", "sha").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "kt")).alias("keep"),
+        F.sum("times").alias("size")).where("size > 1").drop("size")
+    placed = rows.join(materialise(spark, groups, "dedup-groups"), ["chars", "prefix", "sha"]).select(
+        "ki", "kt", "times", (F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("kt") == F.col("keep.kt"))).alias("stays"))
+    placed = materialise(spark, placed, "dedup-placed")
+    return rows_without(docs, placed.where("not stays").select("ki", "kt"),
+                        placed.where("stays and times > 1").select("ki", "kt"))

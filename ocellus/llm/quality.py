@@ -215,10 +215,12 @@ def _keep(model: Classifier | None, prior: float):
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
-    """The rows of ``docs`` with ``predicted`` 1, all their columns."""
+    """The rows of ``docs`` with ``predicted`` 1, all their columns unchanged,
+    learned as ``quality_scores`` does.  Null and blank texts are scored as
+    empty ones, rows with null ids are scored too, repeated rows alike; an
+    empty table gives none."""
     fold = fold_of("doc_id", folds)
-    marked = docs.join(labels.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id") == F.col("_id"), "left_semi")
-    stats = materialise(spark, marked.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    stats = materialise(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                         .mapInArrow(_describe, _STATS), "quality-stats")
     model, prior = fit(spark, stats, labels, fold != 0, fold == 1)
     return docs.mapInArrow(_keep(model, prior), docs.schema)
