@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ocellus.llm.common import components, discard, materialise
+from ocellus.llm.common import components, discard, materialise, row_key, rows_without
 
 U = np.uint64
 BAND_MASK = 4095
@@ -112,7 +112,7 @@ def _node(s: np.ndarray) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(s.tobytes()), "big", signed=True)
 
 
-_SIGNED = "doc_id long, n long, h long, band int, sketches array<array<long>>, keys array<long>"
+_SIGNED = "doc_id long, t long, n long, h long, band int, sketches array<array<long>>, keys array<long>"
 
 
 def _sign(size: int, bands: list[tuple[int, int, int]]):
@@ -142,10 +142,10 @@ def _sign(size: int, bands: list[tuple[int, int, int]]):
                 keys = [segment_keys(s, j, bands[j][2]) for j in (b, b + 1) if bands[j][2]]
                 out["keys"].append(np.concatenate(keys) if keys else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(out["n"], pa.int64()), pa.array(out["h"], pa.int64()),
+                [batch.column("doc_id"), batch.column("t"), pa.array(out["n"], pa.int64()), pa.array(out["h"], pa.int64()),
                  pa.array(out["band"], pa.int32()), pa.array(out["sketches"], pa.list_(pa.list_(pa.int64()))),
                  pa.array(out["keys"], pa.list_(pa.int64()))],
-                names=["doc_id", "n", "h", "band", "sketches", "keys"])
+                names=["doc_id", "t", "n", "h", "band", "sketches", "keys"])
     return run
 
 
@@ -179,34 +179,28 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["key", "h"])
 
 
-def _own(size: int):
-    """Where rows repeat a doc_id, only the text that made the node counts."""
+def _sets(size: int):
+    """The whole sets as bytes."""
     def run(batches):
         cache = _WordHashes()
         for batch in batches:
-            keep = [_node(shingle_set(t.as_py(), size, cache)) == h.as_py()
-                    for t, h in zip(batch.column("text"), batch.column("h"))]
-            yield batch.select(["h", "text"]).filter(pa.array(keep, pa.bool_()))
+            sets = [shingle_set(t.as_py(), size, cache).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(sets, pa.binary())], names=["h", "s"])
     return run
 
 
-def _verify(size: int, num: int, den: int):
+def _verify(num: int, den: int):
     def run(batches):
-        cache, sets = _WordHashes(), {}
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            ta, tb = batch.column("ta"), batch.column("tb")
+            sa, sb = batch.column("sa"), batch.column("sb")
             keep = []
-            for i in range(len(a)):
-                if a[i] not in sets:
-                    if len(sets) > 64:
-                        sets.clear()
-                    sets[a[i]] = shingle_set(ta[i].as_py(), size, cache)
-                sa, sb = sets[a[i]], shingle_set(tb[i].as_py(), size, cache)
-                both = len(np.intersect1d(sa, sb, assume_unique=True))
-                keep.append(den * both >= num * (len(sa) + len(sb) - both) > 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, k in zip(col, keep) if k], pa.int64()) for col in (a, b)], names=["a", "b"])
+            for i in range(batch.num_rows):
+                a, b = (np.frombuffer(s[i].as_buffer(), U) for s in (sa, sb))
+                few, many = (a, b) if len(a) < len(b) else (b, a)
+                place = np.minimum(np.searchsorted(many, few), len(many) - 1)
+                both = int((many[place] == few).sum())
+                keep.append(den * both >= num * (len(a) + len(b) - both) > 0)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
@@ -222,22 +216,18 @@ def _close(num: int, den: int):
             <= floor((n_a + n_b) * {den - num} / {den + num})""")
 
 
-def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
-                     num: int = 4, den: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id``, one row per row of ``docs``.
+#: Buckets of more nodes than this are split by a second shared key.
+LARGE_BUCKET = 256
 
-    Documents link when the Jaccard similarity of their ``size``-word shingle
-    sets is at least ``num/den``; ``component_id`` is the smallest doc_id
-    reachable.  Words are split at ASCII white space, A-Z lower-cased.  Null
-    and blank texts have no shingles and stand alone.  A row with null doc_id
-    links with nothing and has a null component.  Repeated rows are copies.
-    Other columns of ``docs`` are ignored.  Sets are compared by 64-bit
-    hashes of their shingles.
-    """
+
+def _placed(spark: SparkSession, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """``doc_id, t, n, root, cid``, one row per row of ``docs``: ``t`` is the
+    text's hash in ``row_key``, ``n`` the set's size, ``root`` names the
+    component (null without id or shingles), ``cid`` is its smallest doc_id."""
     bands = size_bands(num, den)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key()[1].alias("t"), "text")
     wide = materialise(spark, rows.mapInArrow(_sign(size, bands), _SIGNED), "ngram-signed")
-    ids = materialise(spark, wide.select("doc_id", "n", "h"), "ngram-ids")
+    ids = materialise(spark, wide.select("doc_id", "t", "n", "h"), "ngram-ids")
     shared = materialise(
         spark,
         wide.where("doc_id is not null").select(F.explode("keys").alias("key"), "h")
@@ -250,22 +240,21 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
         F.count("*").alias("cnt"), F.min("h").alias("c")).where("cnt > 1"), "ngram-counts")
     extra = F.array(*[F.lit(spares(b[2])) for b in bands])
     rank = F.row_number().over(Window.partitionBy("h", "band").orderBy(F.desc("cnt"), "key"))
+    ranked = shared.join(counts, "key").withColumn("band", F.col("key").bitwiseAND(BAND_MASK).cast("int")).withColumn("rank", rank)
     buckets = materialise(
-        spark,
-        shared.join(counts, "key").withColumn("band", F.col("key").bitwiseAND(BAND_MASK).cast("int"))
-        .withColumn("rank", rank).where(F.col("rank") > F.element_at(extra, F.col("band") + 1))
-        .select("key", "h", "c"), "ngram-buckets")
+        spark, ranked.where(F.col("rank") > F.element_at(extra, F.col("band") + 1)).select("key", "h", "c"), "ngram-buckets")
 
-    reps = ids.where("h is not null and doc_id is not null").groupBy("h").agg(F.min("doc_id").alias("rep"))
+    known = ids.where("h is not null and doc_id is not null")
+    reps = known.groupBy("h").agg(F.min("doc_id").alias("rep"))
     involved = buckets.select("h").union(buckets.select("c")).distinct().join(reps, "h")
     nodes = materialise(
         spark,
-        wide.select("doc_id", "h", "n", "band", "sketches").join(
+        wide.select("doc_id", "t", "h", "n", "band", "sketches").join(
             involved.withColumnRenamed("rep", "doc_id"), ["h", "doc_id"]).dropDuplicates(["h"]), "ngram-nodes")
-    discard(spark, wide, shared)
-    texts = materialise(
-        spark, rows.join(nodes.select("doc_id", "h"), "doc_id")
-        .mapInArrow(_own(size), "h long, text string").dropDuplicates(["h"]), "ngram-texts")
+    discard(spark, wide)
+    sets = materialise(
+        spark, rows.join(nodes.select("doc_id", "t", "h"), ["doc_id", "t"]).select("h", "text")
+        .mapInArrow(_sets(size), "h long, s binary").dropDuplicates(["h"]), "ngram-sets")
 
     def side(s):
         return nodes.select(F.col("h").alias(s), F.col("n").alias(f"n_{s}"), F.col("band").alias(f"band_{s}"),
@@ -274,8 +263,8 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
     def verified(pairs, name):
         return materialise(
             spark,
-            pairs.select("a", "b").join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-            .mapInArrow(_verify(size, num, den), "a long, b long"), name)
+            pairs.select("a", "b").join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
+            .mapInArrow(_verify(num, den), "a long, b long"), name)
 
     close = _close(num, den)
 
@@ -286,8 +275,9 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
         """Rows of the buckets that still hold several components."""
         placed = materialise(spark, buckets.join(roots.withColumnRenamed("node", "h"), "h", "left").select(
             "key", "h", F.coalesce("root", "h").alias("root")), "ngram-placed")
-        split = materialise(spark, placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                            .where("lo != hi").select("key"), "ngram-split")
+        split = materialise(spark, placed.groupBy("key").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+            .where("lo != hi").select("key", "size"), "ngram-split")
         return materialise(spark, placed.join(split, "key"), "ngram-apart")
 
     def grown(roots, more):
@@ -309,26 +299,64 @@ def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
         roots = grown(roots, more)
         apart = split_buckets(roots)
 
-    # whatever is left: the pairs of a bucket across components, if their sketches allow
-    left = apart.select("key", F.col("h").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
-    right = apart.select("key", F.col("h").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
+    # whatever is left: the pairs of a bucket across components, if their sketches allow.  Similar sets
+    # share at least one key more than may be left out, so besides the rarest they share a second one:
+    # large buckets meet under both
+    small = apart.where(F.col("size") <= LARGE_BUCKET).select("key", "h", "root")
+    large = apart.where(F.col("size") > LARGE_BUCKET)
+    if large.take(1):
+        large = materialise(spark, large.select("key", "h", "root"), "ngram-large")
+        order = counts.select("key", "cnt")
+        first = large.join(order, "key").withColumn("band", F.col("key").bitwiseAND(BAND_MASK))
+        more = materialise(
+            spark, shared.join(large.select("h").distinct(), "h").join(order, "key").select(
+                "h", F.col("key").alias("key2"), F.col("cnt").alias("cnt2"), F.col("key").bitwiseAND(BAND_MASK).alias("band")),
+            "ngram-second")
+        both = first.join(more, ["h", "band"]).where("cnt2 > cnt or cnt2 = cnt and key2 < key")
+        small = small.union(both.select(F.xxhash64("key", "key2").alias("key"), "h", "root"))
+        small = materialise(spark, small, "ngram-parts")
+    left = small.select("key", F.col("h").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
+    right = small.select("key", F.col("h").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("ra") < F.col("rb")) & close)
     more = verified(cross.select("a", "b").distinct(), "ngram-cross")
     merged = grown(roots, more) if more.take(1) else roots
 
     named = merged.join(reps, merged["node"] == reps["h"]).select("node", "root", "rep")
     lowest = materialise(spark, named.groupBy("root").agg(F.min("rep").alias("cid")), "ngram-lowest")
-    cids = named.join(lowest, "root").select(F.col("node").alias("h"), "cid")
-    best = materialise(spark, reps.join(cids, "h", "left").select("h", F.coalesce("cid", "rep").alias("cid")),
-                       "ngram-best")
+    cids = named.join(lowest, "root").select(F.col("node").alias("h"), "cid", "root")
+    best = materialise(spark, reps.join(cids, "h", "left").select(
+        "h", F.coalesce("root", "h").alias("root"), F.coalesce("cid", "rep").alias("cid")), "ngram-best")
     return ids.join(best, "h", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("cid", "doc_id")).alias("component_id"))
+        "doc_id", "t", "n", *[F.when(F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in ("root", "cid")])
 
 
-def near_duplicates_removed(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one row of each component: the one with its smallest
-    doc_id.  Rows with null doc_id stay."""
-    found = ngram_components(spark, docs, **how)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5,
+                     num: int = 4, den: int = 5) -> DataFrame:
+    """``doc_id, n_shingles, component_id``, one row per row of ``docs``.
+
+    Documents link when the Jaccard similarity of their ``size``-word shingle
+    sets is at least ``num/den``; ``component_id`` is the smallest doc_id
+    reachable.  Words are split at ASCII white space, A-Z lower-cased.  Null
+    and blank texts have no shingles and stand alone.  A row with null doc_id
+    links with nothing and has a null component.  Repeated rows are copies.
+    Other columns of ``docs`` are ignored.  Sets are compared by 64-bit
+    hashes of their shingles.
+    """
+    return _placed(spark, docs, size, num, den).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("cid", "doc_id").alias("component_id"))
+
+
+def near_duplicates_removed(spark: SparkSession, docs: DataFrame, size: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """``docs``, all its columns unchanged, with one row of each component: one
+    with its smallest doc_id (where that repeats with several texts, one of
+    them; of repeated rows, one).  Rows with null doc_id and rows without
+    words stay.  An empty table gives none."""
+    rows = materialise(spark, _placed(spark, docs, size, num, den).where("root is not null").groupBy(
+        "root", "doc_id", "t").agg(F.count("*").alias("times")), "ngram-members")
+    kept = materialise(spark, rows.groupBy("root").agg(
+        F.min(F.struct("doc_id", "t")).alias("keep"), F.sum("times").alias("size")).where("size > 1").drop("size"), "ngram-kept")
+    placed = materialise(spark, rows.join(kept, "root").select(
+        F.col("doc_id").cast("string").alias("ki"), F.col("t").alias("kt"), "times",
+        (F.struct("doc_id", "t") == F.col("keep")).alias("stays")), "ngram-members")
+    return rows_without(docs, placed.where("not stays").select("ki", "kt"),
+                        placed.where("stays and times > 1").select("ki", "kt"))
