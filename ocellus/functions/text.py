@@ -132,3 +132,20 @@ def href_links(html: ColumnOrName) -> Column:
 def link_manifest(html: ColumnOrName) -> Column:
     """One link per line, page order (the browser script's text file)."""
     return F.concat_ws("\n", href_links(html))
+
+
+# Fixed values of the result page: the class of the hidden JSON objects and their link field
+LINK_CLASS, LINK_FIELD = "rg_meta", "ou"
+
+
+def embedded_json(html: ColumnOrName, css_class: str = LINK_CLASS) -> Column:
+    """The JSON texts of a page's elements of class ``css_class``, in page
+    order (an element's text ends at the next tag)."""
+    return F.regexp_extract_all(_c(html), F.lit(rf'<div class="(?:[^"]* )?{css_class}(?: [^"]*)?">([^<]*)</div>'), 1)
+
+
+def json_links(html: ColumnOrName, field: str = LINK_FIELD, css_class: str = LINK_CLASS) -> Column:
+    """``field`` of each embedded JSON object, in page order; null where the
+    text is no JSON object or has no such field."""
+    return F.transform(embedded_json(html, css_class), lambda x: F.try_variant_get(
+        F.try_parse_json(x), f"$.{field}", "string"))

@@ -71,6 +71,37 @@ def binary_auc(df: DataFrame, label_col: str, score_col: str) -> float:
     return ev.evaluate(df)
 
 
+def roc_points(df: DataFrame, label_col: str, score_col: str, num_partitions: int | None = None) -> DataFrame:
+    """``threshold, n, tp, fp, tpr, fpr``, one row per distinct score: the
+    shares of positive (label 1) and negative rows whose score is at least the
+    threshold.  Rows without label or score, or with a NaN score, are left out.
+
+    Rows of equal score are counted together before the only shuffle; the
+    distinct scores are range-partitioned, summed up inside each range, and the
+    totals of the higher ranges (one row each) are added.  A rate without rows
+    of its kind is null."""
+    from ocellus.operators.sampling import default_buckets
+    from ocellus.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    score, label = F.col(score_col).cast("double"), F.col(label_col)
+    ties = df.where(label.isNotNull() & score.isNotNull() & ~F.isnan(score)).groupBy((score + 0.0).alias("threshold")).agg(
+        F.count_if(label == 1).alias("pos"), F.count_if(label != 1).alias("neg"))
+    n = num_partitions or default_buckets(spark)
+    ranged = ties.repartitionByRange(n, F.desc("threshold")).withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+    sums = ranged.groupBy("_range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()  # over one row per range
+    offsets = sums.select("_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in "pq"],
+                          *[F.sum(c).over(every).alias(f"{c}_all") for c in "pq"])
+    upto = Window.partitionBy("_range").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.join(F.broadcast(offsets), "_range").withColumns({
+        "tp": F.col("p_before") + F.sum("pos").over(upto), "fp": F.col("q_before") + F.sum("neg").over(upto)})
+    return out.select("threshold", (F.col("pos") + F.col("neg")).alias("n"), "tp", "fp",
+                      F.try_divide("tp", "p_all").alias("tpr"), F.try_divide("fp", "q_all").alias("fpr"))
+
+
 def class_centroids(df: DataFrame, features_col: str, label_col: str) -> DataFrame:
     """Mean feature vector per class, one JVM aggregate (no explode)."""
     vec = array_to_vector(A.as_doubles(features_col))

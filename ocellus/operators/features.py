@@ -28,31 +28,38 @@ def _c(col: ColumnOrName) -> Column:
 
 
 # ----------------------------------------------------------- pooled features
-def pool_one(data, h: int, w: int, c: int, grid: int) -> np.ndarray:
-    """[mean of each grid cell per channel (cell-major, channel-minor),
-    mean per channel, population std per channel].  Cell (a, b) holds the
-    pixels with floor(y*g/h) = a and floor(x*g/w) = b; an empty cell is 0."""
-    px = np.asarray(data, dtype=np.float64).reshape(h, w, c)
-    ry = (np.arange(h) * grid) // h
-    rx = (np.arange(w) * grid) // w
-    cells = []
-    for a in range(grid):
-        for b in range(grid):
-            block = px[ry == a][:, rx == b]
-            cells.append(block.reshape(-1, c).mean(axis=0) if block.size else np.zeros(c))
-    flat = px.reshape(-1, c)
-    return np.concatenate([np.concatenate(cells), flat.mean(axis=0), flat.std(axis=0)])
+def pool_batch(px: np.ndarray, grid: int) -> np.ndarray:
+    """Per image of ``n x h x w x c``: [mean of each grid cell per channel
+    (cell-major, channel-minor), mean per channel, population std per
+    channel].  Cell (a, b) holds the pixels with floor(y*g/h) = a and
+    floor(x*g/w) = b; an empty cell is 0.  Cell sums are differences in the
+    batch's summed-area table, whatever the grid."""
+    n, h, w, c = px.shape
+    table = np.zeros((n, h + 1, w + 1, c))
+    table[:, 1:, 1:] = px.cumsum(axis=1, dtype=float).cumsum(axis=2)
+    y, x = (-(-np.arange(grid + 1) * size // grid) for size in (h, w))  # first row and column of each cell
+    cut = table[:, y][:, :, x]
+    sums = cut[:, 1:, 1:] - cut[:, :-1, 1:] - cut[:, 1:, :-1] + cut[:, :-1, :-1]
+    counts = np.diff(y)[:, None] * np.diff(x)[None]
+    cells = sums / np.maximum(counts, 1)[None, :, :, None]
+    flat = px.reshape(n, h * w, c).astype(float)
+    return np.hstack([cells.reshape(n, -1), flat.mean(axis=1), flat.std(axis=1)])
 
 
 def pooled_features(data: ColumnOrName, height: ColumnOrName, width: ColumnOrName,
                     channels: ColumnOrName, grid: int = 2) -> Column:
     """Frozen, order-independent featurizer (grid mean-pool + channel
-    mean/std), O(pixels) per image in numpy per Arrow batch."""
+    mean/std), O(pixels) per image; images of equal shape together.  Null for
+    a null image."""
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _pool(d: pd.Series, h: pd.Series, w: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([None if v is None else pool_one(v, int(hh), int(ww), int(cc), grid)
-                          for v, hh, ww, cc in zip(d, h, w, c)])
+        frame = pd.DataFrame({"d": d, "h": h, "w": w, "c": c})
+        out = pd.Series([None] * len(frame), index=frame.index, dtype="object")
+        for (hh, ww, cc), same in frame.dropna().groupby(["h", "w", "c"]):
+            px = np.stack(same["d"].to_numpy()).reshape(len(same), int(hh), int(ww), int(cc))
+            out.loc[same.index] = pd.Series(list(pool_batch(px, grid)), index=same.index)
+        return out
 
     return _pool(_c(data), _c(height), _c(width), _c(channels))
 

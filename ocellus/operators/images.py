@@ -14,10 +14,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ocellus.operators import resample as R
+
 ColumnOrName = Column | str
 
 # Fixed values that must equal the reference's: model input size and the
@@ -59,45 +63,24 @@ def image_from_vector(df: DataFrame, key: str, vec_col: str, width: int, channel
                      F.concat(px, F.array_repeat(F.lit(0), height * width * channels - F.size(v))).alias("data"))
 
 
-def resize_indices(src: int, dst: int) -> np.ndarray:
-    """Nearest source index per target index: floor((i + 0.5) * src / dst)."""
-    return ((2 * np.arange(dst) + 1) * src) // (2 * dst)
-
-
-#: Pixels that one resized batch may hold (32 MB as int32).
-RESIZE_BATCH_VALUES = 8_000_000
-
-
-def _resize_batches(it: Iterator[pd.DataFrame], out_h: int, out_w: int, data_col: str,
-                    out_col: str) -> Iterator[pd.DataFrame]:
-    for pdf in it:
-        deepest = int(pdf["n_channels"].max()) if pdf["n_channels"].notna().any() else 1
-        step = max(1, RESIZE_BATCH_VALUES // (out_h * out_w * max(1, deepest)))
-        for start in range(0, len(pdf), step):
-            part = pdf.iloc[start:start + step]
-            out = pd.Series([None] * len(part), index=part.index, dtype="object")
-            known = part[part[[data_col, "height", "width", "n_channels"]].notna().all(axis=1)]
-            for (h, w, c), same in known.groupby(["height", "width", "n_channels"]):
-                h, w, c = int(h), int(w), int(c)
-                px = np.stack(same[data_col].to_numpy()).astype(np.int32).reshape(len(same), h, w, c)
-                if px.size:
-                    px = px[:, resize_indices(h, out_h)][:, :, resize_indices(w, out_w)]
-                out.loc[same.index] = pd.Series(list(px.reshape(len(same), -1)), index=same.index)
-            yield part.drop(columns=[data_col]).assign(**{out_col: out})
+def resize_to_bytes(images: DataFrame, out_h: int, out_w: int, data_col: str = "data",
+                    out_col: str = "resized", kind: str = "nearest") -> DataFrame:
+    """Exact resize to out_h x out_w (aspect ratio not kept); the pixels of
+    ``data_col`` (array of ints, or binary) are replaced by ``out_col``, one
+    byte per value, null where the image is null or its data do not fill its
+    shape, and empty where it has no pixel.  ``kind``: nearest neighbour, or
+    the smoothing filters ``area``, ``linear`` and ``lanczos``.  Images of
+    equal shape are resized together, and a batch goes out before it holds
+    ``resample.BATCH_VALUES`` values."""
+    keep = [f for f in images.schema.fields if f.name != data_col]
+    schema = T.StructType([*keep, T.StructField(out_col, T.BinaryType())])
+    return images.mapInArrow(lambda it: R.resized_batches(it, out_h, out_w, data_col, out_col, kind), schema)
 
 
 def resize_images(images: DataFrame, out_h: int, out_w: int, data_col: str = "data",
-                  out_col: str = "resized") -> DataFrame:
-    """Exact resize to out_h x out_w (aspect ratio not kept), nearest
-    neighbour, the same filter for every input path; the pixels of
-    ``data_col`` are replaced by ``out_col``, null where the image is null and
-    empty where it has no pixel.  Images of equal shape are gathered together,
-    and a batch goes out before it holds RESIZE_BATCH_VALUES pixels, however
-    many small images come in.  (Spark evaluates lambdas without codegen, too
-    slow for 50k-pixel arrays.)"""
-    keep = [f for f in images.schema.fields if f.name != data_col]
-    schema = T.StructType([*keep, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    return images.mapInPandas(lambda it: _resize_batches(it, out_h, out_w, data_col, out_col), schema)
+                  out_col: str = "resized", kind: str = "nearest") -> DataFrame:
+    """``resize_to_bytes`` with the pixels as array<int>."""
+    return resize_to_bytes(images, out_h, out_w, data_col, out_col, kind).withColumn(out_col, bytes_to_ints(out_col))
 
 
 def bgr_to_rgb(data: ColumnOrName, channels: ColumnOrName) -> Column:
@@ -137,36 +120,43 @@ def decode_image_struct(images: DataFrame, image_col: str = "image") -> DataFram
 THUMB_SCHEMA = "path string, name string, width int, height int, n_channels int, bytes binary"
 
 
-def _thumbs(it: Iterator[pd.DataFrame], box_w: int, box_h: int, prefix: str) -> Iterator[pd.DataFrame]:
-    for pdf in it:
-        rows = []
-        for rec in pdf.itertuples(index=False):
-            h, w, c = int(rec.height), int(rec.width), int(rec.n_channels)
-            if h <= 0 or w <= 0 or rec.data is None:
+def _fit(w: int, h: int, box_w: int, box_h: int) -> tuple[int, int]:
+    """``thumbnail_size`` of one shape."""
+    if w > box_w:
+        w, h = box_w, max(h * box_w // w, 1)
+    if h > box_h:
+        w, h = max(w * box_h // h, 1), box_h
+    return w, h
+
+
+def _thumbs(batches: Iterator[pa.RecordBatch], box_w: int, box_h: int, prefix: str, kind: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, px in R.same_shapes(batch, "data", R.BATCH_VALUES):
+            if px is None or not px[0].size:
                 continue  # undecodable file: skipped, as the reference does
-            tw, th = w, h
-            if tw > box_w:
-                th, tw = max(th * box_w // tw, 1), box_w
-            if th > box_h:
-                tw, th = max(tw * box_h // th, 1), box_h
-            px = np.frombuffer(rec.data, dtype=np.uint8).reshape(h, w, c)
-            out = px[resize_indices(h, th)][:, resize_indices(w, tw)]
-            name = rec.path.rsplit("/", 1)[-1]
-            rows.append((rec.path, prefix + name, tw, th, c, out.tobytes()))
-        yield pd.DataFrame(rows, columns=["path", "name", "width", "height", "n_channels", "bytes"])
+            n, h, w, c = px.shape
+            tw, th = _fit(w, h, box_w, box_h)
+            path = part.column("path")
+            name = pc.replace_substring_regex(path, "^.*/", "")
+            yield pa.RecordBatch.from_arrays(
+                [path, pc.binary_join_element_wise(prefix, name, ""), *[pa.array([v] * n, pa.int32()) for v in (tw, th, c)],
+                 R.as_binary(px if (tw, th) == (w, h) else R.resize(px, th, tw, kind))],
+                names=["path", "name", "width", "height", "n_channels", "bytes"])
 
 
 def thumbnail_job(images: DataFrame, image_col: str = "image", box: tuple[int, int] = THUMB_BOX,
-                  allowed: tuple[str, ...] = ("jpg", "jpeg", "png"), prefix: str = "thumbnail") -> DataFrame:
+                  allowed: tuple[str, ...] = ("jpg", "jpeg", "png"), prefix: str = "thumbnail",
+                  kind: str = "nearest") -> DataFrame:
     """Image-source rows -> thumbnails (name = prefix + file name): only
-    allowed extensions, undecodable files skipped, aspect kept, nearest
-    sampling.  Runs per partition in numpy; write the result to parquet."""
+    allowed extensions, undecodable files skipped, aspect kept, any filter of
+    ``resize_to_bytes``; images of equal shape together.  Write the result to
+    parquet, or as files with ``ocellus.sources.image_files``."""
     i = F.col(image_col)
     ext = F.lower(F.substring_index(F.substring_index(i["origin"], "/", -1), ".", -1))
     src = images.where(ext.isin(list(allowed))).select(
         i["origin"].alias("path"), i["height"].alias("height"), i["width"].alias("width"),
         i["nChannels"].alias("n_channels"), i["data"].alias("data"))
-    return src.mapInPandas(lambda it: _thumbs(it, box[0], box[1], prefix), THUMB_SCHEMA)
+    return src.mapInArrow(lambda it: _thumbs(it, box[0], box[1], prefix, kind), THUMB_SCHEMA)
 
 
 def write_thumbnails(thumbs: DataFrame, path: str) -> None:

@@ -326,29 +326,36 @@ FROM embeddings
 """
 
 # ------------------------------------------------------------------ training
-# held-out rows; a trained model must beat the most frequent label
-_PLANTED = f"""
+# held-out rows; the planted classes lie apart, so a trained model tells every row
+def _planted(pct: int) -> str:
+    return f"""
   SELECT * FROM (
-    SELECT vec_id, CAST(list_sum(list_transform(embedding[1:8], lambda x: CAST(x AS DOUBLE))) > 0 AS INTEGER) AS label
+    SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) > 0 AS INTEGER) AS label
     FROM embeddings)
-  WHERE {_bucket("concat_ws(':', CAST(label AS VARCHAR), CAST(vec_id AS VARCHAR))")} >= 30"""
+  WHERE {_bucket("concat_ws(':', CAST(label AS VARCHAR), CAST(vec_id AS VARCHAR))")} >= {pct}"""
 
-ORACLES["lr_transfer"] = f"SELECT vec_id, label, TRUE AS above_majority FROM ({_PLANTED})"
-ORACLES["mlp_head"] = ORACLES["lr_transfer"]
-ORACLES["model_roundtrip"] = f"SELECT vec_id, TRUE AS same FROM ({_PLANTED})"
+
+ORACLES["lr_transfer"] = f"SELECT vec_id, label, label AS prediction, TRUE AS confident FROM ({_planted(30)})"
+ORACLES["mlp_head"] = f"SELECT vec_id, label, label AS prediction, TRUE AS confident FROM ({_planted(60)})"
+ORACLES["model_roundtrip"] = f"SELECT vec_id, TRUE AS same FROM ({_planted(30)})"
 
 ORACLES["batch_score"] = f"""
-SELECT vec_id, label, TRUE AS class_is_argmax, TRUE AS prob_in_range, 1.0::DOUBLE AS prob_sum FROM ({_PLANTED})
+SELECT vec_id, label, TRUE AS class_is_argmax, TRUE AS prob_in_range, 1.0::DOUBLE AS prob_sum FROM ({_planted(30)})
 """
 
 ORACLES["trainer_report"] = f"""
-SELECT trainer, n_test, TRUE AS above_majority
-FROM (SELECT unnest(['lr', 'mlp']) AS trainer, n_test FROM (SELECT count(*) AS n_test FROM ({_PLANTED})))
+SELECT trainer, n_test, CASE WHEN trainer <> 'gbt' THEN 1.0::DOUBLE END AS accuracy, TRUE AS above_90, TRUE AS timed
+FROM (SELECT unnest(['lr', 'gbt', 'mlp']) AS trainer, n_test FROM (SELECT count(*) AS n_test FROM ({_planted(60)})))
+"""
+
+ORACLES["mlp_rounds"] = f"""
+SELECT CAST(r AS INTEGER) AS round, n_validation, r > 1 AS below_first
+FROM (SELECT unnest(range(1, 7)) AS r, n_validation FROM (SELECT count(*) AS n_validation FROM ({_planted(60)})))
 """
 
 ORACLES["gbt_quality"] = f"""
-SELECT d.doc_id, l.quality AS label, TRUE AS above_majority FROM documents d JOIN labels l USING (doc_id)
-WHERE {_bucket('CAST(d.doc_id AS VARCHAR)')} >= 60
+SELECT l.quality AS label, count(*) AS n, TRUE AS found_90 FROM documents d JOIN labels l USING (doc_id)
+WHERE {_bucket('CAST(d.doc_id AS VARCHAR)')} >= 60 GROUP BY 1
 """
 
 # mean rank of the positives, ties at their middle rank
@@ -361,12 +368,19 @@ FROM (SELECT count(*) AS n, CAST(sum(label) AS DOUBLE) AS n1, sum(CASE WHEN labe
 """
 
 ORACLES["image_program"] = f"""
-SELECT image_id, CAST(list_avg(data) > 127.0 AS INTEGER) AS label, TRUE AS above_majority FROM ({_image(8)})
+SELECT image_id, label, label AS prediction, TRUE AS confident
+FROM (SELECT image_id, CAST(list_avg(data) > 127.0 AS INTEGER) AS label FROM ({_image(8)}))
 WHERE {_bucket('CAST(image_id AS VARCHAR)')} >= 60
 """
 
+ORACLES["saved_image_pipeline"] = f"""
+SELECT image_id, CASE WHEN list_avg(data) > 127.0 THEN 'BRIGHT' ELSE 'DARK' END AS prediction_label, TRUE AS same_label,
+       TRUE AS same_prob
+FROM ({_image(8)}) WHERE {_bucket('CAST(image_id AS VARCHAR)')} >= 60
+"""
+
 ORACLES["tabular_program"] = f"""
-SELECT line, label, TRUE AS above_majority FROM (
+SELECT line, label, label AS prediction, TRUE AS confident FROM (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS line,
          CASE WHEN l_quantity > 25 THEN 0 ELSE 1 END AS label FROM lineitem)
 WHERE {_bucket('line')} >= 60
@@ -391,7 +405,8 @@ ORACLES["score_requests"] = f"""
 SELECT event_id AS request_id, CASE WHEN event_type = 'view' THEN 'GET' ELSE 'POST' END AS method,
        CASE WHEN event_type <> 'view' THEN {_LABEL} END AS prediction_label,
        CASE WHEN event_type <> 'view' THEN {_PROB} END AS prediction_prob,
-       event_type <> 'view' AS has_response
+       CASE WHEN event_type <> 'view' THEN '{{"prediction_label":"' || {_LABEL} || '","prediction_prob":'
+         || CAST({_PROB} AS VARCHAR) || '}}' END AS response
 FROM events
 """
 
@@ -411,3 +426,89 @@ SELECT l_returnflag AS "Label", count(*) AS n,
        CAST(sum(CAST(round(l_tax * 100) AS BIGINT)) AS BIGINT) AS sum_f4_cents
 FROM lineitem GROUP BY l_returnflag
 """
+
+# ---------------------------------------------------------------- jobs
+ORACLES["image_files_roundtrip"] = f"""
+SELECT image_id, CAST(image_id % 2 AS INTEGER) AS label, CAST(h AS INTEGER) AS height, 5 AS width, 3 AS n_channels,
+       array_to_string(data, ',') AS pixels
+FROM ({_image(15)}) WHERE image_id % 25 <> 0
+"""
+
+# a cell covers 8/3 pixels a side: overlaps in thirds of a pixel, 8 of them per side
+ORACLES["image_area_resize"] = f"""
+WITH px AS (SELECT image_id, h, (i // 8) AS y, (i % 8) AS x, data[i + 1] AS v
+            FROM (SELECT image_id, h, data, unnest(range(len(data))) AS i FROM ({_image(8)}))),
+cells AS (SELECT image_id, a, b, h, sum(v * greatest(least((a + 1) * h, (y + 1) * 3) - greatest(a * h, y * 3), 0)
+                                  * greatest(least((b + 1) * 8, (x + 1) * 3) - greatest(b * 8, x * 3), 0)) AS s
+          FROM px, (SELECT unnest(range(3)) AS a), (SELECT unnest(range(3)) AS b) GROUP BY ALL)
+SELECT image_id, string_agg(CAST(((2 * s + 8 * h) // (16 * h)) AS INTEGER)::VARCHAR, ',' ORDER BY a, b) AS pixels
+FROM cells GROUP BY image_id
+"""
+
+ORACLES["featurize_grids"] = f"""
+WITH px AS (SELECT image_id, g, ((i // 8) * g) // h AS a, ((i % 8) * g) // 8 AS b, data[i + 1] AS v
+            FROM (SELECT image_id, h, data, unnest(range(len(data))) AS i FROM ({_image(8)})), (SELECT unnest([3, 4]) AS g)),
+f AS (SELECT image_id, g, a * g + b AS k, avg(v) AS x FROM px GROUP BY ALL
+      UNION ALL SELECT image_id, g, g * g, avg(v) FROM px GROUP BY ALL
+      UNION ALL SELECT image_id, g, g * g + 1, stddev_pop(v) FROM px GROUP BY ALL)
+SELECT image_id, CAST(g AS INTEGER) AS grid, CAST(k AS INTEGER) AS feature_index, round(x, 6) AS value FROM f
+"""
+
+ORACLES["json_link_manifest"] = """
+WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages)
+SELECT page_id, CAST(len(links) AS INTEGER) AS n_objects, CAST((len(links) // 3) AS INTEGER) AS n_without,
+       array_to_string(list_filter(links, lambda x, i: i % 3 <> 0), chr(10)) AS manifest FROM l
+"""
+
+ORACLES["fetch_pages"] = f"""
+WITH o AS (SELECT *, CASE WHEN url IS NULL OR NOT contains(url, '://') THEN 'error'
+                          WHEN coalesce(html, '') = '' THEN 'http_status'
+                          WHEN NOT regexp_matches(html, '</html>\\s*$') THEN 'error'
+                          WHEN {_EXT} IN ('html', 'htm') THEN 'saved' ELSE 'bad_extension' END AS outcome FROM pages)
+SELECT coalesce(url, '') AS url, coalesce({_NAME}, '') AS file_name,
+       CAST(CASE outcome WHEN 'error' THEN NULL WHEN 'http_status' THEN 404 ELSE 200 END AS INTEGER) AS http_status, outcome,
+       CASE WHEN outcome = 'saved' THEN CAST(octet_length(encode(html)) AS BIGINT) END AS n_bytes, outcome = 'error' AS failed
+FROM o
+"""
+
+ORACLES["csv_checked"] = """
+WITH l AS (SELECT l_returnflag AS "Label",
+                  CASE WHEN l_orderkey % 101 = 1 THEN 'fields' WHEN l_orderkey % 97 = 1 THEN 'type of l_quantity' ELSE 'good' END AS state,
+                  CAST(round(l_quantity * 100) + round(l_extendedprice * 100) + round(l_discount * 100) + round(l_tax * 100) AS BIGINT) AS c
+           FROM lineitem)
+SELECT "Label", state, count(*) AS n, CASE WHEN state = 'good' THEN CAST(sum(c) AS BIGINT) END AS cents,
+       'string,double,double,double,double' AS types
+FROM l GROUP BY 1, 2
+"""
+
+ORACLES["roc_points"] = """
+WITH s AS (SELECT l.quality AS label, CAST(length(d.text) AS DOUBLE) AS threshold FROM documents d JOIN labels l USING (doc_id)
+           WHERE d.text IS NOT NULL AND l.quality IS NOT NULL),
+g AS (SELECT threshold, count(*) AS n, count(*) FILTER (label = 1) AS p, count(*) FILTER (label <> 1) AS q FROM s GROUP BY 1),
+c AS (SELECT threshold, n, sum(p) OVER w AS tp, sum(q) OVER w AS fp, sum(p) OVER () AS np, sum(q) OVER () AS nq
+      FROM g WINDOW w AS (ORDER BY threshold DESC))
+SELECT threshold, n, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(tp / np, 6) AS tpr, round(fp / nq, 6) AS fpr FROM c
+"""
+
+ORACLES["file_drop_score"] = """
+SELECT 'doc' || doc_id || '.png' AS file_name, CAST(octet_length(encode(text)) AS BIGINT) AS length,
+       CASE WHEN octet_length(encode(text)) >= 1000 THEN 'HIGH' ELSE 'LOW' END AS prediction_label,
+       round(1.0 / (1.0 + exp(-octet_length(encode(text)) / 1000.0)), 6) AS prediction_prob
+FROM documents WHERE text IS NOT NULL AND source IS DISTINCT FROM 'src0'
+"""
+
+ORACLES["stream_routes"] = f"""
+WITH e AS (SELECT *, CASE WHEN event_type = 'view' THEN 'payload' WHEN event_id % 10 = 3 THEN 'value' END AS error FROM events)
+SELECT event_id, CASE WHEN error IS NULL THEN 'success' ELSE 'failure' END AS route,
+       CASE WHEN error IS NULL THEN {_LABEL} END AS prediction_label, CASE WHEN error IS NULL THEN {_PROB} END AS prediction_prob, error
+FROM e
+"""
+
+ORACLES["request_stream"] = f"""
+WITH p AS (SELECT event_id, {_PROB} AS p FROM events),
+c AS (SELECT event_id, CASE WHEN p >= 1.0 - p THEN 0 ELSE 1 END AS class_index, round(greatest(p, 1.0 - p), 8) * 100.0 AS prob FROM p)
+SELECT event_id, class_index, CASE class_index WHEN 0 THEN 'HIGH' ELSE 'LOW' END AS prediction_label,
+       '{{"prediction_label":"' || CASE class_index WHEN 0 THEN 'HIGH' ELSE 'LOW' END || '","prediction_prob":'
+         || CAST(prob AS VARCHAR) || '}}' AS reply
+FROM c
+"""

@@ -82,3 +82,43 @@ def read_feature_csv(spark: SparkSession, path: str, schema: T.StructType | str
     elif infer:
         r = r.option("inferSchema", True)
     return r.csv(path)
+
+
+#: Types that a CSV column may get, the narrowest first.
+CSV_TYPES = ("bigint", "double", "boolean", "timestamp")
+CORRUPT = "_corrupt_record"
+
+
+def infer_csv_types(texts: DataFrame, columns: list[str], share: float = 0.9) -> dict[str, str]:
+    """The narrowest of ``CSV_TYPES`` that at least ``share`` of a column's
+    values (nulls aside) can be read as; ``string`` if there is none.  One
+    aggregate over all rows; only the counts reach the driver."""
+    counts = texts.agg(*[F.count(c).alias(f"{i}") for i, c in enumerate(columns)],
+                       *[F.count(F.col(c).try_cast(t)).alias(f"{i} {t}") for i, c in enumerate(columns) for t in CSV_TYPES]).first()
+    out = {}
+    for i, c in enumerate(columns):
+        n = counts[f"{i}"]
+        out[c] = next((t for t in CSV_TYPES if n and counts[f"{i} {t}"] >= share * n), "string")
+    return out
+
+
+def read_checked_csv(spark: SparkSession, path: str, share: float = 0.9,
+                     types: dict[str, str] | None = None, escape: str = "\\") -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` rows of a header CSV (``escape``: before a quote inside quotes).  Column types are inferred over all
+    rows (or given).  A line with another number of fields, or with a value
+    that its column's type can't hold, goes to ``bad`` as ``line, reason``."""
+    reader = spark.read.option("header", True).option("escape", escape)
+    names = reader.csv(path).columns
+    schema = ", ".join(f"`{c}` string" for c in names) + f", `{CORRUPT}` string"
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path)
+    whole = rows.where(F.col(CORRUPT).isNull())
+    types = types or infer_csv_types(whole, names, share)
+    wrong = F.array_compact(F.array(*[F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c))
+                                      for c, t in types.items()]))
+    line = F.to_csv(F.struct(*[F.col(c) for c in names]))
+    marked = rows.withColumn("_reason", F.when(F.col(CORRUPT).isNotNull(), "fields").when(
+        F.size(wrong) > 0, F.concat(F.lit("type of "), F.array_join(wrong, ", "))))
+    good = marked.where(F.col("_reason").isNull()).select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+    bad = marked.where(F.col("_reason").isNotNull()).select(
+        F.coalesce(F.col(CORRUPT), line).alias("line"), F.col("_reason").alias("reason"))
+    return good, bad

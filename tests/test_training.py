@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_CHECK
 from ocellus.functions import arrays as A
 from ocellus.operators import evaluation as E
+from ocellus.operators import training as TR
 from ocellus.plans import queries as Q
 
 
@@ -29,9 +30,12 @@ def test_mlp_beats_majority(spark):
     assert _acc(out) > _majority(out)
 
 
-def test_held_out_flag_is_false_for_a_constant_guess(spark):
-    rows = spark.createDataFrame([(i, int(i < 7), 1) for i in range(10)], "k int, label int, prediction int")
-    assert {r.above_majority for r in Q.held_out(rows, "k").collect()} == {False}
+def test_held_out_rows_show_a_constant_guess(spark):
+    """A model that predicts one class does not pass for a trained one."""
+    train, test = Q._planted_split(spark, SF_CHECK)
+    one = Q.held_out(TR.fit_lr_pipeline(train.withColumn("label", F.lit(1.0)).limit(20), regParam=1.0).transform(test), "vec_id")
+    rows = one.collect()
+    assert {r.prediction for r in rows} == {1} and any(r.label != r.prediction for r in rows)
 
 
 def test_batch_scores_are_probabilities(spark):
@@ -56,9 +60,11 @@ def test_auc_counts_ties_half(spark):
 
 
 def test_trainer_report_rows(spark):
-    rows = {r.trainer: r for r in Q.q_trainer_report(spark, SF_CHECK).collect()}
-    assert set(rows) == {"lr", "mlp"}
-    assert all(r.above_majority and r.n_test > 0 for r in rows.values())
+    train, test = Q._planted_split(spark, SF_CHECK, Q.SPLIT_PCT)
+    rows = {r.trainer: r for r in TR.compare_trainers(Q._trainers(train), train, test).collect()}
+    assert set(rows) == {"lr", "gbt", "mlp"} and len({r.n_test for r in rows.values()}) == 1
+    assert all(r.seconds > 0 and r.accuracy > 0.9 and r.n_correct == round(r.accuracy * r.n_test) for r in rows.values())
+    assert TR.compare_trainers({}, train, test).count() == 0
 
 
 def test_probability_vector_has_one_value_a_class(spark):
