@@ -220,6 +220,34 @@ def _close(num: int, den: int):
 LARGE_BUCKET = 256
 
 
+#: A node's smallest keys, by which a pair knows where it met before.
+LEAD = 16
+
+
+def _under_two_keys(spark: SparkSession, met: DataFrame, large: DataFrame, shared: DataFrame, counts: DataFrame) -> DataFrame:
+    """``met(key, h, root)`` with the ``large`` buckets split by a second key
+    where that leaves far fewer pairs.
+
+    Similar sets share at least one key more than may be left out, so besides
+    the rarest one they share a second, more crowded one: the bucket's pairs
+    meet again under both."""
+    order = counts.select("key", "cnt")
+    keyed = large.select("key", "h", "root", "size").join(order, "key").withColumn("band", F.col("key").bitwiseAND(BAND_MASK))
+    second = shared.join(large.select("h").distinct(), "h").join(order, "key").select(
+        "h", F.col("key").alias("key2"), F.col("cnt").alias("cnt2"), F.col("key").bitwiseAND(BAND_MASK).alias("band"))
+    both = materialise(
+        spark, keyed.join(materialise(spark, second, "ngram-second"), ["h", "band"])
+        .where("cnt2 > cnt or cnt2 = cnt and key2 < key").select("key", "key2", "h", "root", "size"), "ngram-both")
+    pairs = both.groupBy("key", "key2").agg(F.count("*").cast("double").alias("m"), F.first("size").alias("size")).groupBy("key").agg(
+        F.sum(F.col("m") * F.col("m")).alias("pairs"), F.first("size").cast("double").alias("size"))
+    # a bucket whose members have no second key has no similar pair
+    kept = materialise(spark, large.select("key").distinct().join(pairs, "key", "left").select(
+        "key", F.coalesce(4 * F.col("pairs") < F.col("size") * F.col("size"), F.lit(True)).alias("split")), "ngram-choice")
+    split = kept.where("split").select("key")
+    return met.join(split, "key", "left_anti").union(
+        both.join(split, "key").select(F.xxhash64("key", "key2").alias("key"), "h", "root"))
+
+
 def _placed(spark: SparkSession, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """``doc_id, t, n, root, cid``, one row per row of ``docs``: ``t`` is the
     text's hash in ``row_key``, ``n`` the set's size, ``root`` names the
@@ -299,25 +327,19 @@ def _placed(spark: SparkSession, docs: DataFrame, size: int, num: int, den: int)
         roots = grown(roots, more)
         apart = split_buckets(roots)
 
-    # whatever is left: the pairs of a bucket across components, if their sketches allow.  Similar sets
-    # share at least one key more than may be left out, so besides the rarest they share a second one:
-    # large buckets meet under both
-    small = apart.where(F.col("size") <= LARGE_BUCKET).select("key", "h", "root")
+    # whatever is left: the pairs of a bucket across components, if their sketches allow
+    met = materialise(spark, apart.select("key", "h", "root"), "ngram-met")
     large = apart.where(F.col("size") > LARGE_BUCKET)
     if large.take(1):
-        large = materialise(spark, large.select("key", "h", "root"), "ngram-large")
-        order = counts.select("key", "cnt")
-        first = large.join(order, "key").withColumn("band", F.col("key").bitwiseAND(BAND_MASK))
-        more = materialise(
-            spark, shared.join(large.select("h").distinct(), "h").join(order, "key").select(
-                "h", F.col("key").alias("key2"), F.col("cnt").alias("cnt2"), F.col("key").bitwiseAND(BAND_MASK).alias("band")),
-            "ngram-second")
-        both = first.join(more, ["h", "band"]).where("cnt2 > cnt or cnt2 = cnt and key2 < key")
-        small = small.union(both.select(F.xxhash64("key", "key2").alias("key"), "h", "root"))
-        small = materialise(spark, small, "ngram-parts")
-    left = small.select("key", F.col("h").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
-    right = small.select("key", F.col("h").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
-    cross = left.join(right, (left["key"] == right["key"]) & (F.col("ra") < F.col("rb")) & close)
+        met = materialise(spark, _under_two_keys(spark, met, large, shared, counts), "ngram-met")
+    lead = materialise(spark, met.groupBy("h").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LEAD).alias("lead")),
+                       "ngram-lead")
+    rows = met.join(lead, "h")
+    left = rows.select("key", F.col("h").alias("a"), F.col("root").alias("ra"), F.col("lead").alias("la")).join(side("a"), "a")
+    right = rows.select("key", F.col("h").alias("b"), F.col("root").alias("rb"), F.col("lead").alias("lb")).join(side("b"), "b")
+    # a pair that meets under several keys counts where it meets first
+    first = F.coalesce(F.array_min(F.array_intersect("la", "lb")) >= left["key"], F.lit(True))
+    cross = left.join(right, (left["key"] == right["key"]) & (F.col("ra") < F.col("rb")) & close & first)
     more = verified(cross.select("a", "b").distinct(), "ngram-cross")
     merged = grown(roots, more) if more.take(1) else roots
 
