@@ -9,7 +9,7 @@ is rejected.
 
 Codes have 7 bits a character, so a model has at most 2^21 trigrams, 2^14
 bigrams and 2^7 characters per language: a fixed bound, however large the
-corpus.
+corpus.  Models go to the tasks in blocks of languages of bounded size.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ocellus.llm.common import fold_of, materialise
+from ocellus.llm.common import fold_of, materialise, row_key
 
 BITS = 7
 SIZE = 1 << (3 * BITS)
@@ -58,19 +58,39 @@ def trigrams(text: str) -> np.ndarray:
     return (codes[:-2] << 2 * BITS) | (codes[1:-1] << BITS) | codes[2:]
 
 
+#: Trigrams that a counting task holds before it adds equal ones up.
+HELD = 2_000_000
+
+
 def _count(batches):
-    sums: dict[tuple[str, int], np.ndarray] = {}
+    held: dict[tuple[str, int], list] = {}
+    size = 0
+
+    def added_up():
+        nonlocal size
+        size = 0
+        for key, parts in held.items():
+            code, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+            held[key] = [(code, np.bincount(at, np.concatenate([n for _, n in parts]), len(code)).astype(np.int64))]
+
+    def flushed():
+        added_up()
+        for (lang, fold), ((code, n),) in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(code), pa.string()), pa.array(np.full(len(code), fold, np.int32)),
+                 pa.array(code.astype(np.int64)), pa.array(n)], names=["lang", "fold", "code", "n"])
+        held.clear()
+
     for batch in batches:
         for text, lang, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "fold"))):
-            if (lang, fold) not in sums:
-                sums[lang, fold] = np.zeros(SIZE, np.int64)
             code, n = np.unique(trigrams(text), return_counts=True)
-            sums[lang, fold][code] += n
-    for (lang, fold), n in sums.items():
-        code = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(code), pa.string()), pa.array(np.full(len(code), fold, np.int32)),
-             pa.array(code.astype(np.int64)), pa.array(n[code])], names=["lang", "fold", "code", "n"])
+            held.setdefault((lang, fold), []).append((code, n))
+            size += len(code)
+            if size > HELD:
+                added_up()
+                if sum(len(c) for parts in held.values() for c, _ in parts) > HELD:  # very many languages
+                    yield from flushed()
+    yield from flushed()
 
 
 @dataclass
@@ -122,9 +142,27 @@ def kneser_ney(code: np.ndarray, n: np.ndarray) -> Model:
     return model
 
 
-def _models(counts: DataFrame, folds: Column | None) -> dict[str, Model]:
-    rows = counts if folds is None else counts.where(folds)
-    table = rows.groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()  # at most 2^21 per language
+#: Trigrams of the models that are sent to tasks at once (about 50 bytes each);
+#: more languages are scored in several passes.
+MOST_GRAMS = 2_000_000
+
+
+def _blocks(counts: DataFrame) -> list[list[str]]:
+    """Languages whose models go together (one language, up to 2^21 trigrams,
+    at least)."""
+    sizes = counts.groupBy("lang").agg(F.countDistinct("code").alias("n")).orderBy("lang").collect()
+    blocks, room = [], 0
+    for lang, n in sizes:
+        if not blocks or n > room:
+            blocks.append([])
+            room = MOST_GRAMS
+        blocks[-1].append(lang)
+        room -= n
+    return blocks or [[]]
+
+
+def _models(counts: DataFrame, langs: list[str]) -> dict[str, Model]:
+    table = counts.where(F.col("lang").isin(langs)).groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
     return {lang: kneser_ney(*(part.sort_values("code")[c].to_numpy(np.int64) for c in ("code", "n")))
             for lang, part in sorted(table.groupby("lang"))}
 
@@ -150,42 +188,59 @@ def _entropies(models, texts):
     return out, sizes
 
 
-def _bins(margin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    length = np.clip(np.log2(np.maximum(sizes, 1)).astype(int) - 1, 0, LENGTH_BINS - 1)
-    return length * MARGIN_BINS + np.clip((margin * 20).astype(int), 0, MARGIN_BINS - 1)
-
-
-def _predict(models: dict[str, Model], calibrated: np.ndarray | None, limits: dict[str, float], truth: bool):
+def _two_best(models: dict[str, Model]):
+    """The two languages of lowest cross-entropy (ties by name) and the number
+    of characters; none without letters."""
     langs = list(models)
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            best, low, bins, known = [], [], [], []
+            best, chars = [], []
             for a in range(0, len(texts), 2000):
                 bits, sizes = _entropies(models, texts[a:a + 2000])
-                ordered = np.sort(np.where(np.isnan(bits), np.inf, bits), axis=1)
-                margin = ordered[:, 1] - ordered[:, 0] if len(langs) > 1 else np.full(len(sizes), 9.0)
-                margin = np.where(sizes > 0, margin, 0.0)
-                at = np.argmin(np.where(np.isnan(bits), np.inf, bits), axis=1) if langs else np.zeros(len(sizes), int)
-                ok = (sizes > 0) & bool(langs)
-                best += [langs[i] if k else UNKNOWN for i, k in zip(at, ok)]
-                low += [float(x) if k else None for x, k in zip(ordered[:, 0] if langs else sizes, ok)]
-                bins += _bins(margin, sizes).tolist()
-                known += ok.tolist()
-            cols = [batch.column("doc_id"), pa.array(best, pa.string()), pa.array(low, pa.float64())]
-            if truth:
-                cols += [batch.column("lang"), pa.array(bins, pa.int32())]
-                names = ["doc_id", "lang_pred", "bits", "lang", "bin"]
-            else:
-                score = [float(calibrated[b]) if k else 0.0 for b, k in zip(bins, known)]
-                fine = [bool(k and x <= limits.get(p, np.inf)) for k, x, p in zip(known, low, best)]
-                cols += [pa.array(score, pa.float64()), pa.array(fine, pa.bool_())]
-                names = ["doc_id", "lang_pred", "bits", "score", "accepted"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                order = np.argsort(bits, axis=1, kind="stable")[:, :2] if langs else np.empty((len(sizes), 0), int)
+                for row, own, n in zip(bits, order, sizes):
+                    best.append([{"bits": float(row[j]), "lang": langs[j]} for j in own] if n else [])
+                chars += sizes.tolist()
+            kind = pa.list_(pa.struct([("bits", pa.float64()), ("lang", pa.string())]))
+            kept = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(chars, pa.int64()), pa.array(best, kind)],
+                                             names=[*kept, "chars", "best"])
     return run
 
 
+def _ranked(spark: SparkSession, rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` (``doc_id, text`` and more) without text, with ``chars`` and
+    ``best``, the two best of all languages of ``counts``."""
+    blocks = _blocks(counts)
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text"]
+    schema = ", ".join([*kept, "chars long", "best array<struct<bits:double,lang:string>>"])
+    if len(blocks) == 1:
+        return rows.mapInArrow(_two_best(_models(counts, blocks[0])), schema)
+    # rows of one id and text have one answer: each block's is kept once, and the blocks' meet by that key
+    keyed = rows.withColumns(dict(zip(("ki", "kt"), row_key())))
+    narrow = "ki string, kt long, chars long, best array<struct<bits:double,lang:string>>"
+    found = None
+    for n, langs in enumerate(blocks):
+        one = keyed.select("ki", "kt", "text").mapInArrow(_two_best(_models(counts, langs)), narrow).groupBy("ki", "kt").agg(
+            F.first("chars").alias("chars"), F.first("best").alias("best"))
+        one = materialise(spark, one, "language-block")
+        found = one if found is None else found.union(one)
+    met = materialise(spark, found.groupBy("ki", "kt").agg(F.first("chars").alias("chars"), F.slice(F.array_sort(
+        F.flatten(F.collect_list("best"))), 1, 2).alias("best")), "language-met")
+    return keyed.drop("text").join(met, ["ki", "kt"]).drop("ki", "kt")
+
+
+def _bin(languages: int) -> Column:
+    """The calibration bin: how far the second language is, and the length."""
+    margin = F.when(F.size("best") > 1, F.col("best")[1]["bits"] - F.col("best")[0]["bits"]).otherwise(
+        F.lit(9.0 if languages < 2 else 0.0))
+    length = F.least(F.greatest(F.floor(F.log2(F.greatest("chars", F.lit(1)).cast("double"))) - 1, F.lit(0)), F.lit(LENGTH_BINS - 1))
+    near = F.least(F.greatest(F.floor(margin * 20), F.lit(0)), F.lit(MARGIN_BINS - 1))
+    return (length * MARGIN_BINS + near).cast("int")
+
+
 def _calibrate(tally: dict[int, tuple[int, int]]) -> np.ndarray:
     """Share of right answers per bin, pooled within its length class so that
     it never falls as the margin grows."""
@@ -220,17 +275,25 @@ def identify(spark: SparkSession, docs: DataFrame, learn: Column, calibrate: Col
     counts = materialise(spark, taught.select("text", "lang", "fold").mapInArrow(
         _count, "lang string, fold int, code long, n long").groupBy("lang", "fold", "code")
         .agg(F.sum("n").alias("n")), "language-counts")
-    first = _models(counts, F.col("fold") == 0)
-    checked = materialise(spark, taught.where("fold = 1").select("doc_id", "text", "lang").mapInArrow(
-        _predict(first, None, {}, True), "doc_id long, lang_pred string, bits double, lang string, bin int"),
-        "language-checked").where("bits is not null")
+    first = counts.where("fold = 0")
+    checked = materialise(
+        spark, _ranked(spark, taught.where("fold = 1").select("doc_id", "text", "lang"), first).where("size(best) > 0").select(
+            "lang", F.col("best")[0]["lang"].alias("lang_pred"), F.col("best")[0]["bits"].alias("bits"),
+            _bin(sum(map(len, _blocks(first)))).alias("bin")), "language-checked")
     tally = {r["bin"]: (r["n"], r["right"]) for r in checked.groupBy("bin").agg(
         F.count("*").alias("n"), F.sum((F.col("lang") == F.col("lang_pred")).cast("long")).alias("right")).collect()}
-    limits = {r["lang"]: r["edge"] for r in checked.where("lang = lang_pred").groupBy("lang").agg(
-        F.percentile_approx("bits", reject, 10000).alias("edge")).collect()}
-    return rows.select("doc_id", "text").mapInArrow(
-        _predict(_models(counts, None), _calibrate(tally), limits, False),
-        "doc_id long, lang_pred string, bits double, score double, accepted boolean")
+    limits = materialise(spark, checked.where("lang = lang_pred").groupBy(F.col("lang").alias("lang_pred")).agg(
+        F.percentile_approx("bits", reject, 10000).alias("edge")), "language-limits")
+    table = F.array(*[F.lit(float(x)) for x in _calibrate(tally)])
+    found = _ranked(spark, rows.select("doc_id", "text"), counts)
+    some = F.size("best") > 0
+    answer = found.select(
+        "doc_id", F.when(some, F.col("best")[0]["lang"]).otherwise(F.lit(UNKNOWN)).alias("lang_pred"),
+        F.when(some, F.col("best")[0]["bits"]).alias("bits"),
+        F.when(some, F.element_at(table, _bin(sum(map(len, _blocks(counts)))) + 1)).otherwise(F.lit(0.0)).alias("score"))
+    return answer.join(limits, "lang_pred", "left").select(
+        "doc_id", "lang_pred", "bits", "score",
+        F.coalesce(F.col("bits") <= F.coalesce("edge", F.lit(float("inf"))), F.lit(False)).alias("accepted"))
 
 
 def held_out_identification(spark: SparkSession, docs: DataFrame) -> DataFrame:
