@@ -57,11 +57,11 @@ def argmax_label(df: DataFrame, prob_col: str, class_table: DataFrame | None = N
     return out
 
 
-def probability_map(df: DataFrame, prob_col: str, class_names: Sequence[str],
+def probability_map(df: DataFrame, prob_col: str, class_names: Sequence[str] | Column,
                     out_col: str = "probabilities") -> DataFrame:
-    """class name -> probability for every class (names are the model's
-    class list, held on the driver)."""
-    names = F.array(*[F.lit(n) for n in class_names])
+    """class name -> probability for every class.  Names are the model's class
+    list, or an array column of as many names as the row has probabilities."""
+    names = class_names if isinstance(class_names, Column) else F.array(*[F.lit(n) for n in class_names])
     return df.withColumn(out_col, F.map_from_arrays(names, F.col(prob_col)))
 
 

@@ -152,9 +152,8 @@ def q_argmax_label(spark, sf_dir):
 
 @register("probability_map")
 def q_probability_map(spark, sf_dir):
-    l = _logits(spark, sf_dir)
-    names = [f"class_{i}" for i in range(l.agg(F.max(F.size("logits"))).first()[0] or 0)]
-    p = SC.probability_map(SC.class_probabilities(l, "logits"), "probability", names)
+    names = F.transform("probability", lambda x, i: F.concat(F.lit("class_"), i.cast("string")))
+    p = SC.probability_map(SC.class_probabilities(_logits(spark, sf_dir), "logits"), "probability", names)
     return p.select("vec_id", F.explode_outer("probabilities").alias("class_name", "prob")).select(
         "vec_id", "class_name", r6(F.col("prob")).alias("prob"))
 
