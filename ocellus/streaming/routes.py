@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ocellus.streaming.scoring import listing_tasks
+
 SUCCESS, FAILURE = "success", "failure"
 
 
@@ -43,9 +45,10 @@ def run_routed(spark: SparkSession, source_dir: str, schema: T.StructType | str,
         reader = reader.option("cleanSource", "delete")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    query = (reader.load(source_dir).writeStream.foreachBatch(writer or batch_writer(sink_dir, transform))
-             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    query.awaitTermination()
+    with listing_tasks(spark):
+        query = (reader.load(source_dir).writeStream.foreachBatch(writer or batch_writer(sink_dir, transform))
+                 .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+        query.awaitTermination()
     kinds = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     return routed(spark, sink_dir, transform(spark.createDataFrame([], kinds)).schema)
 

@@ -12,6 +12,7 @@ process; a scorer is a function from DataFrame to DataFrame that adds
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,23 @@ def enrich_records(df: DataFrame, content_col: str, scorer: Scorer) -> DataFrame
             .withColumn("error", F.when(F.col("prediction_prob").isNull(), F.lit("not scored"))))
 
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def listing_tasks(spark: SparkSession):
+    """A batch's files are listed by a Spark job with a task per file (up to
+    10,000); few files a task are enough for as many tasks as the cluster
+    runs at once.  A setting of the submitter's stays."""
+    before = spark.conf.get(LISTING, None)
+    if before in (None, "10000"):
+        spark.conf.set(LISTING, str(max(32, 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.unset(LISTING) if before is None else spark.conf.set(LISTING, before)
+
+
 def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str, transform: Callable,
                sink_dir: str, checkpoint_dir: str, fmt: str = "parquet", options: dict | None = None,
                max_files_per_trigger: int | None = None, clean_source: str | None = None,
@@ -78,10 +96,11 @@ def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     out = transform(reader.load(source_dir))
-    q = (out.writeStream.format("parquet").option("path", sink_dir)
-         .option("checkpointLocation", checkpoint_dir).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    with listing_tasks(spark):
+        q = (out.writeStream.format("parquet").option("path", sink_dir)
+             .option("checkpointLocation", checkpoint_dir).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.parquet(sink_dir)
 
 
