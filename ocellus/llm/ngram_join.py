@@ -236,14 +236,13 @@ def _under_two_keys(spark: SparkSession, met: DataFrame, large: DataFrame, share
     second = shared.join(large.select("h").distinct(), "h").join(order, "key").select(
         "h", F.col("key").alias("key2"), F.col("cnt").alias("cnt2"), F.col("key").bitwiseAND(BAND_MASK).alias("band"))
     both = materialise(
-        spark, keyed.join(materialise(spark, second, "ngram-second"), ["h", "band"])
+        spark, keyed.join(second, ["h", "band"])
         .where("cnt2 > cnt or cnt2 = cnt and key2 < key").select("key", "key2", "h", "root", "size"), "ngram-both")
     pairs = both.groupBy("key", "key2").agg(F.count("*").cast("double").alias("m"), F.first("size").alias("size")).groupBy("key").agg(
         F.sum(F.col("m") * F.col("m")).alias("pairs"), F.first("size").cast("double").alias("size"))
     # a bucket whose members have no second key has no similar pair
-    kept = materialise(spark, large.select("key").distinct().join(pairs, "key", "left").select(
-        "key", F.coalesce(4 * F.col("pairs") < F.col("size") * F.col("size"), F.lit(True)).alias("split")), "ngram-choice")
-    split = kept.where("split").select("key")
+    split = materialise(spark, large.select("key").distinct().join(pairs, "key", "left").where(
+        F.coalesce(4 * F.col("pairs") < F.col("size") * F.col("size"), F.lit(True))).select("key"), "ngram-choice")
     return met.join(split, "key", "left_anti").union(
         both.join(split, "key").select(F.xxhash64("key", "key2").alias("key"), "h", "root"))
 
@@ -328,13 +327,11 @@ def _placed(spark: SparkSession, docs: DataFrame, size: int, num: int, den: int)
         apart = split_buckets(roots)
 
     # whatever is left: the pairs of a bucket across components, if their sketches allow
-    met = materialise(spark, apart.select("key", "h", "root"), "ngram-met")
-    large = apart.where(F.col("size") > LARGE_BUCKET)
-    if large.take(1):
+    met, large = apart.select("key", "h", "root"), apart.where(F.col("size") > LARGE_BUCKET)
+    if large.limit(1).count():
         met = materialise(spark, _under_two_keys(spark, met, large, shared, counts), "ngram-met")
-    lead = materialise(spark, met.groupBy("h").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LEAD).alias("lead")),
-                       "ngram-lead")
-    rows = met.join(lead, "h")
+    lead = met.groupBy("h").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LEAD).alias("lead"))
+    rows = materialise(spark, met.join(lead, "h"), "ngram-met")
     left = rows.select("key", F.col("h").alias("a"), F.col("root").alias("ra"), F.col("lead").alias("la")).join(side("a"), "a")
     right = rows.select("key", F.col("h").alias("b"), F.col("root").alias("rb"), F.col("lead").alias("lb")).join(side("b"), "b")
     # a pair that meets under several keys counts where it meets first
