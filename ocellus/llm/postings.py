@@ -84,9 +84,6 @@ def word_codes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return code ^ (code >> U(31)), begin
 
 
-_SEPARATOR = np.flatnonzero(_FOLD == 0).astype(np.uint8).tobytes()
-
-
 def _blocks(texts: list[bytes]):
     """``(index, bytes)`` in order: the texts, long ones cut between words."""
     for i, t in enumerate(texts):
