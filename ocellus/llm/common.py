@@ -3,6 +3,8 @@ and connected components over an edge table."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,25 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
+    if _SCOPES:
+        _SCOPES[-1].append(out)
     return out
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that ``materialise`` writes inside are deleted at the end, when
+    what was made from them has been written."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        discard(spark, *_SCOPES.pop())
+
+
 def discard(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables that ``materialise`` wrote, once nothing reads them."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -230,3 +230,15 @@ def test_vector_operators_take_any_columns(spark, search):
         return sorted(repr(tuple(round(v, 9) if isinstance(v, float) else v for v in r)) for r in search(spark, df).collect())
 
     assert rows_of(more) == rows_of(plain)
+
+
+def test_a_run_leaves_only_its_result(spark):
+    import os
+
+    from ocellus.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/ocellus"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.count() > 0
+    assert [n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before] == ["stage-packing"]
