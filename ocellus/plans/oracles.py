@@ -354,7 +354,7 @@ FROM (SELECT unnest(range(1, 7)) AS r, n_validation FROM (SELECT count(*) AS n_v
 """
 
 ORACLES["gbt_quality"] = f"""
-SELECT l.quality AS label, count(*) AS n, TRUE AS found_90 FROM documents d JOIN labels l USING (doc_id)
+SELECT l.quality AS label, count(*) AS n, TRUE AS above_chance FROM documents d JOIN labels l USING (doc_id)
 WHERE {_bucket('CAST(d.doc_id AS VARCHAR)')} >= 60 GROUP BY 1
 """
 
