@@ -107,6 +107,8 @@ def _factor(cells: DataFrame, budget: float) -> float:
     """The factor at which ``sum(t * min(1, factor * w / t))`` meets the
     budget's share of all tokens; found by three rounds of a grid."""
     low, high, total = cells.agg(F.min(F.col("t") / F.col("w")), F.max(F.col("t") / F.col("w")), F.sum("t")).first()
+    if low is None:
+        return 0.0
     if budget >= 1:
         return high
     low *= min(1.0, budget)
@@ -121,6 +123,17 @@ def _factor(cells: DataFrame, budget: float) -> float:
     return high
 
 
+def reachable(spark: SparkSession, cells: DataFrame, dim: str, power: float, budget: float) -> DataFrame:
+    """``value, share``: tempered shares, none above what the value has of the
+    budget's tokens: a value with few tokens is asked for all of them, and
+    does not hold back all others."""
+    total = cells.agg(F.sum("t")).first()[0] or 1
+    have = F.sum("t").cast("double")
+    rows = materialise(spark, cells.groupBy(F.col(f"_{dim}").alias("value")).agg(
+        (have / F.lit(min(1.0, budget) * total)).alias("t"), F.pow(have, F.lit(power)).alias("w")), f"mix-{dim}")
+    return rows.select("value", F.least(F.col("t"), F.lit(_factor(rows, budget)) * F.col("w")).alias("share"))
+
+
 def _bounded_step(cells: DataFrame, dim: str, budget: float) -> DataFrame:
     """``z`` of each value's cells times the factor at which the sum of
     ``min(t, z)`` is the value's goal; ``e_dim`` is its error before.  A cell
@@ -198,17 +211,21 @@ def _probabilities(spark: SparkSession, raked: DataFrame, targets: dict[str, Dat
 
 
 def mixing_cells(spark: SparkSession, docs: DataFrame, targets: dict[str, DataFrame] | None = None,
-                 budget: float = BUDGET, topic: Column | None = None, targets_first: bool = False) -> DataFrame:
+                 budget: float = BUDGET, topic: Column | None = None, targets_first: bool = False,
+                 within_reach: bool = False) -> DataFrame:
     """One row per cell: ``t`` tokens, raked ``weight`` per token (mean 1),
     the inclusion ``probability`` of its documents and the ``budget`` that the
     probabilities meet.  ``targets_first``: the expected tokens have the
     target shares, if need be of less than ``budget``; otherwise they meet
-    ``budget``, and clipped cells leave the targets."""
+    ``budget``, and clipped cells leave the targets.  ``within_reach``: of a
+    dimension without given targets, the shares of ``reachable``."""
     cells = materialise(spark, with_cells(docs, topic).groupBy("_source", "_lang", "_topic").agg(
         F.sum("_tokens").alias("t")), "mix-tokens")
     targets = dict(targets or {})
     for dim in DIMENSIONS:
-        targets.setdefault(dim, tempered(cells, dim, TEMPER[dim]))
+        if dim not in targets:
+            targets[dim] = (reachable(spark, cells, dim, TEMPER[dim], budget) if within_reach
+                            else tempered(cells, dim, TEMPER[dim]))
     raked = rake(spark, cells, targets)
     if not raked.take(1):
         return raked.select("_source", "_lang", "_topic", "t", F.lit(0.0).alias("weight"),

@@ -180,6 +180,31 @@ def test_budget_is_near_the_largest(spark):
     assert abs(tokens["=rare"] / sum(tokens.values()) - 0.3) < 0.002
 
 
+def test_a_rare_value_does_not_hold_back_the_others(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(["w"] * rng.choice([20, 200, 900])), rng.choice(["en", "en", "de", "fr"]),
+             "hot" if i % 3 == 0 else f"s{rng.randrange(6)}", 9) for i in range(900)]
+    rows += [(1000, "a | b | c", "en", "s1", 9)]  # the only table
+    df = spark.createDataFrame(rows, DOC)
+    cells = mixing.mixing_cells(spark, df, targets_first=True, within_reach=True).collect()
+    total = sum(c["t"] for c in cells)
+    sample = sum(c["t"] * c["probability"] for c in cells)
+    assert 0.7 * total < sample <= 0.8 * total
+    for dim, power in mixing.TEMPER.items():
+        have, got = Counter(), Counter()
+        for c in cells:
+            have[c[f"_{dim}"]] += c["t"]
+            got[c[f"_{dim}"]] += c["t"] * c["probability"]
+        low, high = 0.0, 1e9
+        for _ in range(100):  # the level at which the capped shares add up to 1
+            mid = (low + high) / 2
+            shares = {v: min(n / (0.8 * total), mid * n ** power) for v, n in have.items()}
+            low, high = (mid, high) if sum(shares.values()) < 1 else (low, mid)
+        assert all(abs(got[v] / sample - s) < 0.005 * s for v, s in shares.items())
+    plain = mixing.mixing_cells(spark, df, targets_first=True).collect()
+    assert sum(c["t"] * c["probability"] for c in plain) < 0.5 * total
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_empty_tables_and_any_columns(spark, docs, name, stage):
     sf = "/root/testdata/sf0.001"
