@@ -40,9 +40,11 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose expected tokens have the source, language and topic
-    shares; null values are values of their own, rows of one id go together."""
+    shares, of 80 % of the tokens or nearly; no value's share is more than it
+    has of these, so that a rare one does not hold back all others.  Null
+    values are values of their own, rows of one id go together."""
     prepare(spark)
-    return mixing.mixed_sample(spark, docs)
+    return mixing.mixed_sample(spark, docs, within_reach=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
