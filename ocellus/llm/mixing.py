@@ -123,15 +123,23 @@ def _factor(cells: DataFrame, budget: float) -> float:
     return high
 
 
-def reachable(spark: SparkSession, cells: DataFrame, dim: str, power: float, budget: float) -> DataFrame:
+def reachable(cells: DataFrame, dim: str, power: float, budget: float) -> DataFrame:
     """``value, share``: tempered shares, none above what the value has of the
     budget's tokens: a value with few tokens is asked for all of them, and
     does not hold back all others."""
     total = cells.agg(F.sum("t")).first()[0] or 1
-    have = F.sum("t").cast("double")
-    rows = materialise(spark, cells.groupBy(F.col(f"_{dim}").alias("value")).agg(
-        (have / F.lit(min(1.0, budget) * total)).alias("t"), F.pow(have, F.lit(power)).alias("w")), f"mix-{dim}")
-    return rows.select("value", F.least(F.col("t"), F.lit(_factor(rows, budget)) * F.col("w")).alias("share"))
+    have, every = F.sum("t").cast("double"), Window.partitionBy()
+    rows = cells.groupBy(F.col(f"_{dim}").alias("value")).agg(
+        (have / F.lit(min(1.0, budget) * total)).alias("cap"), F.pow(have, F.lit(power)).alias("w"))
+    # one row per value: few enough for one task.  A value is full if the sum of min(cap, f w) is still
+    # within 1 at the f that fills it
+    upto = Window.orderBy(F.col("cap") / F.col("w"))
+    rows = rows.withColumn("full", F.sum("cap").over(upto) + F.col("cap") / F.col("w") * (
+        F.sum("w").over(every) - F.sum("w").over(upto)) <= 1)
+    room = 1 - F.sum(F.when(F.col("full"), F.col("cap")).otherwise(0.0)).over(every)
+    free = F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("w"))).over(every)
+    return rows.select("value", F.when(F.col("full"), F.col("cap")).otherwise(
+        F.least(F.col("cap"), F.try_divide(room, free) * F.col("w"))).alias("share"))
 
 
 def _bounded_step(cells: DataFrame, dim: str, budget: float) -> DataFrame:
@@ -224,7 +232,7 @@ def mixing_cells(spark: SparkSession, docs: DataFrame, targets: dict[str, DataFr
     targets = dict(targets or {})
     for dim in DIMENSIONS:
         if dim not in targets:
-            targets[dim] = (reachable(spark, cells, dim, TEMPER[dim], budget) if within_reach
+            targets[dim] = (reachable(cells, dim, TEMPER[dim], budget) if within_reach
                             else tempered(cells, dim, TEMPER[dim]))
     raked = rake(spark, cells, targets)
     if not raked.take(1):
