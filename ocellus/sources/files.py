@@ -5,6 +5,7 @@ the driver."""
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,34 +85,26 @@ def read_feature_csv(spark: SparkSession, path: str, schema: T.StructType | str
     return r.csv(path)
 
 
-#: Types that a CSV column may get, the narrowest first, and how their texts
-#: begin: a cast that fails is slow, so only such texts are cast.
-CSV_TYPES = {"bigint": r"^\s*[+-]?\d+\s*$", "double": r"^\s*[+-]?(?:\.?\d|[Nn]a[Nn]|[Ii]nf)", "boolean": r"^\s*[TtFfYyNn10]",
+#: Types that a CSV column may get, the narrowest first, and what their texts
+#: look like: a cast that fails is slow, so only such texts are cast.
+CSV_TYPES = {"bigint": r"^\s*[+-]?\d+\s*$", "double": r"^\s*[+-]?(?:\.?\d|[Nn]a[Nn]|[Ii]nf)", "boolean": r"^\s*(?i:t|true|y|yes|1|f|false|n|no|0)[\x00-\x20\x7F-\x9F]*$",
              "timestamp": r"^\s*\d{4,6}-"}
 CORRUPT = "_corrupt_record"
 
 
 def infer_csv_types(texts: DataFrame, columns: list[str], share: float = 0.9) -> dict[str, str]:
     """The narrowest of ``CSV_TYPES`` that at least ``share`` of a column's
-    values (nulls aside) can be read as; ``string`` if there is none.  An
-    aggregate over all rows for the plain types, and one for timestamps over
-    the columns that are none of them; only counts reach the driver."""
-    out: dict[str, str] = {}
-
-    def count(some: list[str], types: tuple[str, ...]) -> None:
-        row = texts.agg(*[F.count(c).alias(f"{i}") for i, c in enumerate(some)], *[
-            F.count(F.when(F.col(c).rlike(CSV_TYPES[t]), F.col(c).try_cast(t))).alias(f"{i} {t}")
-            for i, c in enumerate(some) for t in types]).first()
-        for i, c in enumerate(some):
-            kind = next((t for t in types if row[f"{i}"] and row[f"{i} {t}"] >= share * row[f"{i}"]), None)
-            if kind:
-                out[c] = kind
-
-    for types in (("bigint", "double", "boolean"), ("timestamp",)):
-        rest = [c for c in columns if c not in out]
-        if rest:
-            count(rest, types)
-    return {c: out.get(c, "string") for c in columns}
+    values (nulls aside) can be read as; ``string`` if there is none.  One
+    aggregate over all rows, in which each value is a row of its column; only
+    counts reach the driver."""
+    if not columns:
+        return {}
+    values = texts.select(F.posexplode(F.array(*[F.col(c) for c in columns])).alias("column", "value"))
+    found = {row["column"]: row for row in values.where(F.col("value").isNotNull()).groupBy("column").agg(
+        F.count("value").alias("n"), *[F.count(F.when(F.col("value").rlike(shape), F.col("value").try_cast(t))).alias(t)
+                                       for t, shape in CSV_TYPES.items()]).collect()}
+    return {c: next((t for t in CSV_TYPES if i in found and found[i][t] >= share * found[i]["n"]), "string")
+            for i, c in enumerate(columns)}
 
 
 def read_checked_csv(spark: SparkSession, path: str, share: float = 0.9,
@@ -125,12 +118,11 @@ def read_checked_csv(spark: SparkSession, path: str, share: float = 0.9,
     rows = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path)
     whole = rows.where(F.col(CORRUPT).isNull())
     types = types or infer_csv_types(whole, names, share)
-    wrong = F.array_compact(F.array(*[F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c))
-                                      for c, t in types.items()]))
+    wrong = {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in types.items()}
+    typed = reduce(lambda a, b: a | b, wrong.values(), F.lit(False))
     line = F.to_csv(F.struct(*[F.col(c) for c in names]))
-    marked = rows.withColumn("_reason", F.when(F.col(CORRUPT).isNotNull(), "fields").when(
-        F.size(wrong) > 0, F.concat(F.lit("type of "), F.array_join(wrong, ", "))))
-    good = marked.where(F.col("_reason").isNull()).select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
-    bad = marked.where(F.col("_reason").isNotNull()).select(
-        F.coalesce(F.col(CORRUPT), line).alias("line"), F.col("_reason").alias("reason"))
+    reason = F.when(F.col(CORRUPT).isNotNull(), "fields").otherwise(F.concat(
+        F.lit("type of "), F.array_join(F.array_compact(F.array(*[F.when(w, F.lit(c)) for c, w in wrong.items()])), ", ")))
+    good = rows.where(F.col(CORRUPT).isNull() & ~typed).select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+    bad = rows.where(F.col(CORRUPT).isNotNull() | typed).select(F.coalesce(F.col(CORRUPT), line).alias("line"), reason.alias("reason"))
     return good, bad

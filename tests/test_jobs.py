@@ -183,6 +183,25 @@ def test_checked_csv(spark, tmpdir_new):
     assert loose.where("n = 'many'").count() == 1 and none.where("reason <> 'fields'").count() == 0
 
 
+def test_csv_types_are_cast_only_where_they_can_be(spark):
+    """A failed cast costs as much as some hundred good ones."""
+    words = ["t", "TRUE", " y", "Yes ", "1", "f", "False", "n", "NO", "0\t", "no\x01"]
+    others = ["0.05", "17.0", "100", "1e3", "0.0", "N", "none", "Fast", "years", "two", "", " ", "-1", "2024-01-01 10:00:00"]
+    df = spark.createDataFrame([(w,) for w in words + others], "v string")
+    tried = {r.v for r in df.where(F.col("v").rlike(FS.CSV_TYPES["boolean"])).collect()}
+    read = {r.v for r in df.where(F.col("v").try_cast("boolean").isNotNull()).collect()}
+    assert tried == read == {*words, "N"}
+
+
+def test_csv_types_of_all_columns(spark):
+    rows = [(str(i), f"0.{i}", "yn"[i % 2], f"2024-01-{10 + i}", "a" if i < 2 else str(i), None) for i in range(10)]
+    df = spark.createDataFrame(rows, "`a` string, b string, c string, d string, e string, f string")
+    assert FS.infer_csv_types(df, df.columns) == {"a": "bigint", "b": "double", "c": "boolean", "d": "timestamp", "e": "string",
+                                                  "f": "string"}
+    assert FS.infer_csv_types(df, ["e"], share=0.8) == {"e": "bigint"}
+    assert FS.infer_csv_types(df.limit(0), ["a"]) == {"a": "string"} and FS.infer_csv_types(df, []) == {}
+
+
 # ------------------------------------------------------------------------ ROC
 def test_roc_points(spark):
     rng = np.random.default_rng(2)
