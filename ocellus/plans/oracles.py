@@ -354,8 +354,9 @@ FROM (SELECT unnest(range(1, 7)) AS r, n_validation FROM (SELECT count(*) AS n_v
 """
 
 ORACLES["gbt_quality"] = f"""
-SELECT l.quality AS label, count(*) AS n, TRUE AS above_chance FROM documents d JOIN labels l USING (doc_id)
-WHERE {_bucket('CAST(d.doc_id AS VARCHAR)')} >= 60 GROUP BY 1
+SELECT d.doc_id, l.quality AS label, count(*) OVER (PARTITION BY l.quality) AS n, TRUE AS above_majority, TRUE AS above_chance
+FROM documents d JOIN labels l USING (doc_id)
+WHERE {_bucket('CAST(d.doc_id AS VARCHAR)')} >= 60
 """
 
 # mean rank of the positives, ties at their middle rank

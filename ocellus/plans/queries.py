@@ -543,13 +543,27 @@ def _gbt_scored(spark, sf_dir):
 
 @register("gbt_quality")
 def q_gbt_quality(spark, sf_dir):
-    """Held-out rows per label, and whether a row of the label is given it more
-    often than a row of the other (a constant guess gives both alike)."""
-    scored = _gbt_scored(spark, sf_dir).select("label", F.col("prediction").cast("int").alias("prediction"))
+    """Every held-out document with its label and the label's held-out rows;
+    whether the run's accuracy is above the share of the most frequent label,
+    and whether a row of the label is given it more often than a row of the
+    others (a constant guess gives all alike)."""
+    from ocellus.session import scratch_path
+    path = scratch_path(spark, "gbt_scored")
+    _gbt_scored(spark, sf_dir).select("doc_id", "label", F.col("prediction").cast("int").alias("prediction")).write.parquet(path)
+    return above_guesses(spark.read.parquet(path), "doc_id")
+
+
+def above_guesses(scored: DataFrame, key: str) -> DataFrame:
+    """The scored rows (given written, they are read twice) as ``key, label,
+    n, above_majority, above_chance``."""
     found = E.accuracy(scored, "label", "prediction", by="label").withColumn("wrong", F.col("n") - F.col("n_correct"))
-    other = Window.partitionBy()  # over one row per label
-    rate = (F.sum("wrong").over(other) - F.col("wrong")) / (F.sum("n").over(other) - F.col("n"))
-    return found.select("label", "n", (F.col("accuracy") > rate).alias("above_chance"))
+    all_ = Window.partitionBy()  # over one row per label
+    majority = F.sum("n_correct").over(all_) > F.max("n").over(all_)
+    rate = (F.sum("wrong").over(all_) - F.col("wrong")) / (F.sum("n").over(all_) - F.col("n"))
+    flags = found.select(F.col("label").alias("_of"), "n", majority.alias("above_majority"),
+                         (F.col("accuracy") > rate).alias("above_chance"))
+    return scored.join(F.broadcast(flags), F.col("label").eqNullSafe(F.col("_of"))).select(
+        key, "label", "n", "above_majority", "above_chance")
 
 
 @register("gbt_predictions")

@@ -53,6 +53,24 @@ def test_gbt_on_quality(spark):
     assert _acc(out) >= _majority(out)
 
 
+def test_gbt_quality_returns_every_held_out_document(spark):
+    got = Q.q_gbt_quality(spark, SF_CHECK)
+    assert got.columns == ["doc_id", "label", "n", "above_majority", "above_chance"]
+    want = {(r.doc_id, r.label) for r in Q._gbt_scored(spark, SF_CHECK).collect()}
+    rows = got.collect()
+    assert {(r.doc_id, r.label) for r in rows} == want and len(rows) == len(want)
+    assert all(r.above_majority and r.above_chance and r.n == sum(x.label == r.label for x in rows) for r in rows)
+
+
+def test_a_constant_guess_is_not_above_guesses(spark):
+    rows = spark.createDataFrame([(i, int(i < 7), 1) for i in range(10)] + [(9, 0, 1)], "doc_id int, label int, prediction int")
+    got = Q.above_guesses(rows, "doc_id").collect()
+    assert len(got) == 11 and not any(r.above_majority or r.above_chance for r in got)
+    assert {(r.label, r.n) for r in got} == {(1, 7), (0, 4)}
+    odd = rows.union(spark.createDataFrame([(10, None, 1)], rows.schema))
+    assert {(r.label, r.n) for r in Q.above_guesses(odd, "doc_id").collect()} == {(1, 7), (0, 4), (None, 1)}
+
+
 def test_auc_counts_ties_half(spark):
     rows = spark.createDataFrame([(1, 2.0), (0, 2.0), (1, 3.0), (0, 1.0)], "label int, score double")
     # pairs: 2.0=2.0 a half, all others right
