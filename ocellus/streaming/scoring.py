@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,12 +77,12 @@ def listing_tasks(spark: SparkSession):
         spark.conf.unset(LISTING) if before is None else spark.conf.set(LISTING, before)
 
 
-def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str, transform: Callable,
-               sink_dir: str, checkpoint_dir: str, fmt: str = "parquet", options: dict | None = None,
-               max_files_per_trigger: int | None = None, clean_source: str | None = None,
-               archive_dir: str | None = None) -> DataFrame:
+def stream_to_sink(spark: SparkSession, source_dir: str, schema: T.StructType | str, transform: Callable,
+                   sink_dir: str, checkpoint_dir: str, fmt: str = "parquet", options: dict | None = None,
+                   max_files_per_trigger: int | None = None, clean_source: str | None = None,
+                   archive_dir: str | None = None) -> None:
     """Run a file-source stream to completion (``availableNow``) into a
-    parquet sink with its own checkpoint; return the sink as a table.
+    parquet sink with its own checkpoint.
 
     ``clean_source="delete"`` (or ``"archive"`` with ``archive_dir``)
     removes input files once they are committed, as the flow processor
@@ -101,9 +102,60 @@ def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str,
              .option("checkpointLocation", checkpoint_dir).outputMode("append")
              .trigger(availableNow=True).start())
         q.awaitTermination()
+
+
+def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str, transform: Callable,
+               sink_dir: str, checkpoint_dir: str, **options) -> DataFrame:
+    """``stream_to_sink``, and the sink as a table."""
+    stream_to_sink(spark, source_dir, schema, transform, sink_dir, checkpoint_dir, **options)
     return spark.read.parquet(sink_dir)
 
 
+OPEN_COST, LISTED = "spark.sql.files.openCostInBytes", "spark.sql.hive.filesourcePartitionFileCacheSize"
+
+
+@contextmanager
+def many_small_files(spark: SparkSession):
+    """By default a file counts as 4 MB at least, so that a task reads a few
+    dozen and the driver keeps account of thousands of tasks; small files read
+    whole are counted nearly as they are (a setting of the submitter's stays).
+    Files already listed, which no batch lists again, are not kept."""
+    before = {key: spark.conf.get(key) for key in (OPEN_COST, LISTED)}
+    if before[OPEN_COST] in ("4194304", "4194304b", "4MB"):
+        spark.conf.set(OPEN_COST, str(64 << 10))
+    spark.conf.set(LISTED, "0")
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def run_folder_streams(spark: SparkSession, source_dir: str, schema: T.StructType | str, transform: Callable,
+                       sink_dir: str, checkpoint_dir: str, **options) -> DataFrame:
+    """``run_stream`` for each folder of ``source_dir``, one after the other,
+    with a sink and a checkpoint of the folder's name; the sinks as one table.
+    A file stream lists all files of its source on the driver and keeps the
+    names it has seen, so a source of many small files is dealt out to folders
+    and the driver holds the files of one of them.  A folder without accepted
+    files gives no rows."""
+    kinds = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    none = transform(spark.createDataFrame([], kinds))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(source_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = store.listStatus(path(source_dir)) if store.exists(path(source_dir)) else []
+    names = sorted(f.getPath().getName() for f in there if f.isDirectory())
+    tables = []
+    with many_small_files(spark):
+        for name in names:
+            if not name.startswith(("_", ".")):
+                sink = f"{sink_dir}/{name}"
+                stream_to_sink(spark, f"{source_dir}/{name}", schema, transform, sink, f"{checkpoint_dir}/{name}", **options)
+                if store.exists(path(sink)):
+                    tables.append(spark.read.schema(none.schema).parquet(sink))
+    return reduce(DataFrame.unionByName, tables) if tables else none
+
+
 def request_table(df: DataFrame, id_col: str, method_col: str, body_col: str) -> DataFrame:
     """Requests as rows: (id, method, JSON body)."""
     return df.select(F.col(id_col).alias("request_id"), F.col(method_col).alias("method"),
