@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import warnings
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ocellus.llm.common import discard, materialise
@@ -27,7 +27,8 @@ TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 BUDGET, SEED = 0.8, 17
 #: How near the budget found comes to the largest that the targets can meet.
 CLOSE = 1.015
-#: As many cells are raked to a budget in one task.
+#: As many cells are raked in one task, without shuffles.  Spark's driver needs
+#: 4 MB for each table read, stage and broadcast, so few jobs are run as well.
 FEW_CELLS = 100_000
 
 
@@ -59,45 +60,75 @@ def with_cells(docs: DataFrame, topic: Column | None = None) -> DataFrame:
                        F.greatest("_words", F.lit(1)).cast("long").alias("_tokens"))
 
 
-def _goals(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], total: float) -> dict[str, DataFrame]:
-    """Per dimension the tokens ``goal`` of each value that a cell has."""
-    goal = {}
+def _kept(spark: SparkSession, cells: DataFrame, name: str, few: bool) -> DataFrame:
+    """``cells`` written and read back, few of them by one task."""
+    out = materialise(spark, cells.coalesce(1) if few else cells, name)
+    if not few:
+        return out
+    one = out.coalesce(1)
+    one.scratch = out.scratch
+    return one
+
+
+def _stepped(spark: SparkSession, step: DataFrame, name: str, few: bool, errors: list[str]) -> tuple[DataFrame, float]:
+    """``step`` written without its columns ``errors``, whose largest value is
+    seen while writing."""
+    seen = Observation()
+    worst = F.greatest(*[F.max(e) for e in errors]).alias("worst")
+    out = _kept(spark, step.observe(seen, worst).drop(*errors), name, few)
+    return out, seen.get["worst"]
+
+
+def _with_goals(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], total: float,
+                few: bool) -> DataFrame:
+    """``cells`` with ``goal_source, goal_lang, goal_topic``, the tokens that
+    their values are to have (null: not in ``targets``)."""
+    out = cells
     for dim in DIMENSIONS:
-        there = targets[dim].join(cells.select(F.col(f"_{dim}").alias("value")).distinct(), "value")
-        share = there.agg(F.sum("share")).first()[0] or 1.0
-        goal[dim] = materialise(spark, there.select(
-            F.col("value").alias(f"_{dim}"), (F.col("share") * F.lit(total / share)).alias("goal")), f"mix-{dim}")
-    return goal
+        values = cells.select(F.col(f"_{dim}").alias("value")).distinct()
+        there = targets[dim].join(values.hint("merge") if few else values, "value")
+        if few:
+            share = F.sum("share").over(Window.partitionBy())
+            share = F.when(share != 0, share).otherwise(1.0)
+        else:
+            share = F.lit(there.agg(F.sum("share")).first()[0] or 1.0)
+        goal = there.select(F.col("value").alias(f"_{dim}"), (F.col("share") * (F.lit(total) / share)).alias(f"goal_{dim}"))
+        out = out.join(goal.hint("merge") if few else goal, f"_{dim}", "left")
+    return _kept(spark, out, "mix-goals", few)
 
 
 def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 30,
-         tolerance: float = 1e-3) -> DataFrame:
+         tolerance: float = 1e-3, few: bool = False) -> DataFrame:
     """``cells`` with column ``w`` raked to ``targets`` (dimension to
     ``value, share``).  Shares of values that no cell has are spread over the
     others; without mass in a cell its weight stays 0.  Ends when every
-    marginal is within ``tolerance`` of its target, or after ``rounds``."""
-    cells = materialise(spark, cells.withColumn("w", F.col("t").cast("double")), "mix-cells")
-    total = cells.agg(F.sum("w")).first()[0]
+    marginal is within ``tolerance`` of its target, or after ``rounds``.
+    ``few``: one task holds all cells."""
+    weighted = cells.withColumn("w", F.col("t").cast("double"))
+    total = weighted.agg(F.sum("w")).first()[0]
     if not total:
-        return cells
-    goal = _goals(spark, cells, targets, total)
+        return weighted
+    cells = _with_goals(spark, weighted, targets, total, few)
+    factors = [f"f_{dim}" for dim in DIMENSIONS]
     for _ in range(rounds):
-        step, errors = cells, []
+        step = cells
         for dim in DIMENSIONS:
-            now = step.groupBy(f"_{dim}").agg(F.sum("w").alias("now"))
-            factor = now.join(goal[dim], f"_{dim}", "left").select(
-                f"_{dim}", F.coalesce(F.col("goal") / F.col("now"), F.lit(1.0)).alias("factor"))
-            step = step.join(factor, f"_{dim}").withColumn(
-                "w", F.col("w") * F.col("factor")).withColumnRenamed("factor", f"f_{dim}")
-            errors.append(F.max(F.abs(F.col(f"f_{dim}") - 1)).alias(dim))
-        step = materialise(spark, step, "mix-cells")
-        worst = max(step.agg(*errors).first())
-        discard(spark, cells)
-        cells = step.drop(*[f"f_{d}" for d in DIMENSIONS])
-        cells.scratch = step.scratch
+            value, goal = f"_{dim}", F.col(f"goal_{dim}")
+            if few:
+                step = step.withColumn(f"f_{dim}", F.coalesce(F.try_divide(
+                    goal, F.sum("w").over(Window.partitionBy(value))), F.lit(1.0)))
+            else:
+                step = step.join(step.groupBy(value).agg(F.coalesce(F.try_divide(
+                    F.max(goal), F.sum("w")), F.lit(1.0)).alias(f"f_{dim}")), value)
+            step = step.withColumn("w", F.col("w") * F.col(f"f_{dim}"))
+        for f in factors:
+            step = step.withColumn(f, F.abs(F.col(f) - 1))
+        before = cells
+        cells, worst = _stepped(spark, step, "mix-cells", few, factors)
+        discard(spark, before)
         if worst < tolerance:
             break
-    return cells
+    return cells.drop(*[f"goal_{dim}" for dim in DIMENSIONS])
 
 
 def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
@@ -152,45 +183,43 @@ def _bounded_step(cells: DataFrame, dim: str, budget: float) -> DataFrame:
     upto = value.orderBy("_at")
     z, t, full = F.col("z"), F.col("t").cast("double"), F.col("_full")
     step = cells.withColumn("_at", F.when(z > 0, F.try_divide(t, z)).otherwise(F.lit(float("inf"))))
-    step = step.withColumn(f"e_{dim}", F.coalesce(F.abs(F.try_divide(F.sum(F.least(t, z)).over(value), goal) - 1), F.lit(0.0)))
-    step = step.withColumn("_full", F.coalesce((z > 0) & (F.sum(t).over(upto) + F.col("_at") * (
-        F.sum(z).over(value) - F.sum(z).over(upto)) <= goal), F.lit(False)))
+    step = step.withColumns({
+        f"e_{dim}": F.coalesce(F.abs(F.try_divide(F.sum(F.least(t, z)).over(value), goal) - 1), F.lit(0.0)),
+        "_full": F.coalesce((z > 0) & (F.sum(t).over(upto) + F.col("_at") * (
+            F.sum(z).over(value) - F.sum(z).over(upto)) <= goal), F.lit(False))})
     free = F.sum(F.when(full, 0.0).otherwise(z)).over(value)
     factor = F.when(free > 0, F.try_divide(goal - F.sum(F.when(full, t).otherwise(0.0)).over(value), free)).otherwise(
         F.max(F.when(z > 0, F.col("_at"))).over(value))
-    step = step.withColumn("_by", F.when(goal > 0, factor))
-    return step.withColumn("z", F.coalesce(z * F.col("_by"), z)).drop("_at", "_full", "_by")
+    return step.withColumn("z", F.coalesce(z * F.when(goal > 0, factor), z)).drop("_at", "_full")
 
 
-def _bounded(spark: SparkSession, cells: DataFrame, budget: float, rounds: int = 6,
+def _bounded(spark: SparkSession, cells: DataFrame, budget: float, few: bool, rounds: int = 6,
              tolerance: float = 1e-3) -> DataFrame | None:
     """``cells`` with column ``z``, so that ``min(t, z)`` has the marginals
     ``budget`` times ``goal_source, goal_lang, goal_topic`` (within
     ``tolerance``); None if ``rounds`` of three sweeps do not get there or
     one does not halve the error."""
-    last, few = float("inf"), cells.limit(FEW_CELLS + 1).count() <= FEW_CELLS
-    for n in range(rounds):
-        step = cells if n else cells.withColumn("z", F.col("w") * F.lit(budget))
-        if few:  # one task needs no shuffle
-            step = step.coalesce(1)
+    last, mine, errors = float("inf"), None, [f"e_{dim}" for dim in DIMENSIONS]
+    step = cells.withColumn("z", F.col("w") * F.lit(budget))
+    for _ in range(rounds):
         for _ in range(3):
             for dim in DIMENSIONS:
                 step = _bounded_step(step, dim, budget)
-        before, cells = cells, materialise(spark, step, "mix-bounded")
-        if n:
+        before = mine
+        mine, worst = _stepped(spark, step, "mix-bounded", few, errors)
+        if before is not None:
             discard(spark, before)
-        worst = max(cells.agg(*[F.max(f"e_{dim}") for dim in DIMENSIONS]).first())
         if worst < tolerance:
-            return cells
+            return mine
         if worst > last / 2:
-            return None
-        last = worst
-        cells, step = cells.drop(*[f"e_{dim}" for dim in DIMENSIONS]), cells
-        cells.scratch = step.scratch
+            break
+        last, step = worst, mine
+    discard(spark, mine)
     return None
 
 
-def _probabilities(spark: SparkSession, raked: DataFrame, targets: dict[str, DataFrame], budget: float) -> DataFrame:
+def _probabilities(spark: SparkSession, raked: DataFrame, targets: dict[str, DataFrame], budget: float,
+                   few: bool) -> DataFrame:
     """``raked`` with ``z`` (``min(t, z)`` are a cell's expected tokens, which
     meet the targets) and the ``budget`` that was found: the asked one, or
     one within ``CLOSE`` of the largest that works, between the most that any
@@ -201,14 +230,13 @@ def _probabilities(spark: SparkSession, raked: DataFrame, targets: dict[str, Dat
         sure = budget
     else:
         most = budget
-        for dim, goal in _goals(spark, raked, targets, float(total)).items():
-            have = raked.groupBy(f"_{dim}").agg(F.sum("t").alias("have")).join(goal, f"_{dim}")
-            raked = raked.join(goal.withColumnRenamed("goal", f"goal_{dim}"), f"_{dim}", "left")
+        raked = _with_goals(spark, raked, targets, float(total), few)
+        for dim in DIMENSIONS:
+            have = raked.groupBy(f"_{dim}").agg(F.sum("t").alias("have"), F.max(f"goal_{dim}").alias("goal"))
             most = min(most, 0.99 * (have.where("goal > 0").agg(F.min(F.col("have") / F.col("goal"))).first()[0] or 1.0))
-        raked = materialise(spark, raked, "mix-goals")
         share = most / CLOSE  # mostly it works, and nothing is left to search
         while share > sure:
-            tried = _bounded(spark, raked, share)
+            tried = _bounded(spark, raked, share, few)
             if tried is None:
                 most = share
             else:
@@ -233,17 +261,20 @@ def mixing_cells(spark: SparkSession, docs: DataFrame, targets: dict[str, DataFr
     dimension without given targets, the shares of ``reachable``."""
     cells = materialise(spark, with_cells(docs, topic).groupBy("_source", "_lang", "_topic").agg(
         F.sum("_tokens").alias("t")), "mix-tokens")
+    if few := cells.limit(FEW_CELLS + 1).count() <= FEW_CELLS:
+        before, cells = cells, _kept(spark, cells, "mix-tokens", few)
+        discard(spark, before)
     targets = dict(targets or {})
     for dim in DIMENSIONS:
         if dim not in targets:
             targets[dim] = (reachable(cells, dim, TEMPER[dim], budget) if within_reach
                             else tempered(cells, dim, TEMPER[dim]))
-    raked = rake(spark, cells, targets)
+    raked = rake(spark, cells, targets, few=few)
     if not raked.take(1):
         return raked.select("_source", "_lang", "_topic", "t", F.lit(0.0).alias("weight"),
                             F.lit(0.0).alias("probability"), F.lit(0.0).alias("budget"))
     if targets_first:
-        placed = _probabilities(spark, raked, targets, budget)
+        placed = _probabilities(spark, raked, targets, budget, few)
     else:
         placed = raked.withColumn("z", F.lit(_factor(raked.where("w > 0"), budget)) * F.col("w")).withColumn(
             "budget", F.lit(float(budget)))
