@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import warnings
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ocellus.llm.common import discard, materialise
@@ -71,12 +71,13 @@ def _kept(spark: SparkSession, cells: DataFrame, name: str, few: bool) -> DataFr
 
 
 def _stepped(spark: SparkSession, step: DataFrame, name: str, few: bool, errors: list[str]) -> tuple[DataFrame, float]:
-    """``step`` written without its columns ``errors``, whose largest value is
-    seen while writing."""
-    seen = Observation()
-    worst = F.greatest(*[F.max(e) for e in errors]).alias("worst")
-    out = _kept(spark, step.observe(seen, worst).drop(*errors), name, few)
-    return out, seen.get["worst"]
+    """``step`` written, without its columns ``errors``, and their largest
+    value (not by an Observation: a session that had one fails to serialise,
+    and Spark ML's models with it)."""
+    out = _kept(spark, step, name, few)
+    kept = out.drop(*errors)
+    kept.scratch = out.scratch
+    return kept, max(out.agg(*[F.max(e) for e in errors]).first())
 
 
 def _with_goals(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], total: float,

@@ -22,9 +22,9 @@ def _cells(spark, docs):
         return sorted(mixing.mixing_cells(spark, docs, targets_first=True).collect(), key=str)
 
 
-def test_a_round_is_one_job(spark, monkeypatch):
-    """A round's cells and error come from one stage; with joins and jobs of
-    their own for the errors there were over 200 stages here."""
+def test_a_round_is_two_stages(spark, monkeypatch):
+    """A round's cells and error take a stage each; with joins and shuffles
+    there were over 200 stages here."""
     tried, inner, status = [], mixing._bounded, spark.sparkContext.statusTracker()
     monkeypatch.setattr(mixing, "_bounded", lambda *a, **k: tried.append(a[2]) or inner(*a, **k))
     spark.sparkContext.setJobGroup("mixing-jobs", "mixing")
